@@ -126,8 +126,9 @@ def add_views(extra: dict[str, str]) -> None:
     VIEWS.update(extra)
 
 
-def with_views(body: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix ``body`` with the CTEs it needs, dependencies first."""
+def with_views(body: str, extra: dict[str, str] | None = None, ctes: str = "") -> str:
+    """Prefix ``body`` with the CTEs it needs, dependencies first; ``ctes`` is
+    extra CTE text ("name AS (...), ...") placed after the views it uses."""
     views = dict(VIEWS)
     views.update(extra or {})
     order: list[str] = []
@@ -140,9 +141,11 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
                 visit(dep, stack + (name,))
         order.append(name)
 
-    for n in [n for n in dict.fromkeys(_NAME_RE.findall(body)) if n in views]:
+    for n in [n for n in dict.fromkeys(_NAME_RE.findall(ctes + " " + body)) if n in views]:
         visit(n)
-    if not order:
+    parts = [f"{n} AS ({views[n]}\n)" for n in order]
+    if ctes.strip():
+        parts.append(ctes.strip())
+    if not parts:
         return body.strip()
-    ctes = ",\n".join(f"{n} AS ({views[n]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    return "WITH " + ",\n".join(parts) + "\n" + body.strip()

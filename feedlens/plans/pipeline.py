@@ -99,6 +99,15 @@ def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: d
     store.append_fact("runs", ledger.run_start_row(spark, run_id, started_at, input_dir), ["run_id"])
 
 
+def ledger_from_log(pages: DataFrame, run_id, started_at, finished_at, input_dir: str) -> DataFrame:
+    """The finished-run row from a run's page log (one aggregate)."""
+    metrics = pages.agg(F.count(F.lit(1)).cast("int").alias("files_found"),
+                        F.count_if("valid").cast("int").alias("files_loaded"),
+                        F.coalesce(F.sum(F.when(F.col("valid"), F.col("events_loaded"))), F.lit(0))
+                        .cast("int").alias("events_loaded"))
+    return ledger.run_ledger_rows(metrics, run_id, started_at, finished_at, input_dir)
+
+
 def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at: datetime,
                input_dir: str) -> DataFrame:
     """W07 + W09 from the run's page log and event quarantine."""
@@ -108,12 +117,7 @@ def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at:
     if pages is None:
         pages = spark.createDataFrame([], "run_id string, source_file string, valid boolean, reason string, "
                                           "events_loaded int, events_rejected int")
-    metrics = pages.agg(F.count(F.lit(1)).cast("int").alias("files_found"),
-                        F.count_if("valid").cast("int").alias("files_loaded"),
-                        F.coalesce(F.sum(F.when(F.col("valid"), F.col("events_loaded"))), F.lit(0))
-                        .cast("int").alias("events_loaded"))
-    done = ledger.run_ledger_rows(metrics, F.lit(run_id), F.lit(started_at).cast("timestamp"), finished,
-                                  input_dir)
+    done = ledger_from_log(pages, F.lit(run_id), F.lit(started_at).cast("timestamp"), finished, input_dir)
     bad_files = pages.where(~F.col("valid")).select("source_file", "reason")
     bad_events = store.read_fact("event_quarantine")
     if bad_events is None:
@@ -125,7 +129,8 @@ def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at:
     store.append_fact("dq_results", insert_if_absent(existing_dq, dq, ["check_id"], F.col("check_id")),
                       ["run_id"])
     store.append_fact("runs", done, ["run_id"])
-    return done
+    return store.read_fact("runs").where(F.col("run_id") == F.lit(run_id)) \
+        .where(F.col("status") == F.lit("success"))
 
 
 def run_batch(spark: SparkSession, pages: DataFrame, store: TableStore, run_id: str,

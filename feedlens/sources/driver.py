@@ -280,3 +280,112 @@ def driver_tables(spark: SparkSession, sf_dir: str, p: Params | None = None) ->
         market=market_view(spark, sf_dir, p),
         windows=windows_view(spark, sf_dir, p),
     )
+
+
+# ---------------------------------------------------------------------------
+# Feed pages built from the role views (for the page-parsing operators)
+# ---------------------------------------------------------------------------
+PAGE_SEEDS = {
+    "page_truncated": (40, 39),      # text cut in half -> JSON parse error
+    "page_status_error": (25, 24),   # status 'error'
+    "page_no_events": (30, 29),      # data without 'events'
+    "window30_empty": (13, 4),       # 30day_price_change written as {}
+    "window3_absent": (13, 5),       # 3day_price_change missing
+}
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def _page_hit(col, name):
+    m, r = PAGE_SEEDS[name]
+    return (col % F.lit(m)) == F.lit(r)
+
+
+def _iso(col):
+    return F.date_format(col, ISO)
+
+
+def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> DataFrame:
+    """Feed pages as (source_file, value): one JSON document per 100 orders.
+
+    Each page groups at most 100 events (one per order key), so collecting a
+    page's events is a bounded group. Odd pages carry the bare-list form of
+    ``events``, even pages the {all, past, upcoming} object."""
+    p = p or Params()
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    m = market_view(spark, sf_dir, p).drop("run_id", "state_id", "source_file", "loaded_at")
+    wins = windows_view(spark, sf_dir, p)
+    wd = F.col("window_days")
+    wstruct = F.struct(F.col("direction").alias("direction"), F.col("percent_change").alias("percent"),
+                       F.col("raw_change").alias("raw"), F.col("insufficient_data").alias("insufficient_data"))
+    wide = wins.groupBy("event_id").agg(*[F.max(F.when(wd == d, wstruct)).alias(f"w{d}") for d in WINDOW_DAYS])
+    empty = F.struct(*[F.lit(None).cast(t).alias(f) for f, t in
+                       (("direction", "string"), ("percent", "double"), ("raw", "double"),
+                        ("insufficient_data", "boolean"))])
+    k = F.col("o_orderkey")
+    shifted = F.when(_hit(k, "datetime_shift_2d"), F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS")) \
+        .otherwise(F.col("o_orderdate"))
+    ev = (o.join(c, o.o_custkey == c.c_custkey)
+          .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+          .join(m, o.o_orderkey == m.event_id, "left").join(wide, "event_id", "left"))
+    event = F.struct(
+        F.when(_hit(k, "raw_id_null"), F.lit(None).cast("bigint")).otherwise(k).alias("id"),
+        F.col("c_name").alias("title"),
+        F.when(_hit(k, "no_performer"), F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("performer"),
+        F.concat(F.lit("performer-"), F.col("o_custkey").cast("string")).alias("performer_slug"),
+        F.concat(F.col("n_name"), F.lit(" Hall")).alias("venue"),
+        F.concat(F.lit("venue-n"), F.col("c_nationkey").cast("string")).alias("venue_slug"),
+        F.col("n_name").alias("city"),
+        F.col("r_name").alias("country"),
+        F.to_date("o_orderdate").cast("string").alias("date"),
+        F.when(_hit(k, "datetime_unparseable"), F.lit("not-a-date")).otherwise(_iso(shifted)).alias("event_datetime"),
+        F.lit("UTC").alias("event_timezone"),
+        F.when(_hit(k, "utc_missing"), F.lit(None).cast("string")).otherwise(_iso(F.col("o_orderdate")))
+         .alias("event_utc_datetime"),
+        F.col("c_mktsegment").alias("category_type"),
+        F.col("o_orderpriority").alias("event_category_name"),
+        "get_in_price",
+        F.col("stats_total_quantity").alias("stats_total_quantity_of_tickets"),
+        _iso(F.col("stats_last_updated_at")).alias("stats_last_updated_at"),
+        "forecast_is_available", "forecast_value", "forecast_layover_text", "forecast_hover_text",
+        "is_past_with_no_pricing", "mock_data_point", "disable_click_through",
+        F.when(_page_hit(k, "window3_absent"), F.lit(None)).otherwise(F.col("w3")).alias("3day_price_change"),
+        F.col("w7").alias("7day_price_change"),
+        F.col("w14").alias("14day_price_change"),
+        F.when(_page_hit(k, "window30_empty"), empty).otherwise(F.col("w30")).alias("30day_price_change"),
+    )
+    rows = ev.select((k - k % PAGE_SIZE).alias("page_offset"), k.alias("k"), F.to_json(event).alias("text"),
+                     (F.col("o_orderdate") >= as_of_lit(p)).alias("upcoming"))
+    totals = o.agg(F.count(F.lit(1)).alias("total"), F.max(k - k % PAGE_SIZE).alias("last_offset"),
+                   F.to_date(F.min("o_orderdate")).cast("string").alias("dmin"),
+                   F.to_date(F.max("o_orderdate")).cast("string").alias("dmax"))
+    pages = (rows.groupBy("page_offset")
+             .agg(F.array_sort(F.collect_list(F.struct("k", "text"))).alias("evs"),
+                  F.count(F.lit(1)).cast("int").alias("n"), F.count_if("upcoming").alias("up"))
+             .crossJoin(F.broadcast(totals)))  # exactly one row
+    page = F.expr(f"page_offset div {PAGE_SIZE}")
+    meta = F.to_json(F.struct(
+        F.struct(_iso(as_of_lit(p)).alias("current_utc"), F.col("n").cast("bigint").alias("total_count"),
+                 F.col("up").alias("upcoming_count"), (F.col("n") - F.col("up")).alias("past_count"))
+         .alias("categorization"),
+        F.struct(F.struct(F.col("dmin").alias("start_date"), F.col("dmax").alias("end_date"),
+                          F.lit(False).alias("is_any")).alias("date_range")).alias("filters"),
+        F.struct(F.col("page_offset").alias("offset"), F.lit(PAGE_SIZE).alias("limit"),
+                 F.col("n").alias("current_page_results"),
+                 (F.col("page_offset") < F.col("last_offset")).alias("has_more"),
+                 F.col("total").alias("total_database_matches")).alias("pagination"),
+        F.struct(F.lit(1.0).alias("total_seconds")).alias("performance_timing")))
+    arr = F.concat(F.lit("["), F.array_join(F.transform("evs", lambda x: x["text"]), ","), F.lit("]"))
+    events = F.when(page % 2 == 1, arr).otherwise(
+        F.concat(F.lit('{"all":'), arr, F.lit(',"past":[],"upcoming":[]}')))
+    events_part = F.when(_page_hit(page, "page_no_events"), F.lit("")).otherwise(
+        F.concat(F.lit(',"events":'), events))
+    status = F.when(_page_hit(page, "page_status_error"), F.lit("error")).otherwise(F.lit("success"))
+    text = (F.when(_page_hit(page, "page_truncated"), F.expr("substr(_t, 1, length(_t) div 2)"))
+            .otherwise(F.col("_t")))
+    return (pages.where(~_hit(page, "page_dropped"))
+            .withColumn("_t", F.concat(F.lit('{"status":"'), status, F.lit('","data":{"metadata":'), meta,
+                                       events_part, F.lit("}}")))
+            .select(_source_file(F.col("page_offset")).alias("source_file"), text.alias("value")))

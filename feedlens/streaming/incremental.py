@@ -23,17 +23,19 @@ from feedlens.sources.store import TableStore
 
 
 def page_stream(spark: SparkSession, input_dir: str, max_files: int = FILES_PER_COMMIT,
-                glob: str = "*.json") -> DataFrame:
-    return (spark.readStream.format("text")
-            .option("wholetext", True)
-            .option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", glob)
-            .load(input_dir)
-            .select(F.col("_metadata.file_name").alias("source_file"), "value"))
+                glob: str = "*.json", layout: str = "files") -> DataFrame:
+    """Stream of (source_file, value): ``files`` = a flat folder of page files;
+    ``partitioned`` = pages written by Spark with partitionBy("source_file")."""
+    r = (spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files))
+    if layout == "files":
+        return (r.option("pathGlobFilter", glob).load(input_dir)
+                .select(F.col("_metadata.file_name").alias("source_file"), "value"))
+    return r.load(input_dir).select(F.col("source_file").cast("string").alias("source_file"), "value")
 
 
 def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, checkpoint: str, run_id: str,
                      started_at: datetime | None = None, max_files: int = FILES_PER_COMMIT,
+                     layout: str = "files",
                      broadcast_chars: int = 256 * 1024 * 1024) -> DataFrame:
     """Load every file not yet seen by ``checkpoint``; returns the ledger row."""
     started = started_at or pipeline._now()
@@ -51,7 +53,7 @@ def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, che
         finally:
             pages.unpersist()
 
-    q = (page_stream(spark, input_dir, max_files).writeStream
+    q = (page_stream(spark, input_dir, max_files, layout=layout).writeStream
          .foreachBatch(load)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
