@@ -166,8 +166,8 @@ def event_performers_view(spark, sf_dir) -> DataFrame:
                     F.concat(F.lit("performer-"), F.col("o_custkey").cast("string")).alias("performer_slug")))
 
 
-def windows_view(spark, sf_dir, p: Params) -> DataFrame:
-    """Price change over the previous d days, per category.
+def _window_base(spark, sf_dir, p: Params) -> DataFrame:
+    """Per order: cents and the trailing category average p_d for every d.
 
     p_d(day) = average price (in cents) of the category's orders on the d days
     before ``day``. The frame excludes the current day, so every order of one
@@ -185,34 +185,50 @@ def windows_view(spark, sf_dir, p: Params) -> DataFrame:
     w = Window.partitionBy("category_type").orderBy("day")
     trail = daily.select(
         "category_type", "day",
-        *[F.sum(x).over(w.rangeBetween(-d, -1)).alias(f"{x}{d}") for d in WINDOW_DAYS for x in ("s", "n")])
-    trail = trail.select(
-        "category_type", "day",
-        F.explode(F.array(*[F.struct(F.lit(d).alias("window_days"),
-                                      (F.col(f"s{d}").cast("double") / F.col(f"n{d}").cast("double")).alias("p"))
-                            for d in WINDOW_DAYS])).alias("w"))
-    trail = trail.select("category_type", "day", "w.window_days", "w.p")
+        *[(F.sum("s").over(w.rangeBetween(-d, -1)).cast("double")
+           / F.sum("n").over(w.rangeBetween(-d, -1)).cast("double")).alias(f"p{d}") for d in WINDOW_DAYS])
+    return base.join(trail, ["category_type", "day"])
+
+
+def _window_fields(k, cents, avg) -> list:
+    """direction, percent_change, raw_change, insufficient_data of one window."""
+    diff = cents.cast("double") - avg
+    no_p = avg.isNull()
+    return [
+        F.when(_hit(k, "window_forced_flat"), F.lit("flat"))
+         .when(diff > 0, F.lit("up")).when(diff < 0, F.lit("down")).otherwise(F.lit("flat")),
+        F.when(no_p, F.lit(0.0)).otherwise(round_half_away(F.lit(100.0) * diff / F.nullif(avg, F.lit(0.0)), 2)),
+        F.when(no_p, F.when(_hit(k, "insufficient_raw_one"), F.lit(1.0)).otherwise(F.lit(0.0)))
+         .otherwise(F.round(diff, 0) / F.lit(100.0)),
+        no_p,
+    ]
+
+
+WINDOW_FIELD_NAMES = ("direction", "percent_change", "raw_change", "insufficient_data")
+
+
+def windows_view(spark, sf_dir, p: Params) -> DataFrame:
+    """Long format: one row per (event, window days)."""
+    b = _window_base(spark, sf_dir, p)
     k = F.col("event_id")
-    diff = F.col("cents").cast("double") - F.col("p")
-    no_p = F.col("p").isNull()
-    return (
-        base.join(trail, ["category_type", "day"])
-        .select(
-            F.concat_ws(":", F.lit(DRIVER_RUN_ID), k.cast("string"), F.col("window_days").cast("string")).alias("window_id"),
-            F.lit(DRIVER_RUN_ID).alias("run_id"),
-            k.alias("event_id"),
-            F.col("window_days").cast("int").alias("window_days"),
-            F.when(_hit(k, "window_forced_flat"), F.lit("flat"))
-             .when(diff > 0, F.lit("up")).when(diff < 0, F.lit("down"))
-             .otherwise(F.lit("flat")).alias("direction"),
-            F.when(no_p, F.lit(0.0))
-             .otherwise(round_half_away(F.lit(100.0) * diff / F.nullif(F.col("p"), F.lit(0.0)), 2))
-             .alias("percent_change"),
-            F.when(no_p, F.when(_hit(k, "insufficient_raw_one"), F.lit(1.0)).otherwise(F.lit(0.0)))
-             .otherwise(F.round(diff, 0) / F.lit(100.0)).alias("raw_change"),
-            no_p.alias("insufficient_data"),
-        )
-    )
+    per = F.explode(F.array(*[
+        F.struct(F.lit(d).cast("int").alias("window_days"),
+                 *[c.alias(n) for c, n in zip(_window_fields(k, F.col("cents"), F.col(f"p{d}")), WINDOW_FIELD_NAMES)])
+        for d in WINDOW_DAYS])).alias("w")
+    return b.select("event_id", per).select(
+        F.concat_ws(":", F.lit(DRIVER_RUN_ID), k.cast("string"), F.col("w.window_days").cast("string")).alias("window_id"),
+        F.lit(DRIVER_RUN_ID).alias("run_id"), "event_id", "w.*")
+
+
+def windows_wide(spark, sf_dir, p: Params) -> DataFrame:
+    """One row per event with a feed-style struct per window (direction,
+    percent, raw, insufficient_data), as the pages carry them."""
+    b = _window_base(spark, sf_dir, p)
+    k = F.col("event_id")
+    names = ("direction", "percent", "raw", "insufficient_data")
+    return b.select("event_id", *[
+        F.struct(*[c.alias(n) for c, n in zip(_window_fields(k, F.col("cents"), F.col(f"p{d}")), names)]).alias(f"w{d}")
+        for d in WINDOW_DAYS])
 
 
 def pages_view(spark, sf_dir, p: Params) -> DataFrame:
@@ -316,11 +332,7 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     m = market_view(spark, sf_dir, p).drop("run_id", "state_id", "source_file", "loaded_at")
-    wins = windows_view(spark, sf_dir, p)
-    wd = F.col("window_days")
-    wstruct = F.struct(F.col("direction").alias("direction"), F.col("percent_change").alias("percent"),
-                       F.col("raw_change").alias("raw"), F.col("insufficient_data").alias("insufficient_data"))
-    wide = wins.groupBy("event_id").agg(*[F.max(F.when(wd == d, wstruct)).alias(f"w{d}") for d in WINDOW_DAYS])
+    wide = windows_wide(spark, sf_dir, p)
     empty = F.struct(*[F.lit(None).cast(t).alias(f) for f, t in
                        (("direction", "string"), ("percent", "double"), ("raw", "double"),
                         ("insufficient_data", "boolean"))])

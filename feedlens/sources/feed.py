@@ -4,8 +4,8 @@ A page is one JSON document per file. Parsing is schema-explicit (never
 inferred) and done with built-in JSON expressions, so it runs inside the
 executors' codegen'd projections:
 
-  page text  --from_json(map<string,string>)-->  top-level keys + raw values
-  data text  --from_json(map<string,string>)-->  metadata / events presence
+  page text  --from_json(struct<status, data: map<string,string>>)-->
+             status, metadata / events presence and raw text
   events     --object: struct<all: array<string>> | list: array<string>-->
   one string per event --posexplode--> (source_file, pos, event text)
   event text --from_json(EVENT_SCHEMA)--> typed event columns
@@ -57,7 +57,6 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("performance_timing", T.StructType([T.StructField("total_seconds", DBL)])),
 ])
 
-KV = "map<string,string>"
 JSON_PARSE_ERROR = "JSON parse error"
 MISSING_DATA = "missing top-level 'data' key"
 MISSING_METADATA = "missing data.metadata"
@@ -85,17 +84,25 @@ def _status_message(status: Column) -> Column:
     return F.concat(F.lit("status != success (got "), shown, F.lit(")"))
 
 
+ENVELOPE = "status string, data map<string,string>, _bad string"
+
+
 # S02 + S03
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Adds page structure and validation to (source_file, value):
-    is_corrupt, status, errors (array), reason, valid, metadata and events text."""
-    top = F.from_json("value", KV)
-    data_txt = top["data"]
-    data = F.from_json(data_txt, KV)
-    has_data = F.coalesce(F.map_contains_key(top, "data"), F.lit(False))
+    is_corrupt, status, errors (array), reason, valid, metadata and events text.
+
+    One parse of the page: the envelope is a struct whose ``data`` is a
+    map<string,string>, so the presence of ``metadata`` and ``events`` is
+    known (a present key with a null value is still present) and their raw
+    text is kept for the next, narrower parse. Text that is not a JSON object
+    lands in the corrupt-record column. ``"data": null`` counts as missing."""
+    env = F.from_json("value", ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    data = env["data"]
+    has_data = data.isNotNull()
     has_meta = F.coalesce(F.map_contains_key(data, "metadata"), F.lit(False))
     has_events = F.coalesce(F.map_contains_key(data, "events"), F.lit(False))
-    status = top["status"]
+    status = env["status"]
     checks = F.array(
         F.when(status.isNull() | (status != F.lit(PAGE_STATUS_OK)), _status_message(status)),
         F.when(~has_data, F.lit(MISSING_DATA)),
@@ -104,7 +111,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     )
     out = pages.select(
         "*",
-        top.isNull().alias("is_corrupt"),
+        (env.isNull() | env["_bad"].isNotNull()).alias("is_corrupt"),
         status.alias("status"),
         F.filter(checks, lambda x: x.isNotNull()).alias("errors"),
         data["metadata"].alias("metadata_text"),

@@ -71,7 +71,18 @@ class TestValidation:
 
     def test_data_null_is_reported_not_raised(self, spark):
         r = parsed(spark, {"status": "success", "data": None})
-        assert not r["valid"] and r["reason"] == "missing data.metadata; missing data.events"
+        assert not r["valid"] and r["reason"] == "missing top-level 'data' key"
+
+    def test_null_events_key_is_present(self, spark):
+        d = make_feed_file()
+        d["data"]["events"] = None
+        r = parsed(spark, d)
+        assert r["valid"] and events_of(spark, d) == []
+
+    def test_unparseable_text_is_corrupt(self, spark):
+        for text in ("{not valid json{{", "", "[]"):
+            r = parsed(spark, text)
+            assert r["is_corrupt"] and r["reason"] == "JSON parse error"
 
     def test_top_level_array_is_corrupt(self, spark):
         r = parsed(spark, [make_feed_file()])
