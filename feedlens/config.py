@@ -53,7 +53,10 @@ class Params:
     stale_hours: int = STALE_HOURS
     suspicious_pct: float = SUSPICIOUS_PRICE_PCT
     sentinels: tuple = SENTINEL_FORECAST_VALUES
-    approx_median: bool = False        # opt-in percentile_approx for hot groups
+    # median: "distributed" (exact, rank selection, no per-group state),
+    # "percentile" (exact, one task holds a group's distinct values),
+    # "approx" (percentile_approx sketch)
+    median: str = "distributed"
     broadcast_max_bytes: int = 64 * 1024 * 1024
 
     @property

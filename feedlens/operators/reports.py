@@ -10,6 +10,7 @@ from feedlens.config import (TOP_MOVEMENT_N, TOP_PRICE_N, TOP_QUANTITY_N, TOP_VE
                              VENUE_MIN_EVENTS, Params)
 from feedlens.functions.columns import as_of_lit, hours_between, is_real_forecast, round_half_away
 from feedlens.operators.common import asc, desc, for_run, market_events, top_then_expand
+from feedlens.operators.stats import median_from_counts
 
 
 def cents(col):
@@ -17,29 +18,36 @@ def cents(col):
 
 
 def exact_median(col: str, freq: str | None = None):
-    """Exact median (linear interpolation between the two middle values)."""
+    """Exact median as one aggregate (linear interpolation of the middles)."""
     return F.percentile(F.col(col), F.lit(0.5), F.col(freq) if freq else F.lit(1))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def grouped_price_stats(df: DataFrame, keys: list[str], price: str = "get_in_price",
-                        approx: bool = False) -> DataFrame:
+                        median: str = "distributed") -> DataFrame:
     """count, median, average, min, max of ``price`` per ``keys``.
 
-    Median: rows are first collapsed to (keys, price) -> frequency, a shuffle
-    that spreads a hot group over every reducer; the final per-group state then
-    holds one entry per distinct price, not per row. Average is taken over
-    integer cents so it does not depend on summation order."""
-    per_value = (df.groupBy(*keys, price)
+    Rows are first collapsed to (keys, price) -> frequency: a shuffle that
+    spreads a hot group over every reducer. The median is then taken by
+    distributed rank selection (default), so no task holds a whole group.
+    The average is taken over integer cents so it does not depend on
+    summation order."""
+    per_value = (df.where(F.col(price).isNotNull()).groupBy(*keys, price)
                  .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents(price)).alias("_cents")))
-    med = (F.percentile_approx(price, 0.5, 10000).cast("double") if approx
+    base = [F.sum("_n").alias("_count"), F.sum("_cents").alias("_cents"),
+            F.min(price).alias("_min"), F.max(price).alias("_max")]
+    if median == "distributed":
+        st = per_value.groupBy(*keys).agg(*base)
+        med = median_from_counts(per_value, keys, price, "_n").withColumnRenamed("median", "_median")
+        return null_safe_join(st, med, keys, "left")
+    med = (F.percentile_approx(price, 0.5, 10000).cast("double") if median == "approx"
            else exact_median(price, "_n"))
-    return per_value.groupBy(*keys).agg(
-        F.sum("_n").alias("_count"),
-        med.alias("_median"),
-        F.sum("_cents").alias("_cents"),
-        F.min(price).alias("_min"),
-        F.max(price).alias("_max"),
-    )
+    return per_value.groupBy(*keys).agg(*base, med.alias("_median"))
 
 
 def avg_from_cents(sum_cents="_cents", n="_count"):
@@ -147,7 +155,7 @@ def forecast_coverage(t, p: Params) -> DataFrame:
 # O11
 def median_price_by_category(t, p: Params) -> DataFrame:
     me = market_events(t, p).where(F.col("get_in_price") > 0)
-    st = grouped_price_stats(me, ["category_type", "event_category_name"], approx=p.approx_median)
+    st = grouped_price_stats(me, ["category_type", "event_category_name"], median=p.median)
     return (st.select("category_type", "event_category_name",
                       F.col("_count").alias("event_count"),
                       round_half_away("_median", 2).alias("median_get_in_price"),
@@ -162,7 +170,7 @@ def median_price_by_venue(t, p: Params, n: int = TOP_VENUE_N, min_events: int =
     rows = (market_events(t, p).where(F.col("get_in_price") > 0)
             .select("event_id", "get_in_price")
             .join(t.event_venues, "event_id").join(t.venues.select("venue_slug", *keys), "venue_slug"))
-    st = grouped_price_stats(rows, keys, approx=p.approx_median)
+    st = grouped_price_stats(rows, keys, median=p.median)
     ev = rows.groupBy(*keys).agg(F.countDistinct("event_id").alias("event_count"))
     null_safe = [st[k].eqNullSafe(ev[k]) for k in keys]
     out = (st.join(ev.where(F.col("event_count") >= min_events), null_safe)

@@ -10,17 +10,15 @@ from feedlens.config import (REVIEW_TOP_N, SCORE_WEIGHTS, STALENESS_DEFAULT, STA
 from feedlens.functions.columns import (as_of_lit, days_until, epoch_seconds, hour_boundaries_between,
                                         round_half_away)
 from feedlens.operators.common import asc, desc, for_run, market_events, top_then_expand
-from feedlens.operators.reports import exact_median
+from feedlens.operators.reports import grouped_price_stats
 
 
 # R01
 def category_median(t, p: Params) -> DataFrame:
     """Median positive price per category (a bounded table: one row per category)."""
     me = market_events(t, p).where(F.col("get_in_price") > 0)
-    per_value = me.groupBy("category_type", "get_in_price").agg(F.count(F.lit(1)).alias("_n"))
-    med = (F.percentile_approx("get_in_price", 0.5, 10000).cast("double") if p.approx_median
-           else exact_median("get_in_price", "_n"))
-    return per_value.groupBy("category_type").agg(med.alias("cat_median_price"))
+    st = grouped_price_stats(me, ["category_type"], median=p.median)
+    return st.select("category_type", F.col("_median").alias("cat_median_price"))
 
 
 def three_day(t, p: Params) -> DataFrame:
