@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.config import Params
+from feedlens.session import ensure_checkpoint_dir
+
+# A side joined by broadcast must be measured at or below this many rows.
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def for_run(df: DataFrame, p: Params) -> DataFrame:
@@ -38,3 +42,19 @@ def top_then_expand(ranked: DataFrame, order: list[Column], n: int, bridge: Data
     keys_with_partner = ranked.join(bridge.select(key), key, "left_semi")
     top = keys_with_partner.orderBy(*order).limit(n)
     return bridge.join(F.broadcast(top), key)
+
+
+def join_small_side(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` to a side whose size is only known after it is computed
+    (an aggregate such as per-category medians).
+
+    The side is materialised once with a reliable checkpoint (in the shared
+    folder named by spark.checkpoint.dir) and counted; it is broadcast only
+    when the count is within ``max_rows``. Beyond that the join stays a
+    shuffle join, where adaptive execution splits skewed partitions."""
+    ensure_checkpoint_dir(small.sparkSession)
+    side = small.checkpoint(eager=True)
+    if side.count() <= max_rows:
+        side = F.broadcast(side)
+    return big.join(side, on, how)

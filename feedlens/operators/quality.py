@@ -165,8 +165,10 @@ def duplicate_ids(t, p: Params) -> DataFrame:
 
 
 def missing_bridge(t, p: Params, bridge: str) -> DataFrame:
-    """Archived events without any bridge row (NOT EXISTS): anti join."""
-    b = getattr(t, bridge).select("event_id")
+    """Archived events without any bridge row (NOT EXISTS): anti join. The
+    bridge is reduced to its distinct event ids first (map-side), so an event
+    with many partners adds one row to the shuffle, not many."""
+    b = getattr(t, bridge).select("event_id").distinct()
     return t.raw_events.join(b, "event_id", "left_anti")
 
 

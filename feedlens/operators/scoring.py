@@ -9,7 +9,7 @@ from feedlens.config import (REVIEW_TOP_N, SCORE_WEIGHTS, STALENESS_DEFAULT, STA
                              URGENCY_BUCKETS, URGENCY_DEFAULT, Params)
 from feedlens.functions.columns import (as_of_lit, days_until, epoch_seconds, hour_boundaries_between,
                                         round_half_away)
-from feedlens.operators.common import asc, desc, for_run, market_events, top_then_expand
+from feedlens.operators.common import asc, desc, for_run, join_small_side, market_events, top_then_expand
 from feedlens.operators.reports import grouped_price_stats
 
 
@@ -57,8 +57,10 @@ def _staleness(hours):
 def scored_events(t, p: Params) -> DataFrame:
     """One row per priced event with its six component scores.
 
-    Category medians are one row per category and the two scales are one row
-    each, so they join by broadcast with a bound known from the plan."""
+    The two scales are one row each (a bound known from the plan) and are
+    broadcast. Category medians are one row per category; that size is
+    measured before they are broadcast (join_small_side), because a shuffle
+    join on a handful of categories would put each category in one task."""
     as_of = as_of_lit(p)
     me = market_events(t, p).where(F.col("get_in_price") > 0)
     cm = category_median(t, p)
@@ -68,7 +70,7 @@ def scored_events(t, p: Params) -> DataFrame:
             & ~F.col("forecast_value").isin(*[float(s) for s in p.sentinels]))
     qty_ratio = F.col("stats_total_quantity").cast("double") / F.col("max_quantity")
     return (
-        me.join(cm, "category_type", "left")
+        join_small_side(me, cm, "category_type", "left")
         .join(three_day(t, p), "event_id", "left")
         .crossJoin(scales)
         .select(
