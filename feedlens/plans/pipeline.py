@@ -173,8 +173,20 @@ def record_checks(spark: SparkSession, tables: FeedTables, store: TableStore, ru
     return rows
 
 
+def dq_with_ingest_rows(tables: FeedTables, dq: DataFrame, run_id: str | None) -> DataFrame:
+    """Suite rows plus the run's ingest rows (malformed files / events)."""
+    cols = ["check_name", "severity", "status", "affected_count", "details"]
+    ingest = tables.dq_results
+    if ingest is None:
+        return dq.select(*cols)
+    if run_id:
+        ingest = ingest.where(F.col("run_id") == F.lit(run_id))
+    return dq.select(*cols).unionByName(ingest.select(*cols))
+
+
 def report_builders(tables: FeedTables, dq: DataFrame, p: Params) -> dict:
     t = tables
+    dq = dq_with_ingest_rows(tables, dq, p.run_id)
     return {
         "01_events_by_category": lambda: reports.events_by_category(t, p),
         "02_events_by_geography": lambda: reports.events_by_geography(t, p),
