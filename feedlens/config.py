@@ -57,7 +57,6 @@ class Params:
     # "percentile" (exact, one task holds a group's distinct values),
     # "approx" (percentile_approx sketch)
     median: str = "distributed"
-    broadcast_max_bytes: int = 64 * 1024 * 1024
 
     @property
     def as_of_sql(self) -> str:

@@ -7,7 +7,6 @@ the same views, so a match proves the round trip text -> tables."""
 
 from __future__ import annotations
 
-from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,11 +60,3 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-def is_local_path(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or os.path.isabs(uri)
