@@ -18,6 +18,10 @@ from feedlens.operators.merge import (EVENT_RULES, FIRST_ORD, LAST_ORD, PERFORME
 from feedlens.sources import feed
 
 
+def _ord_out(df: DataFrame, keep: bool) -> DataFrame:
+    return df if keep else df.drop("_ord")
+
+
 def _truthy(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c) != F.lit(""))
 
@@ -77,7 +81,7 @@ class Batch:
                 .select("event_id", "venue_slug").distinct())
 
     # S14
-    def market(self) -> DataFrame:
+    def market(self, keep_ord: bool = False) -> DataFrame:
         rows = self.loaded.select(
             F.concat_ws(":", self.run_id, F.col("event_id").cast("string")).alias("state_id"),
             self.run_id.alias("run_id"), "event_id", "source_file",
@@ -87,10 +91,10 @@ class Batch:
             "forecast_is_available", "forecast_value", "forecast_layover_text", "forecast_hover_text",
             "is_past_with_no_pricing", "mock_data_point", "disable_click_through",
             self.loaded_at.alias("loaded_at"), "_ord")
-        return first_wins(rows, ["state_id"], "_ord").drop("_ord")
+        return _ord_out(first_wins(rows, ["state_id"], "_ord"), keep_ord)
 
     # S15
-    def windows(self) -> DataFrame:
+    def windows(self, keep_ord: bool = False) -> DataFrame:
         per = F.explode(F.array(*[
             F.struct(F.lit(d).alias("window_days"), F.col(f"{d}day_price_change").alias("m"))
             for d in WINDOW_DAYS])).alias("w")
@@ -107,17 +111,17 @@ class Batch:
                     F.coalesce(F.col("w.m")["insufficient_data"].try_cast("boolean"),
                                F.lit(False)).alias("insufficient_data"),
                     "_ord"))
-        return first_wins(rows, ["window_id"], "_ord").drop("_ord")
+        return _ord_out(first_wins(rows, ["window_id"], "_ord"), keep_ord)
 
     # S16
-    def raw_archive(self) -> DataFrame:
+    def raw_archive(self, keep_ord: bool = False) -> DataFrame:
         rows = self.loaded.select(
             F.concat_ws(":", file_key("source_file"), F.col("event_id").cast("string")).alias("raw_id"),
             self.run_id.alias("run_id"), "source_file",
             offset_from_name("source_file").alias("source_offset"),
             "event_id", F.col("event_text").alias("raw_json"),
             self.loaded_at.alias("loaded_at"), "_ord")
-        return first_wins(rows, ["raw_id"], "_ord").drop("_ord")
+        return _ord_out(first_wins(rows, ["raw_id"], "_ord"), keep_ord)
 
 
 def build_batch(pages: DataFrame, run_id: str, loaded_at, ntz: bool = False) -> Batch:

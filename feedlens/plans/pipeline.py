@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -19,19 +20,15 @@ from feedlens.config import Params
 from feedlens.operators import kpis, ledger, quality, reports, scoring
 from feedlens.operators.ingest import build_batch
 from feedlens.operators.merge import (EVENT_RULES, FILE_RULES_LATEST, FILE_RULES_REFERENCE, FIRST_ORD, LAST_ORD,
-                                      PERFORMER_RULES, VENUE_RULES, insert_if_absent, ordinal, upsert)
+                                      PERFORMER_RULES, VENUE_RULES, first_wins, insert_if_absent, ordinal, upsert)
 from feedlens.operators.sink import write_result_sets
 from feedlens.sources.store import TableStore
 from feedlens.tables import FeedTables
 
 KEYED = {"events": EVENT_RULES, "performers": PERFORMER_RULES, "venues": VENUE_RULES}
-APPEND_KEYS = {
-    "event_performers": ["event_id", "performer_slug"],
-    "event_venues": ["event_id", "venue_slug"],
-    "market": ["state_id"],
-    "windows": ["window_id"],
-    "raw_events": ["raw_id"],
-}
+FIRST_WINS = {"market": ["state_id"], "windows": ["window_id"], "raw_events": ["raw_id"]}
+BRIDGES = ("event_performers", "event_venues")
+LOGS = ("page_log", "event_quarantine")
 
 
 def _now() -> datetime:
@@ -53,11 +50,11 @@ def page_log(batch, run_id: str) -> DataFrame:
 
 
 def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_id: str,
-                 loaded_at: datetime | None = None, tag: str | None = None,
-                 bounded_batch: bool = False, header_policy: str = "latest") -> None:
+                 loaded_at: datetime | None = None, tag: str | None = None) -> None:
     """Load one delivery of pages (a frame of (source_file, value)) into the
-    store. ``bounded_batch`` says the caller measured the batch as small enough
-    to broadcast its keys (one micro-batch); otherwise merges shuffle on key."""
+    store. Work and writes are O(batch): every table receives this batch's
+    rows as a delta (deduplicated inside the batch by the table's rule);
+    nothing already stored is read or rewritten."""
     loaded_at = loaded_at or _now()
     tag = tag or run_id
     batch = build_batch(pages, run_id, loaded_at)
@@ -65,36 +62,52 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_i
     batch.pages = batch.pages.persist(StorageLevel.MEMORY_AND_DISK)
     batch.events_all = batch.events_all.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        built = {"events": batch.events(), "performers": batch.performers(), "venues": batch.venues()}
-        for name, rules in KEYED.items():
-            merged = upsert(store.read(name), built[name], rules, bounded_batch)
-            store.publish(name, merged, tag)
-
         header_ord = ordinal(batch.loaded_at, F.col("source_file"), F.lit(0))
-        headers = batch.headers.withColumn(FIRST_ORD, header_ord).withColumn(LAST_ORD, header_ord)
-        rules = FILE_RULES_LATEST if header_policy == "latest" else FILE_RULES_REFERENCE
-        store.publish("feed_files", upsert(store.read("feed_files"), headers, rules, bounded_batch), tag)
-
-        appends = {"event_performers": batch.event_performers(), "event_venues": batch.event_venues(),
-                   "market": batch.market(), "windows": batch.windows(), "raw_events": batch.raw_archive()}
-        for name, df in appends.items():
-            if "run_id" not in df.columns:
-                df = df.withColumn("run_id", F.lit(run_id))
-            existing = store.read_fact(name)
-            if existing is not None and name in ("market", "windows"):
-                existing = existing.where(F.col("run_id") == F.lit(run_id))  # partition pruning
-            key = APPEND_KEYS[name]
-            new = insert_if_absent(existing, df, key, F.struct(*[F.col(k) for k in key]), bounded_batch)
-            store.append_fact(name, new, ["run_id"])
-
-        store.append_fact("page_log", page_log(batch, run_id), ["run_id"])
-        q = batch.quarantine_events().withColumn("run_id", F.lit(run_id))
-        store.append_fact("event_quarantine", q, ["run_id"])
+        deltas = {
+            "events": batch.events(), "performers": batch.performers(), "venues": batch.venues(),
+            "feed_files": batch.headers.withColumn(FIRST_ORD, header_ord).withColumn(LAST_ORD, header_ord),
+            "event_performers": batch.event_performers(), "event_venues": batch.event_venues(),
+            "market": batch.market(keep_ord=True), "windows": batch.windows(keep_ord=True),
+            "raw_events": batch.raw_archive(keep_ord=True),
+            "page_log": page_log(batch, run_id),
+            "event_quarantine": batch.quarantine_events().withColumn("run_id", F.lit(run_id)),
+        }
+        for name, df in deltas.items():
+            store.append_delta(name, df, tag)
     finally:
         batch.pages.unpersist()
         batch.events_all.unpersist()
 
 
+def read_table(store: TableStore, name: str, keep_ord: bool = False,
+               header_policy: str = "latest") -> DataFrame | None:
+    """A stored table with its merge rule applied to base + deltas."""
+    df = store.read_all(name)
+    if df is None:
+        return None
+    if name in KEYED or name == "feed_files":
+        rules = KEYED.get(name) or (FILE_RULES_LATEST if header_policy == "latest" else FILE_RULES_REFERENCE)
+        cols = df.columns
+        df = upsert(None, df, rules).select(*cols)
+        return df if keep_ord else df.drop(FIRST_ORD, LAST_ORD)
+    if name in FIRST_WINS:
+        df = first_wins(df, FIRST_WINS[name], "_ord")
+        return df if keep_ord else df.drop("_ord")
+    if name in BRIDGES:
+        return df.distinct()
+    return df
+
+
+def compact(store: TableStore, tables=None) -> None:
+    """Fold each table's deltas into a new base (O(table), once per run)."""
+    for name in tables or (*KEYED, "feed_files", *FIRST_WINS, *BRIDGES, *LOGS):
+        tags = store.delta_tags(name)
+        if not tags:
+            continue
+        merged = read_table(store, name, keep_ord=True)
+        store.publish(name, merged, f"compact-{time.time_ns()}", folded=tags)
+
+
 def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: datetime, input_dir: str) -> None:
     store.append_fact("runs", ledger.run_start_row(spark, run_id, started_at, input_dir), ["run_id"])
 
@@ -112,14 +125,14 @@ def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at:
                input_dir: str) -> DataFrame:
     """W07 + W09 from the run's page log and event quarantine."""
     finished = F.lit(_now()).cast("timestamp")
-    pages = store.read_fact("page_log")
+    pages = read_table(store, "page_log")
     pages = pages.where(F.col("run_id") == F.lit(run_id)) if pages is not None else None
     if pages is None:
         pages = spark.createDataFrame([], "run_id string, source_file string, valid boolean, reason string, "
                                           "events_loaded int, events_rejected int")
     done = ledger_from_log(pages, F.lit(run_id), F.lit(started_at).cast("timestamp"), finished, input_dir)
     bad_files = pages.where(~F.col("valid")).select("source_file", "reason")
-    bad_events = store.read_fact("event_quarantine")
+    bad_events = read_table(store, "event_quarantine")
     if bad_events is None:
         bad_events = spark.createDataFrame([], "source_file string, reason string, event_id string")
     else:
@@ -134,25 +147,27 @@ def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at:
 
 
 def run_batch(spark: SparkSession, pages: DataFrame, store: TableStore, run_id: str,
-              input_dir: str = "", loaded_at: datetime | None = None, **kw) -> DataFrame:
-    """Whole delivery as one batch: start, ingest, finish."""
+              input_dir: str = "", loaded_at: datetime | None = None, compact_after: bool = True,
+              **kw) -> DataFrame:
+    """Whole delivery as one batch: start, ingest, finish, fold deltas."""
     started = loaded_at or _now()
     start_run(spark, store, run_id, started, input_dir)
     ingest_pages(spark, pages, store, run_id, started, **kw)
-    return finish_run(spark, store, run_id, started, input_dir)
+    done = finish_run(spark, store, run_id, started, input_dir)
+    if compact_after:
+        compact(store)
+    return done
 
 
-def load_tables(store: TableStore) -> FeedTables:
-    def keyed(name):
-        df = store.read(name)
-        return df.drop(FIRST_ORD, LAST_ORD) if df is not None else None
+def load_tables(store: TableStore, header_policy: str = "latest") -> FeedTables:
+    def t(name):
+        return read_table(store, name, header_policy=header_policy)
 
     return FeedTables(
-        feed_files=keyed("feed_files"), raw_events=store.read_fact("raw_events"), events=keyed("events"),
-        performers=keyed("performers"), venues=keyed("venues"),
-        event_performers=store.read_fact("event_performers").drop("run_id"),
-        event_venues=store.read_fact("event_venues").drop("run_id"),
-        market=store.read_fact("market"), windows=store.read_fact("windows"),
+        feed_files=t("feed_files"), raw_events=t("raw_events"), events=t("events"),
+        performers=t("performers"), venues=t("venues"),
+        event_performers=t("event_performers"), event_venues=t("event_venues"),
+        market=t("market"), windows=t("windows"),
         dq_results=store.read_fact("dq_results"), runs=store.read_fact("runs"))
 
 

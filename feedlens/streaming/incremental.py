@@ -2,11 +2,12 @@
 
 The file source lists new page files, ``maxFilesPerTrigger`` bounds each
 micro-batch (10 files, as the reference commits every 10 files), and
-``foreachBatch`` runs the same merges as the batch pipeline. The streaming
-checkpoint records which files were loaded, so a second run over the same
-directory loads nothing new. Each batch is published under a tag containing
-the batch id: a batch replayed after a failure rewrites the same version and
-the insert-if-absent merges drop rows already appended.
+``foreachBatch`` writes each batch's rows as deltas: O(batch) work per
+micro-batch, nothing stored is rewritten. The streaming checkpoint records
+which files were loaded, so a second run over the same directory loads
+nothing new. Delta folders are named by the batch id, so a batch replayed
+after a failure overwrites its own delta; the merge rules are idempotent.
+Deltas are folded into the bases once, when the run ends.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ def page_stream(spark: SparkSession, input_dir: str, max_files: int = FILES_PER_
 
 def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, checkpoint: str, run_id: str,
                      started_at: datetime | None = None, max_files: int = FILES_PER_COMMIT,
-                     layout: str = "files",
-                     broadcast_chars: int = 256 * 1024 * 1024) -> DataFrame:
+                     layout: str = "files", compact_after: bool = True) -> DataFrame:
     """Load every file not yet seen by ``checkpoint``; returns the ledger row."""
     started = started_at or pipeline._now()
     pipeline.start_run(spark, store, run_id, started, input_dir)
@@ -44,12 +44,10 @@ def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, che
     def load(batch_df: DataFrame, batch_id: int) -> None:
         pages = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # measured size of this micro-batch: its keys are a subset of its text
-            size = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")).first()
-            if size["n"] == 0:
+            if pages.isEmpty():
                 return
-            pipeline.ingest_pages(spark, pages, store, run_id, started, tag=f"{run_id}-b{batch_id}",
-                                  bounded_batch=(size["chars"] or 0) <= broadcast_chars)
+            # O(batch): this batch's rows become deltas tagged by the batch id
+            pipeline.ingest_pages(spark, pages, store, run_id, started, tag=f"{run_id}-b{batch_id}")
         finally:
             pages.unpersist()
 
@@ -59,4 +57,7 @@ def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, che
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return pipeline.finish_run(spark, store, run_id, started, input_dir)
+    done = pipeline.finish_run(spark, store, run_id, started, input_dir)
+    if compact_after:
+        pipeline.compact(store)  # once per run, not per micro-batch
+    return done
