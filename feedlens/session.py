@@ -45,11 +45,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is. Only when it is unset (local tests) a fresh folder is created."""
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session: the server owns the checkpoint folder
+        sc = None
+    if sc is None:
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
