@@ -51,3 +51,24 @@ def test_batch_pipeline_checks_and_outputs(spark, tmp_path):
     assert os.path.isdir(os.path.join(out, "pricing_review_ranked"))
     review = spark.read.option("header", True).csv(os.path.join(out, "pricing_review_ranked"))
     assert review.count() == 2  # price > 0 only
+
+
+def test_merge_on_read_equals_compacted_and_survives_replay(spark, tmp_path):
+    from conftest import pages_frame
+    store = TableStore(spark, str(tmp_path / "store"))
+    d1 = [(page_name(0), make_feed_file([make_event({"id": 1, "title": "old"}), make_event({"id": 2})]))]
+    d2 = [(page_name(100), make_feed_file([make_event({"id": 1, "title": "new"}), make_event({"id": 3})]))]
+    pipeline.ingest_pages(spark, pages_frame(spark, d1), store, "run-1", datetime(2026, 5, 27), tag="b1")
+    pipeline.ingest_pages(spark, pages_frame(spark, d2), store, "run-1", datetime(2026, 5, 27), tag="b2")
+    pipeline.ingest_pages(spark, pages_frame(spark, d2), store, "run-1", datetime(2026, 5, 27), tag="b2")  # replay
+
+    def snapshot():
+        t = pipeline.load_tables(store)
+        return (sorted((r["event_id"], r["title"]) for r in t.events.collect()),
+                t.market.count(), t.windows.count(), t.raw_events.count(), t.event_venues.count())
+
+    before = snapshot()
+    assert before == ([(1, "new"), (2, "Test Event"), (3, "Test Event")], 3, 12, 4, 3)
+    pipeline.compact(store)
+    assert snapshot() == before
+    assert store.read_deltas("events").count() == 0  # folded deltas are skipped
