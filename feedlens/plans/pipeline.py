@@ -26,7 +26,11 @@ from feedlens.sources.store import TableStore
 from feedlens.tables import FeedTables
 
 KEYED = {"events": EVENT_RULES, "performers": PERFORMER_RULES, "venues": VENUE_RULES}
-FIRST_WINS = {"market": ["state_id"], "windows": ["window_id"], "raw_events": ["raw_id"]}
+# snapshot facts group by (run_id, key): a report's run filter is then on a
+# grouping column, so it is pushed below the dedup and down to the files,
+# which are partitioned by run_id
+FIRST_WINS = {"market": ["run_id", "state_id"], "windows": ["run_id", "window_id"], "raw_events": ["raw_id"]}
+BY_RUN = {"market": ["run_id"], "windows": ["run_id"]}
 BRIDGES = ("event_performers", "event_venues")
 LOGS = ("page_log", "event_quarantine")
 
@@ -73,7 +77,7 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_i
             "event_quarantine": batch.quarantine_events().withColumn("run_id", F.lit(run_id)),
         }
         for name, df in deltas.items():
-            store.append_delta(name, df, tag)
+            store.append_delta(name, df, tag, BY_RUN.get(name))
     finally:
         batch.pages.unpersist()
         batch.events_all.unpersist()
@@ -105,7 +109,7 @@ def compact(store: TableStore, tables=None) -> None:
         if not tags:
             continue
         merged = read_table(store, name, keep_ord=True)
-        store.publish(name, merged, f"compact-{time.time_ns()}", folded=tags)
+        store.publish(name, merged, f"compact-{time.time_ns()}", folded=tags, partition_by=BY_RUN.get(name))
 
 
 def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: datetime, input_dir: str) -> None:
