@@ -91,3 +91,22 @@ def test_insert_if_absent_replay_appends_nothing(spark):
     assert sorted((r["k"], r["v"]) for r in first.collect()) == [(1, "y"), (2, "z")]
     again = merge.insert_if_absent(first, batch, ["k"], "o")
     assert again.count() == 0
+
+
+def test_join_small_side_same_result_with_and_without_broadcast(spark):
+    from feedlens.operators.common import join_small_side
+    big = spark.createDataFrame([(i % 5, i) for i in range(100)], "k int, v int")
+    small = spark.createDataFrame([(k, k * 10) for k in range(4)], "k int, w int")
+    a = sorted(tuple(r) for r in join_small_side(big, small, "k", "left", max_rows=10).collect())
+    b = sorted(tuple(r) for r in join_small_side(big, small, "k", "left", max_rows=0).collect())
+    assert a == b and len(a) == 100
+
+
+def test_median_modes_agree_where_exact(spark):
+    from feedlens.operators.reports import grouped_price_stats
+    df = spark.createDataFrame([("a", float(x)) for x in (1, 2, 3, 4)] + [("b", 5.0)], "g string, get_in_price double")
+    meds = {}
+    for mode in ("distributed", "percentile", "approx"):
+        meds[mode] = {r["g"]: r["_median"] for r in grouped_price_stats(df, ["g"], median=mode).collect()}
+    assert meds["distributed"] == meds["percentile"] == {"a": 2.5, "b": 5.0}
+    assert meds["approx"]["b"] == 5.0 and meds["approx"]["a"] in (2.0, 3.0)
