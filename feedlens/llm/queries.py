@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import lines, mixing, packing, simhash
+from feedlens.llm import langid, lines, mixing, packing, simhash, urlfilter
 from feedlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 SHINGLE, BITS = 4, 4
+#: (verdict, host, path)
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id")))
+    return langid.identify(docs, langid.fit(docs.where("not held_out")), ["doc_id", "held_out"])
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +37,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
@@ -35,8 +48,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op9_source_mix)}
+        op1_language_id, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op8_url_filter, op9_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": lines.ORACLE}
+    return {"op5_line_dedup": lines.ORACLE, "op8_url_filter": urlfilter.oracle(URL_RULES)}
