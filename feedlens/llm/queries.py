@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import langid, lines, mixing, packing, simhash, urlfilter
+from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, urlfilter
 from feedlens.llm.common import table
+from feedlens.llm.vectors import finite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs.where("not held_out")), ["doc_id", "held_out"])
 
 
+EVERY, TOP = 50, 5
+
+
+def op2_cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return crosspoly.nearest(rows, F.col("vec_id") % EVERY == 0, TOP)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE, BITS)
 
@@ -46,10 +55,31 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    rows = rows.select("vec_id", balltree.quantize(F.col("embedding")).alias("vec"))
+    return balltree.top_products(rows, F.col("vec_id") % EVERY == 0, TOP)
+
+
+#: Integer scores, so SQL gives the same rows.
+TOP_K_ORACLE = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op1_language_id, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op8_url_filter, op9_source_mix)}
+        op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op8_url_filter, op9_source_mix,
+        op10_exact_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": lines.ORACLE, "op8_url_filter": urlfilter.oracle(URL_RULES)}
+    return {"op5_line_dedup": lines.ORACLE, "op8_url_filter": urlfilter.oracle(URL_RULES),
+            "op10_exact_top_k": TOP_K_ORACLE}
