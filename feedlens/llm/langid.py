@@ -115,20 +115,24 @@ def train(samples: list[tuple[bytes, str]], epochs: int = 6, batch: int = 64, ra
 
 
 def fit(labelled: DataFrame, windows: int = SAMPLE_WINDOWS, seed: int = 7) -> ByteNet | None:
-    """A network fitted on (text, lang): one window of each of at most ``windows`` documents, the same number per language.
+    """A network fitted on (text, lang): one window of each of at most ``windows`` distinct texts, up to the same number per language.
 
     Rows with a null text or lang teach nothing; of more than MAX_LANGS
     languages the most frequent are learned. The sample is chosen by a hash
     of the text, so reruns agree; a few megabytes reach the driver."""
     rows = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    if not counts:
         return None
+    each = max(1, windows // len(counts))
     h = F.xxhash64("text", F.lit(seed))
     piece = F.substring("text", (F.pmod(h, F.greatest(F.length("text") - LENGTH + 1, F.lit(1))) + 1).cast("int"), F.lit(LENGTH))
-    cut = rows.select("lang", h.alias("h"), piece.alias("piece")).where(F.col("lang").isin(langs))
+    parts = 1 << 30  # about three times what is needed passes by hash, so that what is sorted does not grow with the rows
+    passing = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 3 * each * parts // r["n"] + 1))])
+    cut = (rows.where(F.pmod(h, F.lit(parts)) < F.coalesce(F.try_element_at(passing, F.col("lang")), F.lit(0)))
+           .select("lang", h.alias("h"), piece.alias("piece")).distinct())  # copies of a text count once
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))
-    sample = cut.withColumn("nth", nth).where(F.col("nth") <= max(1, windows // len(langs))).orderBy("lang", "nth")
+    sample = cut.withColumn("nth", nth).where(F.col("nth") <= each).orderBy("lang", "nth")
     return train([(r["piece"].encode("utf-8", "surrogatepass"), r["lang"]) for r in sample.select("piece", "lang").collect()])
 
 

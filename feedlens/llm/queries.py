@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, urlfilter
-from feedlens.llm.common import table
+from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, toxicity, urlfilter
+from feedlens.llm.common import crc_bucket, table
 from feedlens.llm.vectors import finite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+#: A text is predicted toxic from this score on.
+TOXIC_FROM = 0.3
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_bucket(F.col("doc_id"), 4) == 2)
+    model = toxicity.fit(docs.where("not held_out"), table(spark, sf_dir, "labels"))
+    rows = toxicity.judge(docs, model, ["doc_id", "held_out"])
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "evidence")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -76,7 +87,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op8_url_filter, op9_source_mix,
+        op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op7_toxicity, op8_url_filter, op9_source_mix,
         op10_exact_top_k)}
 
 
