@@ -19,10 +19,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder named by ``spark.checkpoint.dir`` and read it back.
 
     Lineage is cut at a table every executor can read, so a lost executor
-    costs at most the tasks it was running."""
-    path = shared_scratch(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    costs at most the tasks it was running. The shuffle files of the write
+    are of no more use and go when it ends."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_scratch(spark, f"llm-{name}"), spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

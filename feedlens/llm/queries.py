@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, toxicity, urlfilter
+from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, suffixtree, toxicity, urlfilter
 from feedlens.llm.common import crc_bucket, table
 from feedlens.llm.vectors import finite
 
@@ -46,6 +46,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffixtree.score_texts(docs, crc_bucket(F.col("doc_id"), 5) == 1)
+
+
 #: A text is predicted toxic from this score on.
 TOXIC_FROM = 0.3
 
@@ -87,7 +92,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
-        op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op7_toxicity, op8_url_filter, op9_source_mix,
+        op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op6_lm_score, op7_toxicity, op8_url_filter, op9_source_mix,
         op10_exact_top_k)}
 
 
