@@ -9,12 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import lines, mixing, packing, simhash
+from feedlens.llm import langid, lines, mixing, packing, simhash
 from feedlens.llm.common import materialize, table
 
 SHINGLE, BITS = 4, 4
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts and texts without a letter. lang keeps the given label."""
+    known = docs.where(F.coalesce(~langid.held_out(F.col("doc_id")), F.lit(True)))
+    return langid.keep_known(docs, langid.fit(known))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated three-line windows leave the texts; every document stays."""
     return lines.dedup_lines(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -36,6 +42,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_id),
     ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
     ("source_mix", source_mix),

@@ -160,6 +160,16 @@ def _classify(batches: Iterator[pa.RecordBatch], net: ByteNet | None, step: int
                                          [*b.schema.names[:-1], "lang_pred", "score"])
 
 
+def keep_known(docs: DataFrame, net: ByteNet | None) -> DataFrame:
+    """The rows of ``docs`` that get a language, with all their columns; without anything learned, all with a letter."""
+    if net is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names of its own, whatever the input's
+    at = docs.columns.index("text")
+    rows = identify(named.withColumn("text", F.col(f"c{at}")), net, named.columns).where(F.col("lang_pred") != UNDETERMINED)
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify(docs: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame:
     """The kept columns, lang_pred and score of every row of ``docs``.
 
