@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.common import materialize
 
-CHUNK_BYTES = 20_000_000
+CHUNK_BYTES = 10_000_000
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word has a line feed
 WORD_KIND, PAIR_KIND, TRIPLE_KIND, ONE_KIND, TWO_KIND = range(5)
 #: Occurrences that a context of one and of two words needs; least mean gain in nats; weights of a state's own counts to choose from.
