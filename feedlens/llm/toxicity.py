@@ -44,11 +44,19 @@ def term_counts(text: str | None) -> Counter:
     return out
 
 
+def known_terms(word: str, terms: dict[str, int]) -> tuple[int, ...]:
+    """The numbers of those terms of a word that ``terms`` holds."""
+    grams = "^" + word
+    found = {t for i in range(len(grams) - GRAM + 1) if (t := terms.get(grams[i:i + GRAM])) is not None}
+    own = terms.get("=" + word)
+    return tuple(found if own is None else found | {own})
+
+
 @dataclass
 class BlockMaxIndex:
     """Unit vectors of the examples as postings by term, sorted by example, with each block's largest weight."""
 
-    start: np.ndarray  # of each term's postings, and their end
+    start: np.ndarray  # terms x (blocks + 1): where each term's postings of each block begin
     example: np.ndarray
     weight: np.ndarray
     most: np.ndarray  # terms x blocks
@@ -61,34 +69,39 @@ class BlockMaxIndex:
         e = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
         order = np.lexsort((e, t))
         t, w, e = t[order], w[order], e[order]
-        most = np.zeros((terms, max(1, -(-len(vectors) // BLOCK))))
+        blocks = max(1, -(-len(vectors) // BLOCK))
+        most = np.zeros((terms, blocks))
         np.maximum.at(most, (t, e // BLOCK), w)
-        return cls(np.searchsorted(t, np.arange(terms + 1)), e, w, most, len(vectors))
+        edges = np.arange(terms)[:, None] * blocks + np.arange(blocks + 1)[None, :]
+        return cls(np.searchsorted(t * blocks + e // BLOCK, edges), e, w, most, len(vectors))
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k best with a cosine above 0, best first, ties to the smaller number."""
         if not len(terms) or not self.size:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = weights @ self.most[terms]
-        order, seen, score = np.argsort(-bound, kind="stable"), np.zeros(len(bound), bool), np.zeros(self.size)
-        order, step, kth = order[bound[order] > 0], 2, 0.0
+        order = np.argsort(-bound, kind="stable")
+        order, step, kth, names, scores = order[bound[order] > 0], 8, 0.0, [np.zeros(0, np.int64)], [np.zeros(0)]
         while len(order):
-            chosen, order = order[:step], order[step:]
-            seen[chosen] = True
-            wanted = np.zeros(len(bound), bool)
-            wanted[chosen] = True
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                a, b = self.start[t], self.start[t + 1]
-                own = self.example[a:b]
-                hit = wanted[own // BLOCK]
-                score[own[hit]] += w * self.weight[a:b][hit]
+            chosen, order = np.sort(order[:step]), order[step:]
+            a, b = self.start[terms[:, None], chosen], self.start[terms[:, None], chosen + 1]
+            count = (b - a).ravel()
+            at = np.arange(count.sum()) + np.repeat(a.ravel() - np.cumsum(count) + count, count)
+            cell = self.example[at]  # its place among the chosen blocks' examples:
+            cell = cell % BLOCK + np.repeat(np.tile(np.arange(len(chosen)) * BLOCK, len(terms)), count)
+            got = np.bincount(cell, np.repeat(np.repeat(weights, len(chosen)), count) * self.weight[at], len(chosen) * BLOCK)
+            hit = np.flatnonzero(got >= max(kth, 1e-300))
+            names.append(chosen[hit // BLOCK] * BLOCK + hit % BLOCK)
+            scores.append(got[hit])
             if skip >= 0:
-                score[skip] = 0
-            kth = np.partition(score, -k)[-k] if self.size > k else 0.0
-            order, step = order[bound[order] * (1 + 1e-12) >= max(kth, 1e-300)], step * 4
-        best = np.flatnonzero(score >= kth) if kth > 0 else np.flatnonzero(score > 0)
-        best = best[np.lexsort((best, -score[best]))][:k]
-        return best, score[best]
+                scores[-1] = np.where(names[-1] == skip, 0.0, scores[-1])
+            if sum(map(len, scores)) >= k:
+                kth = float(np.partition(np.concatenate(scores), -k)[-k])
+            order, step = order[bound[order] * (1 + 1e-12) >= max(kth, 1e-300)], len(order)
+        name, score = np.concatenate(names), np.concatenate(scores)
+        best = np.flatnonzero((score >= kth) & (score > 0))
+        best = best[np.lexsort((name[best], -score[best]))][:k]
+        return name[best], score[best]
 
 
 @dataclass
@@ -204,7 +217,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, memo_size: int = 200
                 if found is None:
                     if len(memo) >= memo_size:
                         memo.clear()
-                    found = memo[word] = tuple(model.terms[t] for t in terms_of(word) if t in model.terms)
+                    found = memo[word] = known_terms(word, model.terms)
                 for t in found:
                     counts[t] = counts.get(t, 0) + n
             if counts:
