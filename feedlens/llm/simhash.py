@@ -144,7 +144,7 @@ def links(prints: DataFrame, distance: int, bucket: int = BUCKET) -> DataFrame:
         todo = todo.withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = materialize(todo.groupBy("mask", "part").agg(F.count("*").alias("n"))
                             .where((F.col("n") > bucket) & (F.bit_count("mask") < MASKED)), "simhash-hot")
-        hot = [r["mask"] for r in sizes.select("mask").distinct().collect()]  # masks, as many as there are choices of blocks
+        hot = [r["mask"] % (1 << 64) for r in sizes.select("mask").distinct().collect()]  # masks, as many as there are choices of blocks
         cold = todo.join(sizes, ["mask", "part"], "left_anti") if hot else todo
         near = (cold.repartition("mask", "part").sortWithinPartitions("mask", "part").select("mask", "fp")
                 .mapInPandas(lambda parts: _compare(parts, distance), "src long, dst long"))

@@ -113,16 +113,18 @@ class Chunk:
     def __init__(self, row: dict, back: dict[int, np.ndarray], n: int = 0, v: int = 0):
         self.place, self.ids, self.held = row["chunk"], row["ids"], np.array(row["held"], bool)
         self.sizes = np.array(row["sizes"], np.int64)
-        self.code = expand(row["tokens"], np.uint32).astype(np.int64)
+        self.code = expand(row["tokens"], np.uint32).view(np.int32)
         self.word = np.frombuffer(row["words"], np.uint64)
         self.back, self.n, self.v = back, n, v
         ends = np.cumsum(self.sizes)
         self.start = ends - self.sizes
         place = np.arange(len(self.code)) - np.repeat(self.start, self.sizes)
         self.train = np.repeat(~self.held, self.sizes)
-        self.second, self.third = np.flatnonzero(place >= 1), np.flatnonzero(place >= 2)
-        ids = self.code[self.second - 1] * len(self.word) + self.code[self.second]
-        self.pairs, self.pair = np.unique(ids, return_inverse=True)
+        self.second, self.third = (np.flatnonzero(place >= k).astype(np.int32) for k in (1, 2))
+        del place
+        ids = self.code[self.second - 1].astype(np.int64) * len(self.word) + self.code[self.second]
+        self.pairs, pair = np.unique(ids, return_inverse=True)
+        self.pair = pair.astype(np.int32)
         self.pair_key = mix(self.word[self.pairs // len(self.word)], self.word[self.pairs % len(self.word)])
 
     def sums_of(self, kind: int, keys: np.ndarray, width: int = 1) -> np.ndarray:
@@ -138,8 +140,9 @@ class Chunk:
         return np.bincount(self.pair[self.train[self.second]], minlength=len(self.pairs))
 
     def root(self) -> None:
-        """Word counts and the root's probabilities, per token."""
+        """Word counts, the words that are frequent enough for a state, and the root's probabilities, per token."""
         self.count = self.sums_of(WORD_KIND, self.word)
+        self.contexts1 = np.flatnonzero(self.count >= LEAST_ONE)
         self.p0 = ((self.count + 0.5) / (self.n + 0.5 * (self.v + 1)))[self.code]
 
     def one(self) -> None:
@@ -153,8 +156,9 @@ class Chunk:
         both, last = self.pair_count[before], self.count[self.code[self.third - 1]]
         fits = (both >= LEAST_TWO) & (last >= OPEN * both)
         self.third, self.before = self.third[fits], before[fits]
-        ids = self.before * len(self.word) + self.code[self.third]
-        self.triples, self.triple = np.unique(ids, return_inverse=True)
+        ids = self.before.astype(np.int64) * len(self.word) + self.code[self.third]
+        self.triples, triple = np.unique(ids, return_inverse=True)
+        self.triple = triple.astype(np.int32)
         self.triple_key = mix(self.pair_key[self.triples // len(self.word)] ^ np.uint64(0x5851F42D4C957F2D),
                               self.word[self.triples % len(self.word)])
         self.contexts2, self.context2_at = np.unique(self.before, return_inverse=True)
@@ -181,11 +185,13 @@ class Chunk:
     def votes1(self) -> np.ndarray:
         use = self.train[self.second] & (self.context1 >= LEAST_ONE)
         i = self.second[use]
-        return self.gains(self.code[i - 1], len(self.word), self.joint1[use], self.context1[use], self.p0[i])
+        return self.gains(self.code[i - 1], len(self.word), self.joint1[use], self.context1[use], self.p0[i])[self.contexts1]
 
     def apply1(self) -> None:
         """p1: per token, the probability by its last word where that is a state."""
-        self.share1 = self.kept_share(self.sums_of(ONE_KIND, self.word, len(SHARES)), self.count, LEAST_ONE)
+        self.share1 = np.zeros(len(self.word))
+        self.share1[self.contexts1] = self.kept_share(self.sums_of(ONE_KIND, self.word[self.contexts1], len(SHARES)),
+                                                      self.count[self.contexts1], LEAST_ONE)
         share = self.share1[self.code[self.second - 1]]
         self.p1 = self.p0.copy()
         self.p1[self.second] = share * self.joint1 / np.maximum(self.context1, 1) + (1 - share) * self.p0[self.second]
@@ -214,7 +220,7 @@ class Chunk:
         if step == 0:
             return [(WORD_KIND, self.word, self.word_counts()), (PAIR_KIND, self.pair_key, self.pair_counts())]
         if step == 1:
-            return [(TRIPLE_KIND, self.triple_key, self.triple_counts()), (ONE_KIND, self.word, self.votes1())]
+            return [(TRIPLE_KIND, self.triple_key, self.triple_counts()), (ONE_KIND, self.word[self.contexts1], self.votes1())]
         return [(TWO_KIND, self.pair_key[self.contexts2], self.votes2())]
 
     def scores(self) -> dict:
