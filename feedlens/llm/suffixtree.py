@@ -236,7 +236,8 @@ def _messages(chunk: Chunk, step: int, bits: int) -> pa.Table:
     rows = {n: [] for n in ("chunk", "kind", "shard", "keys", "sums")}
     for kind, keys, sums in chunk.send(step):
         order = np.argsort(keys)
-        keys, sums = keys[order], sums.astype(np.int64).reshape(len(keys), -1)[order]
+        sums = sums.astype(np.int64)
+        keys, sums = keys[order], (sums[:, None] if sums.ndim == 1 else sums)[order]
         cuts = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64))
         for shard, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
             if b > a:
