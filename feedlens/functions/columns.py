@@ -33,6 +33,22 @@ def normalise_ts(text, ntz: bool = False) -> Column:
     return t.try_cast("timestamp_ntz" if ntz else "timestamp")
 
 
+def lenient_double(text) -> Column:
+    """JSON scalar text -> double; true and false count as 1 and 0."""
+    t = F.lower(_c(text))
+    return F.coalesce(_c(text).try_cast("double"), F.when(t == "true", F.lit(1.0)).when(t == "false", F.lit(0.0)))
+
+
+def lenient_int(text, kind: str = "bigint") -> Column:
+    """JSON scalar text -> integer; a fraction is rounded, what does not fit is NULL."""
+    return F.coalesce(_c(text).try_cast(kind), F.round(lenient_double(text)).try_cast(kind))
+
+
+def lenient_bool(text) -> Column:
+    """JSON scalar text -> boolean; a number is true unless it is 0."""
+    return F.coalesce(_c(text).try_cast("boolean"), lenient_double(text) != F.lit(0.0))
+
+
 def as_of_lit(params: Params) -> Column:
     return F.lit(params.as_of_sql).cast("timestamp_ntz" if params.ntz else "timestamp")
 

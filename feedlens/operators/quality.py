@@ -32,6 +32,7 @@ class RowCheck:
     source: str                      # attribute of FeedTables
     predicate: Callable[[Params], Column]
     item: str                        # column identifying a failing row
+    first: Callable[[], Column] | None = None  # which failing rows a sample shows first; else the smallest item
 
 
 def _sign_mismatch(p):
@@ -73,13 +74,14 @@ ROW_CHECKS: list[RowCheck] = [
              lambda p: (F.col("insufficient_data") == F.lit(True))
              & ((F.col("raw_change") != 0) | (F.col("percent_change") != 0)), "window_id"),
     RowCheck("dq_suspicious_change", "suspicious_large_price_change", "WARNING", "windows",
-             suspicious_predicate, "window_id"),
+             suspicious_predicate, "window_id", lambda: F.abs("percent_change").desc_nulls_last()),
     RowCheck("dq_sentinel_available", "forecast_sentinel_not_treated_as_prediction", "WARNING", "market",
              lambda p: (F.col("forecast_is_available") == F.lit(True)) & _sentinel(p), "state_id"),
     RowCheck("dq_unavailable_value", "forecast_unavailable_has_sentinel", "INFO", "market",
              lambda p: (F.col("forecast_is_available") == F.lit(False)) & ~_sentinel(p)
              & F.col("forecast_value").isNotNull(), "state_id"),
-    RowCheck("dq_stale", "stats_last_updated_stale", "WARNING", "market", stale_predicate, "state_id"),
+    RowCheck("dq_stale", "stats_last_updated_stale", "WARNING", "market", stale_predicate, "state_id",
+             lambda: F.col("stats_last_updated_at").asc_nulls_last()),
     RowCheck("dq_mock_flag", "mock_data_points_present", "WARNING", "market",
              lambda p: F.col("mock_data_point") != 0, "state_id"),
 ]
@@ -203,6 +205,14 @@ def _broken(spark, name: str) -> DataFrame:
     return spark.createDataFrame([(name, -1)], "check_name string, affected_count bigint")
 
 
+def _resolves(df: DataFrame, predicate: Column) -> bool:
+    """Whether the table has what a check reads, so a broken check takes no other with it."""
+    try:
+        return bool(df.select(predicate).schema)
+    except AnalysisException:
+        return False
+
+
 def run_checks(t, p: Params, keys: list[str] | None = None) -> DataFrame:
     """Counts for the requested checks (default: all 22), one row per check:
     check_name, severity, status, affected_count. Row checks sharing a table
@@ -215,13 +225,12 @@ def run_checks(t, p: Params, keys: list[str] | None = None) -> DataFrame:
             by_source.setdefault(ROW_BY_KEY[k].source, []).append(ROW_BY_KEY[k])
     spark = t.events.sparkSession
     for source, checks in by_source.items():
-        try:
-            df = _source(t, p, source)
-            wide = df.agg(*[F.count_if(c.predicate(p)).alias(c.name) for c in checks])
-            parts.append(wide.unpivot([], [c.name for c in checks], "check_name", "affected_count"))
-        except AnalysisException:
-            for c in checks:
-                parts.append(_broken(spark, c.name))
+        df = _source(t, p, source)
+        sound = [c for c in checks if _resolves(df, c.predicate(p))]
+        parts += [_broken(spark, c.name) for c in checks if c not in sound]
+        if sound:
+            wide = df.agg(*[F.count_if(c.predicate(p)).alias(c.name) for c in sound])
+            parts.append(wide.unpivot([], [c.name for c in sound], "check_name", "affected_count"))
     for k in keys:
         if k in JOIN_CHECKS:
             name = JOIN_CHECKS[k][0]
@@ -240,15 +249,17 @@ def dq_suite(t, p: Params) -> DataFrame:
 
 
 def failing_rows(t, p: Params, keys: list[str] | None = None, n: int = DQ_SAMPLE_ROWS) -> DataFrame:
-    """Drill-down (D23): up to ``n`` failing items per check, smallest first.
+    """Drill-down (D23): up to ``n`` failing items per check: the largest
+    changes, the oldest rows, else the smallest items (numbers by size).
     Each check is a filter plus a bounded top-n, never a window over a group."""
     keys = keys or SUITE_ORDER
     parts = []
     for k in keys:
+        first = F.col("item").try_cast("bigint").asc_nulls_last()
         if k in ROW_BY_KEY:
             c = ROW_BY_KEY[k]
-            rows = _source(t, p, c.source).where(c.predicate(p)).select(F.col(c.item).cast("string").alias("item"))
-            name = c.name
+            rows = _source(t, p, c.source).where(c.predicate(p)).withColumn("item", F.col(c.item).cast("string"))
+            name, first = c.name, c.first() if c.first else first
         else:
             name = JOIN_CHECKS[k][0]
             if k == "dq_page_count_reconcile":
@@ -261,7 +272,7 @@ def failing_rows(t, p: Params, keys: list[str] | None = None, n: int = DQ_SAMPLE
                 rows = missing_bridge(t, p, "event_performers").select(F.col("raw_id").alias("item"))
             else:
                 rows = missing_bridge(t, p, "event_venues").select(F.col("raw_id").alias("item"))
-        parts.append(rows.orderBy(F.col("item").asc_nulls_last()).limit(n)
+        parts.append(rows.orderBy(first, F.col("item").asc_nulls_last()).limit(n)
                      .select(F.lit(name).alias("check_name"), "item"))
     out = parts[0]
     for part in parts[1:]:

@@ -118,10 +118,10 @@ def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: d
 
 def ledger_from_log(pages: DataFrame, run_id, started_at, finished_at, input_dir: str) -> DataFrame:
     """The finished-run row from a run's page log (one aggregate)."""
-    metrics = pages.agg(F.count(F.lit(1)).cast("int").alias("files_found"),
-                        F.count_if("valid").cast("int").alias("files_loaded"),
+    metrics = pages.agg(F.count(F.lit(1)).alias("files_found"),
+                        F.count_if("valid").alias("files_loaded"),
                         F.coalesce(F.sum(F.when(F.col("valid"), F.col("events_loaded"))), F.lit(0))
-                        .cast("int").alias("events_loaded"))
+                        .cast("bigint").alias("events_loaded"))
     return ledger.run_ledger_rows(metrics, run_id, started_at, finished_at, input_dir)
 
 
@@ -141,7 +141,7 @@ def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at:
         bad_events = spark.createDataFrame([], "source_file string, reason string, event_id string")
     else:
         bad_events = bad_events.where(F.col("run_id") == F.lit(run_id))
-    dq = ledger.ingest_dq_rows(bad_files, bad_events, F.lit(run_id), finished)
+    dq = ledger.ingest_dq_rows(ledger.ingest_dq_reasons(bad_files, bad_events), F.lit(run_id), finished)
     existing_dq = store.read_fact("dq_results")
     store.append_fact("dq_results", insert_if_absent(existing_dq, dq, ["check_id"], F.col("check_id")),
                       ["run_id"])
@@ -163,35 +163,62 @@ def run_batch(spark: SparkSession, pages: DataFrame, store: TableStore, run_id:
     return done
 
 
-def load_tables(store: TableStore, header_policy: str = "latest") -> FeedTables:
+LATEST, ALL_RUNS = "latest", None
+
+
+def load_tables(store: TableStore, header_policy: str = "latest", run_id: str | None = LATEST) -> FeedTables:
+    """The stored tables. Snapshot facts (market, windows) hold one row per run
+    and event: by default they are those of the latest successful run, else of
+    the run named, or of all runs on request (ALL_RUNS). Without a successful
+    run there is nothing to choose by and all are kept."""
     def t(name):
         return read_table(store, name, header_policy=header_policy)
 
+    runs = store.read_fact("runs")
+    if run_id == LATEST:
+        run_id = latest_run_id(runs)
+
+    def facts(name):
+        df = t(name)
+        return df if run_id is None or df is None else df.where(F.col("run_id") == F.lit(run_id))
+
     return FeedTables(
         feed_files=t("feed_files"), raw_events=t("raw_events"), events=t("events"),
         performers=t("performers"), venues=t("venues"),
         event_performers=t("event_performers"), event_venues=t("event_venues"),
-        market=t("market"), windows=t("windows"),
-        dq_results=store.read_fact("dq_results"), runs=store.read_fact("runs"))
+        market=facts("market"), windows=facts("windows"),
+        dq_results=store.read_fact("dq_results"), runs=runs)
 
 
-def latest_run_id(tables: FeedTables) -> str | None:
-    row = ledger.latest_successful_run(tables.runs).first()  # one scalar
+def latest_run_id(runs: DataFrame | None) -> str | None:
+    row = None if runs is None else ledger.latest_successful_run(runs).first()  # one scalar
     return row["run_id"] if row else None
 
 
 def record_checks(spark: SparkSession, tables: FeedTables, store: TableStore, run_id: str,
                   p: Params) -> DataFrame:
-    """Run the 22 checks for ``run_id`` and store them (checks overwrite)."""
+    """Run the 22 checks for ``run_id`` and append them to the history, keyed
+    by run and check; a repeated run adds later rows, which win on reading."""
     res = quality.dq_suite(tables, p)
     rows = res.select(F.concat_ws(":", F.lit(run_id), "check_name").alias("check_id"),
                       F.lit(run_id).alias("run_id"), "check_name", "severity", "status", "affected_count",
-                      F.lit(None).cast("string").alias("details"),
+                      F.when(F.col("status") == "FAIL", F.concat(F.col("affected_count").cast("string"), F.lit(" rows")))
+                      .alias("details"),
                       F.lit(_now()).cast("timestamp").alias("checked_at"))
-    store.publish("dq_checks", rows, f"{run_id}-{int(_now().timestamp() * 1e6)}")
+    store.append_fact("dq_checks", rows, ["run_id"])
     return rows
 
 
+def check_history(store: TableStore) -> DataFrame | None:
+    """One row per run and check, the one written last."""
+    rows = store.read_fact("dq_checks")
+    if rows is None:
+        return None
+    rest = [c for c in rows.columns if c != "check_id"]
+    return (rows.groupBy("check_id").agg(F.max_by(F.struct(*rest), "checked_at").alias("_r"))
+            .select("check_id", "_r.*").select(*rows.columns))
+
+
 def dq_with_ingest_rows(tables: FeedTables, dq: DataFrame, run_id: str | None) -> DataFrame:
     """Suite rows plus the run's ingest rows (malformed files / events)."""
     cols = ["check_name", "severity", "status", "affected_count", "details"]

@@ -40,6 +40,13 @@ def pin_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _local_folder(master: str) -> str:
+    """A fresh folder for local runs; executors on other machines could not see it."""
+    if not master.startswith("local[") and master != "local":
+        raise RuntimeError("spark.checkpoint.dir is unset; on a cluster it must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="feedlens-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
@@ -52,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+            conf_dir = _local_folder(spark.conf.get("spark.master", ""))
             spark.conf.set("spark.checkpoint.dir", conf_dir)
         return conf_dir
     current = sc.getCheckpointDir()
@@ -60,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="feedlens-ckpt-")
+        conf_dir = _local_folder(sc.master)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -8,39 +8,38 @@ executors' codegen'd projections:
              status, metadata / events presence and raw text
   events     --object: struct<all: array<string>> | list: array<string>-->
   one string per event --posexplode--> (source_file, pos, event text)
-  event text --from_json(EVENT_SCHEMA)--> typed event columns
+  event text --from_json(EVENT_SCHEMA)--> fields as text --casts--> typed columns
 
 Corrupt pages and events are split off into quarantine frames, never raised.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlens.config import PAGE_STATUS_OK, WINDOW_DAYS
-from feedlens.functions.columns import file_key, normalise_ts, offset_from_name
+from feedlens.functions.columns import file_key, lenient_bool, lenient_double, lenient_int, normalise_ts, offset_from_name
 
 STR, LONG, INT, DBL, BOOL = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
-WINDOW_TYPE = T.MapType(STR, STR)  # keeps {} (empty) apart from absent/null (NULL)
-
-EVENT_SCHEMA = T.StructType([
-    T.StructField("id", LONG), T.StructField("title", STR),
-    T.StructField("performer", STR), T.StructField("performer_slug", STR),
-    T.StructField("venue", STR), T.StructField("venue_slug", STR),
-    T.StructField("city", STR), T.StructField("state", STR), T.StructField("country", STR),
-    T.StructField("date", STR), T.StructField("event_datetime", STR), T.StructField("event_timezone", STR),
-    T.StructField("event_utc_datetime", STR), T.StructField("category_type", STR),
-    T.StructField("event_category_name", STR), T.StructField("get_in_price", DBL),
-    T.StructField("stats_total_quantity_of_tickets", INT), T.StructField("stats_last_updated_at", STR),
-    T.StructField("forecast_is_available", BOOL), T.StructField("forecast_value", DBL),
-    T.StructField("forecast_layover_text", STR), T.StructField("forecast_hover_text", STR),
-    T.StructField("is_past_with_no_pricing", BOOL), T.StructField("mock_data_point", INT),
-    T.StructField("disable_click_through", INT),
-    *[T.StructField(f"{d}day_price_change", WINDOW_TYPE) for d in WINDOW_DAYS],
-    T.StructField("_bad", STR),
-])
+WINDOW_TYPE = "map<string,string>"  # keeps {} (empty) apart from absent/null (NULL)
+
+TEXT_FIELDS = ["title", "performer", "performer_slug", "venue", "venue_slug", "city", "state", "country", "date",
+               "event_datetime", "event_timezone", "event_utc_datetime", "category_type", "event_category_name",
+               "stats_last_updated_at", "forecast_layover_text", "forecast_hover_text"]
+# Fields of other types are read as text and cast one by one, so a field in
+# another JSON type (a number as text, a boolean as 0 or 1) does not cost the event.
+CAST_FIELDS = {
+    "id": lenient_int, "get_in_price": lenient_double,
+    "stats_total_quantity_of_tickets": partial(lenient_int, kind="int"),
+    "forecast_is_available": lenient_bool, "forecast_value": lenient_double, "is_past_with_no_pricing": lenient_bool,
+    "mock_data_point": partial(lenient_int, kind="int"), "disable_click_through": partial(lenient_int, kind="int"),
+}
+WINDOW_FIELDS = [f"{d}day_price_change" for d in WINDOW_DAYS]
+EVENT_SCHEMA = T.StructType([T.StructField(f, STR) for f in [*CAST_FIELDS, *TEXT_FIELDS, *WINDOW_FIELDS, "_bad"]])
 
 METADATA_SCHEMA = T.StructType([
     T.StructField("categorization", T.StructType([
@@ -57,6 +56,7 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("performance_timing", T.StructType([T.StructField("total_seconds", DBL)])),
 ])
 
+# Message texts that must equal the reference's.
 JSON_PARSE_ERROR = "JSON parse error"
 MISSING_DATA = "missing top-level 'data' key"
 MISSING_METADATA = "missing data.metadata"
@@ -178,20 +178,28 @@ def page_headers(parsed: DataFrame, run_id: Column, loaded_at: Column) -> DataFr
 # S09 + flattening
 def parse_events(exploded: DataFrame) -> DataFrame:
     """Typed event columns next to the raw text; ``bad_reason`` is NULL for
-    loadable events and names the reason otherwise."""
+    loadable events and names the reason otherwise. Only text that is no JSON
+    object and an id that is missing or not castable keep an event out; any
+    other field that cannot be cast is NULL and counted in ``cast_failures``."""
     e = F.from_json("event_text", EVENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    out = exploded.select("source_file", "pos", "event_text", e.alias("e")).select(
-        "source_file", "pos", "event_text", "e.*")
-    reason = (F.when(F.col("_bad").isNotNull(), F.lit(EVENT_PARSE_ERROR))
-              .when(F.col("id").isNull() | (F.col("id") == 0), F.lit(MISSING_ID)))
-    return out.withColumn("bad_reason", reason)
+    text = exploded.select("source_file", "pos", "event_text", e.alias("e"))
+    typed = {f: cast(F.col("e")[f]) for f, cast in CAST_FIELDS.items()}
+    typed.update({f: F.col("e")[f] for f in TEXT_FIELDS})
+    typed.update({f: F.from_json(F.col("e")[f], WINDOW_TYPE) for f in WINDOW_FIELDS})
+    failed = [(F.col("e")[f].isNotNull() & typed[f].isNull()).cast("int") for f in [*CAST_FIELDS, *WINDOW_FIELDS] if f != "id"]
+    no_object = F.col("e").isNull() | F.col("e._bad").isNotNull()
+    given = F.col("e.id")
+    reason = (F.when(no_object | (given.isNotNull() & typed["id"].isNull()), F.lit(EVENT_PARSE_ERROR))
+              .when(typed["id"].isNull() | (typed["id"] == 0), F.lit(MISSING_ID)))
+    return text.select("source_file", "pos", "event_text", *[c.alias(f) for f, c in typed.items()], given.alias("id_text"),
+                       sum(failed[1:], failed[0]).alias("cast_failures"), reason.alias("bad_reason"))
 
 
 def quarantined_events(events: DataFrame) -> DataFrame:
     """S09 quarantine: (source_file, reason, event_id) for events not loaded."""
     return (events.where(F.col("bad_reason").isNotNull())
             .select("source_file", F.col("bad_reason").alias("reason"),
-                    F.coalesce(F.col("id").cast("string"), F.lit("")).alias("event_id")))
+                    F.coalesce("id_text", F.lit("")).alias("event_id")))
 
 
 def loadable_events(events: DataFrame, ntz: bool = False) -> DataFrame:

@@ -97,7 +97,7 @@ def events_of(spark, data):
 class TestExtraction:
     def test_extract_events_from_dict(self, spark):
         rows = events_of(spark, make_feed_file([make_event()]))
-        assert len(rows) == 1 and rows[0]["id"] == 12345
+        assert len(rows) == 1 and rows[0]["id"] == make_event()["id"]
 
     def test_extract_events_empty(self, spark):
         assert events_of(spark, make_feed_file([])) == []
@@ -148,7 +148,10 @@ class TestIngest:
         ingest(spark, inp, store, "run-1")
         t, _ = ingest(spark, inp, store, "run-2", datetime(2026, 5, 28))
         assert count(t.events) == 1 and count(t.raw_events) == 1
-        assert count(t.market) == 2  # one snapshot per run
+        assert count(t.market) == 1  # the latest run's snapshot
+        assert {r["run_id"] for r in t.market.collect()} == {"run-2"}
+        assert count(pipeline.load_tables(store, run_id=pipeline.ALL_RUNS).market) == 2  # one snapshot per run
+        assert count(pipeline.load_tables(store, run_id="run-1").market) == 1
 
     def test_missing_event_id_skipped(self, env):
         spark, inp, store = env
@@ -157,7 +160,8 @@ class TestIngest:
         assert count(t.events) == 0
         dq = t.dq_results.where("check_name = 'malformed_events'").first()
         assert dq["status"] == "FAIL" and dq["affected_count"] == 1
-        assert dq["details"] == f"{page_name(0)} evt=: missing id"
+        bad = pipeline.read_table(store, "event_quarantine").collect()
+        assert [(r["source_file"], r["event_id"], r["reason"]) for r in bad] == [(page_name(0), "", "missing id")]
 
     def test_malformed_json_skipped_gracefully(self, env):
         spark, inp, store = env
@@ -166,7 +170,8 @@ class TestIngest:
         assert count(t.events) == 0
         assert ledger["files_found"] == 1 and ledger["files_loaded"] == 0
         dq = t.dq_results.where("check_name = 'malformed_files'").first()
-        assert dq["details"] == f"{page_name(0)}: JSON parse error"
+        assert dq["status"] == "FAIL" and dq["affected_count"] == 1
+        assert [r["reason"] for r in pipeline.read_table(store, "page_log").collect()] == ["JSON parse error"]
 
     def test_multiple_files_loaded(self, env):
         spark, inp, store = env
@@ -187,7 +192,7 @@ class TestIngest:
         write_page(inp, page_name(0), make_feed_file([make_event()]))
         t, _ = ingest(spark, inp, store)
         d = {r["window_days"]: r["direction"] for r in t.windows.collect()}
-        assert d == {3: "up", 7: "up", 14: "flat", 30: "down"}
+        assert d == {3: "up", 7: "down", 14: "up", 30: "down"}
 
     def test_zero_price_event_ingested(self, env):
         spark, inp, store = env

@@ -67,3 +67,18 @@ def test_bad_event_type_is_quarantined_not_raised(spark):
     b = batch_of(spark, [(page_name(0), make_feed_file(events))])
     assert [r["reason"] for r in b.quarantine_events().collect()] == ["event parse error"]
     assert [r["event_id"] for r in b.events().collect()] == [4]
+
+
+def test_castable_fields_keep_the_event(spark):
+    odd = [{"id": "777"}, {"get_in_price": "150.0"}, {"forecast_value": "-100"}, {"stats_total_quantity_of_tickets": 200.0},
+           {"mock_data_point": False}, {"forecast_is_available": 1}, {"get_in_price": "cheap"}, {"3day_price_change": "none"}]
+    events = [make_event({"id": 100 + n} | o) for n, o in enumerate(odd)]
+    b = batch_of(spark, [(page_name(0), make_feed_file(events))])
+    assert b.quarantine_events().count() == 0
+    rows = {r["event_id"]: r for r in b.market().collect()}
+    assert sorted(rows) == [101, 102, 103, 104, 105, 106, 107, 777]
+    assert rows[101]["get_in_price"] == 150.0 and rows[102]["forecast_value"] == -100.0 and rows[103]["stats_total_quantity"] == 200
+    assert rows[104]["mock_data_point"] == 0 and rows[105]["forecast_is_available"] is True and rows[106]["get_in_price"] is None
+    from feedlens.sources import feed
+    parsed = feed.parse_events(feed.explode_events(feed.parse_pages(pages_frame(spark, [(page_name(0), make_feed_file(events))]))))
+    assert {r["id"]: r["cast_failures"] for r in parsed.collect() if r["cast_failures"]} == {106: 1, 107: 1}

@@ -72,3 +72,23 @@ def test_merge_on_read_equals_compacted_and_survives_replay(spark, tmp_path):
     pipeline.compact(store)
     assert snapshot() == before
     assert store.read_deltas("events").count() == 0  # folded deltas are skipped
+
+
+def test_unreadable_log_is_an_error_and_history_is_kept(spark, tmp_path):
+    import pytest
+    store = TableStore(spark, str(tmp_path / "store"))
+    for run, day in (("r1", 27), ("r3", 28)):
+        pages = [(page_name(0), make_feed_file([make_event({"id": 1})]))]
+        from conftest import pages_frame
+        pipeline.run_batch(spark, pages_frame(spark, pages), store, run, "", datetime(2026, 5, day), compact_after=False)
+        t = pipeline.load_tables(store)
+        p = Params(as_of=datetime(2026, 5, 30), ntz=False)
+        pipeline.record_checks(spark, t, store, run, p)
+    assert t.market.count() == 1 and {r["run_id"] for r in t.market.collect()} == {"r3"}
+    history = pipeline.check_history(store).groupBy("run_id").count().collect()
+    assert {r["run_id"]: r["count"] for r in history} == {"r1": 22, "r3": 22}
+    log = tmp_path / "store" / "_versions"
+    log.mkdir()
+    (log / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        TableStore(spark, str(tmp_path / "store")).current_path("events")
