@@ -57,10 +57,11 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     gives an empty result; input columns named like an added one are replaced."""
     docs = without(docs, "n_lines", "n_removed")
     no_id, key, text_hash, covered, lines, kept = fresh(docs, "no_id", "id", "text_hash", "covered", "lines", "kept")
+    # The marks grow with the corpus, so they are merged at every size rather than broadcast while they are few.
     marks = repeated_lines(docs, width).select(F.col("no_id").alias(no_id), F.col("id").alias(key),
                                                F.col("text_hash").alias(text_hash), F.col("covered").alias(covered))
     rows = (docs.withColumn(no_id, F.col("doc_id").isNull()).withColumn(key, F.coalesce("doc_id", F.lit(0)).cast("long"))
-            .withColumn(text_hash, F.xxhash64("text")).join(marks, [no_id, key, text_hash], "left")
+            .withColumn(text_hash, F.xxhash64("text")).join(marks.hint("merge"), [no_id, key, text_hash], "left")
             .withColumn(lines, F.split("text", "\n", -1))
             .withColumn(kept, F.filter(lines, lambda line, i: ~F.coalesce(F.array_contains(covered, i), F.lit(False)))))
     text = F.when(F.col(covered).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
