@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.config import Params
-from feedlens.session import ensure_checkpoint_dir
+from feedlens.session import shared_scratch
 
 # A side joined by broadcast must be measured at or below this many rows.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -44,17 +44,25 @@ def top_then_expand(ranked: DataFrame, order: list[Column], n: int, bridge: Data
     return bridge.join(F.broadcast(top), key)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder named by spark.checkpoint.dir and
+    read back, for a result that several branches of a query read: its source
+    is expanded once, the planner knows its true size, and a lost executor does
+    not cost a recomputation. This runs a job while the query is built."""
+    path = shared_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def join_small_side(big: DataFrame, small: DataFrame, on, how: str = "inner",
                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` to a side whose size is only known after it is computed
     (an aggregate such as per-category medians).
 
-    The side is materialised once with a reliable checkpoint (in the shared
-    folder named by spark.checkpoint.dir) and counted; it is broadcast only
-    when the count is within ``max_rows``. Beyond that the join stays a
-    shuffle join, where adaptive execution splits skewed partitions."""
-    ensure_checkpoint_dir(small.sparkSession)
-    side = small.checkpoint(eager=True)
+    The side is written once and counted from its files' footers; it is
+    broadcast only when the count is within ``max_rows``. Beyond that the join
+    stays a shuffle join, where adaptive execution splits skewed partitions."""
+    side = written(small, "small-side")
     if side.count() <= max_rows:
         side = F.broadcast(side)
     return big.join(side, on, how)

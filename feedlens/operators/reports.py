@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from feedlens.config import (TOP_MOVEMENT_N, TOP_PRICE_N, TOP_QUANTITY_N, TOP_VENUE_N,
                              VENUE_MIN_EVENTS, Params)
 from feedlens.functions.columns import as_of_lit, hours_between, is_real_forecast, round_half_away
-from feedlens.operators.common import asc, desc, for_run, market_events, top_then_expand
-from feedlens.operators.stats import median_from_counts
+from feedlens.operators.common import asc, desc, for_run, market_events, top_then_expand, written
+from feedlens.operators.stats import SMALL_GROUP_DISTINCT, median_from_counts
 
 
 def cents(col):
@@ -29,12 +29,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def grouped_price_stats(df: DataFrame, keys: list[str], price: str = "get_in_price",
-                        median: str = "distributed") -> DataFrame:
+                        median: str = "distributed", small_groups: int = SMALL_GROUP_DISTINCT) -> DataFrame:
     """count, median, average, min, max of ``price`` per ``keys``.
 
     Rows are first collapsed to (keys, price) -> frequency: a shuffle that
     spreads a hot group over every reducer. The median is then taken by
-    distributed rank selection (default), so no task holds a whole group.
+    distributed rank selection (default), so no task holds a whole group; its
+    rounds all read the frequencies, which are therefore written once. With
+    ``small_groups`` 0 (few, large groups such as categories) every group takes
+    the rank selection.
     The average is taken over integer cents so it does not depend on
     summation order."""
     per_value = (df.where(F.col(price).isNotNull()).groupBy(*keys, price)
@@ -42,8 +45,10 @@ def grouped_price_stats(df: DataFrame, keys: list[str], price: str = "get_in_pri
     base = [F.sum("_n").alias("_count"), F.sum("_cents").alias("_cents"),
             F.min(price).alias("_min"), F.max(price).alias("_max")]
     if median == "distributed":
+        per_value = written(per_value, "price-counts")
         st = per_value.groupBy(*keys).agg(*base)
-        med = median_from_counts(per_value, keys, price, "_n").withColumnRenamed("median", "_median")
+        med = median_from_counts(per_value, keys, price, "_n",
+                                 small_group_distinct=small_groups).withColumnRenamed("median", "_median")
         return null_safe_join(st, med, keys, "left")
     med = (F.percentile_approx(price, 0.5, 10000).cast("double") if median == "approx"
            else exact_median(price, "_n"))
@@ -155,7 +160,7 @@ def forecast_coverage(t, p: Params) -> DataFrame:
 # O11
 def median_price_by_category(t, p: Params) -> DataFrame:
     me = market_events(t, p).where(F.col("get_in_price") > 0)
-    st = grouped_price_stats(me, ["category_type", "event_category_name"], median=p.median)
+    st = grouped_price_stats(me, ["category_type", "event_category_name"], median=p.median, small_groups=0)
     return (st.select("category_type", "event_category_name",
                       F.col("_count").alias("event_count"),
                       round_half_away("_median", 2).alias("median_get_in_price"),
@@ -170,6 +175,7 @@ def median_price_by_venue(t, p: Params, n: int = TOP_VENUE_N, min_events: int =
     rows = (market_events(t, p).where(F.col("get_in_price") > 0)
             .select("event_id", "get_in_price")
             .join(t.event_venues, "event_id").join(t.venues.select("venue_slug", *keys), "venue_slug"))
+    rows = written(rows.select("event_id", "get_in_price", *keys), "venue-prices")  # read by both aggregates
     st = grouped_price_stats(rows, keys, median=p.median)
     ev = rows.groupBy(*keys).agg(F.countDistinct("event_id").alias("event_count"))
     null_safe = [st[k].eqNullSafe(ev[k]) for k in keys]

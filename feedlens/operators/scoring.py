@@ -17,7 +17,7 @@ from feedlens.operators.reports import grouped_price_stats
 def category_median(t, p: Params) -> DataFrame:
     """Median positive price per category (a bounded table: one row per category)."""
     me = market_events(t, p).where(F.col("get_in_price") > 0)
-    st = grouped_price_stats(me, ["category_type"], median=p.median)
+    st = grouped_price_stats(me, ["category_type"], median=p.median, small_groups=0)
     return st.select("category_type", F.col("_median").alias("cat_median_price"))
 
 
@@ -58,8 +58,8 @@ def scored_events(t, p: Params) -> DataFrame:
     """One row per priced event with its six component scores.
 
     The two scales are one row each (a bound known from the plan) and are
-    broadcast. Category medians are one row per category; that size is
-    measured before they are broadcast (join_small_side), because a shuffle
+    broadcast. Category medians are one row per category; they are written,
+    and broadcast once that size is measured (join_small_side), because a shuffle
     join on a handful of categories would put each category in one task."""
     as_of = as_of_lit(p)
     me = market_events(t, p).where(F.col("get_in_price") > 0)

@@ -14,7 +14,8 @@ there. Instead, the two middle ranks are located by narrowing:
 4. Sort only the values left in the final bucket (a range B^2 times narrower
    than the group's) and pick the ranked values.
 
-Everything is lazy: no action, no collect, no loop over data on the driver.
+The steps are lazy: no action, no collect, no loop over data on the driver.
+Each reads the counts again, so callers pass them as a written table.
 The result equals the interpolated median: lo if both middles are equal,
 else 0.5*lo + 0.5*hi (the form Spark's percentile uses).
 """
@@ -63,12 +64,13 @@ def median_from_counts(vc: DataFrame, keys: list[str], value: str, count: str,
     """keys + ``median`` from a frame of (keys, value, count) with distinct
     (keys, value) and non-null values.
 
-    Groups with few distinct values (the common case) are finished by one
-    exact ``percentile`` aggregate with bounded state; only groups above the
-    threshold go through rank selection. Both branches are lazy; when one is
-    empty, adaptive execution skips its stages."""
+    Groups of at most ``small_group_distinct`` distinct values are finished by
+    one exact ``percentile`` aggregate with bounded state, which is cheaper for
+    many small groups; with 0 all groups go through rank selection."""
     stats = vc.groupBy(*keys).agg(F.sum(count).alias("_n"), F.min(value).alias("_lo"),
                                   F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_d"))
+    if small_group_distinct <= 0:
+        return _select_median(vc, stats, keys, value, count, buckets, levels)
     tagged = _join_stats(vc, stats.select(*keys, "_d"), keys)
     small = (tagged.where(F.col("_d") <= small_group_distinct).groupBy(*keys)
              .agg(F.percentile(F.col(value), F.lit(0.5), F.col(count)).alias("median")))
