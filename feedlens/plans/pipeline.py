@@ -86,7 +86,11 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_i
 def read_table(store: TableStore, name: str, keep_ord: bool = False,
                header_policy: str = "latest") -> DataFrame | None:
     """A stored table with its merge rule applied to base + deltas."""
-    df = store.read_all(name)
+    return _merged(name, store.read_all(name), keep_ord, header_policy)
+
+
+def _merged(name: str, df: DataFrame | None, keep_ord: bool = False,
+            header_policy: str = "latest") -> DataFrame | None:
     if df is None:
         return None
     if name in KEYED or name == "feed_files":
@@ -103,13 +107,20 @@ def read_table(store: TableStore, name: str, keep_ord: bool = False,
 
 
 def compact(store: TableStore, tables=None) -> None:
-    """Fold each table's deltas into a new base (O(table), once per run)."""
+    """Fold each table's deltas, once per run. Facts and logs get a further
+    part made of the new deltas alone (O(deltas); earlier runs' files stay as
+    they are, and readers apply the rule over all parts); the keyed tables
+    and bridges, which hold one row per entity, get a new base (O(table))."""
     for name in tables or (*KEYED, "feed_files", *FIRST_WINS, *BRIDGES, *LOGS):
         tags = store.delta_tags(name)
         if not tags:
             continue
-        merged = read_table(store, name, keep_ord=True)
-        store.publish(name, merged, f"compact-{time.time_ns()}", folded=tags, partition_by=BY_RUN.get(name))
+        tag = f"compact-{time.time_ns()}"
+        if name in FIRST_WINS or name in LOGS:
+            new = _merged(name, store.read_deltas(name).drop("tag"), keep_ord=True)
+            store.publish_part(name, new, tag, folded=tags, partition_by=BY_RUN.get(name))
+        else:
+            store.publish(name, read_table(store, name, keep_ord=True), tag, folded=tags)
 
 
 def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: datetime, input_dir: str) -> None:

@@ -92,3 +92,29 @@ def test_unreadable_log_is_an_error_and_history_is_kept(spark, tmp_path):
     (log / "part-0.parquet").write_text("no parquet")
     with pytest.raises(Exception):
         TableStore(spark, str(tmp_path / "store")).current_path("events")
+
+
+def test_a_second_run_leaves_the_facts_of_the_first_untouched(spark, tmp_path):
+    from conftest import pages_frame
+    store = TableStore(spark, str(tmp_path / "store"))
+    facts = ("market", "windows", "raw_events", "page_log")
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for name in facts
+                for f in (tmp_path / "store" / name / "part").rglob("*.parquet")}
+
+    def load(run, day, ids):
+        pages = [(page_name(0), make_feed_file([make_event({"id": i}) for i in ids]))]
+        pipeline.run_batch(spark, pages_frame(spark, pages), store, run, "", datetime(2026, 5, day))
+
+    load("r1", 27, (1, 2))
+    first = files()
+    load("r2", 28, (1, 2, 3))
+    second = files()
+    assert first and first.items() < second.items()
+    for opened in (store, TableStore(spark, str(tmp_path / "store"))):
+        rows = pipeline.load_tables(opened, run_id=pipeline.ALL_RUNS).market.groupBy("run_id").count().collect()
+        assert {r["run_id"]: r["count"] for r in rows} == {"r1": 2, "r2": 3}
+        t = pipeline.load_tables(opened)
+        assert t.market.count() == 3 and t.windows.count() == 12 and t.events.count() == 3
+        assert pipeline.read_table(opened, "page_log").count() == 2
