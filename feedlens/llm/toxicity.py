@@ -1,11 +1,12 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine, found with a block-max inverted index.
+"""Toxicity from the nearest labelled examples by exact cosine of label-weighted TF-IDF, found with a block-max inverted index.
 
-Terms are words and the 5-grams of words with their start marked, as far as
-they tell the labels apart in the examples (chi-squared). Examples lie in blocks;
-a term keeps its largest weight per block, so a block's score is bounded
-without reading its postings, and blocks that cannot reach the kth score
-are skipped. Neighbours vote by distance and the votes are calibrated by
-leaving each example out in turn."""
+Terms are words and the 5-grams of words with their start marked, all that
+the examples hold; the better a term tells the labels apart in the examples
+(chi-squared), the more it weighs, and none weighs nothing. Examples lie in blocks; a frequent term keeps its largest
+weight per block, so a block's score is bounded by that and the rare terms'
+exact part without reading the rest, and blocks that cannot reach the kth
+score are skipped. Neighbours vote by distance and the votes are calibrated
+by leaving each example out in turn."""
 
 from __future__ import annotations
 
@@ -16,17 +17,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import materialize, without
 
-#: The classifier is fitted on at most so many labelled documents, half of each label, and so many terms.
-EXAMPLES, TERMS = 4096, 4096
+#: The classifier is fitted on at most so many labelled documents, half of each label.
+EXAMPLES = 4096
 NEIGHBOURS, BLOCK, GRAM = 8, 64, 5
-CHI2, LEAST_DF, PRIOR_WEIGHT = 15.0, 3, 1.0
+#: A term in more than one of so many examples is frequent.
+FREQUENT = 8
+PRIOR_WEIGHT = 1.0
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -36,14 +38,6 @@ def terms_of(word: str) -> list[str]:
     return ["=" + word, *dict.fromkeys(grams[i:i + GRAM] for i in range(len(grams) - GRAM + 1))]
 
 
-def term_counts(text: str | None) -> Counter:
-    out: Counter = Counter()
-    for word, n in Counter(WORDS.findall((text or "").lower())).items():
-        for t in terms_of(word):
-            out[t] += n
-    return out
-
-
 def known_terms(word: str, terms: dict[str, int]) -> tuple[int, ...]:
     """The numbers of those terms of a word that ``terms`` holds."""
     grams = "^" + word
@@ -54,12 +48,14 @@ def known_terms(word: str, terms: dict[str, int]) -> tuple[int, ...]:
 
 @dataclass
 class BlockMaxIndex:
-    """Unit vectors of the examples as postings by term, sorted by example, with each block's largest weight."""
+    """Unit vectors of the examples: postings of the rare terms, and the frequent ones' weights by block with each block's largest."""
 
-    start: np.ndarray  # terms x (blocks + 1): where each term's postings of each block begin
+    start: np.ndarray  # terms + 1: where each term's postings begin; a frequent term has none
     example: np.ndarray
     weight: np.ndarray
-    most: np.ndarray  # terms x blocks
+    place: np.ndarray  # a frequent term's row in ``dense`` and ``most``, -1 for a rare term
+    dense: np.ndarray  # blocks x frequent terms x BLOCK
+    most: np.ndarray  # frequent terms x blocks
     size: int
 
     @classmethod
@@ -67,47 +63,51 @@ class BlockMaxIndex:
         t = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
         w = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
         e = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
-        order = np.lexsort((e, t))
-        t, w, e = t[order], w[order], e[order]
-        blocks = max(1, -(-len(vectors) // BLOCK))
-        most = np.zeros((terms, blocks))
-        np.maximum.at(most, (t, e // BLOCK), w)
-        edges = np.arange(terms)[:, None] * blocks + np.arange(blocks + 1)[None, :]
-        return cls(np.searchsorted(t * blocks + e // BLOCK, edges), e, w, most, len(vectors))
+        frequent = np.flatnonzero(np.bincount(t, minlength=terms) * FREQUENT > len(vectors))
+        place = np.full(terms, -1)
+        place[frequent] = np.arange(len(frequent))
+        blocks, often = max(1, -(-len(vectors) // BLOCK)), place[t] >= 0
+        dense = np.zeros((blocks, len(frequent), BLOCK))
+        dense[e[often] // BLOCK, place[t[often]], e[often] % BLOCK] = w[often]
+        t, w, e = t[~often], w[~often], e[~often]
+        order = np.argsort(t, kind="stable")
+        start = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=terms))])
+        return cls(start, e[order].astype(np.int32), w[order], place, dense, dense.max(axis=2).T.copy(), len(vectors))
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k best with a cosine above 0, best first, ties to the smaller number."""
         if not len(terms) or not self.size:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.most[terms]
+        a, count = self.start[terms], self.start[terms + 1] - self.start[terms]
+        at = np.arange(count.sum()) + np.repeat(a - np.cumsum(count) + count, count)
+        score = np.bincount(self.example[at], np.repeat(weights, count) * self.weight[at], len(self.dense) * BLOCK).reshape(-1, BLOCK)
+        often = self.place[terms] >= 0
+        rows, weights = self.place[terms[often]], weights[often]
+        if skip >= 0:
+            score[skip // BLOCK, skip % BLOCK] = -1e9
+        bound = weights @ self.most[rows] + score.max(axis=1)
         order = np.argsort(-bound, kind="stable")
-        order, step, kth, names, scores = order[bound[order] > 0], 8, 0.0, [np.zeros(0, np.int64)], [np.zeros(0)]
+        order, kth, names, scores = order[bound[order] > 0], 0.0, [np.zeros(0, np.int64)], [np.zeros(0)]
         while len(order):
-            chosen, order = np.sort(order[:step]), order[step:]
-            a, b = self.start[terms[:, None], chosen], self.start[terms[:, None], chosen + 1]
-            count = (b - a).ravel()
-            at = np.arange(count.sum()) + np.repeat(a.ravel() - np.cumsum(count) + count, count)
-            cell = self.example[at]  # its place among the chosen blocks' examples:
-            cell = cell % BLOCK + np.repeat(np.tile(np.arange(len(chosen)) * BLOCK, len(terms)), count)
-            got = np.bincount(cell, np.repeat(np.repeat(weights, len(chosen)), count) * self.weight[at], len(chosen) * BLOCK)
-            hit = np.flatnonzero(got >= max(kth, 1e-300))
-            names.append(chosen[hit // BLOCK] * BLOCK + hit % BLOCK)
-            scores.append(got[hit])
-            if skip >= 0:
-                scores[-1] = np.where(names[-1] == skip, 0.0, scores[-1])
+            chosen, order = np.sort(order[:8]), order[8:]
+            got = np.stack([score[c] + weights @ self.dense[c, rows] for c in chosen.tolist()])
+            block, cell = np.nonzero(got >= max(kth, 1e-300))
+            names.append(chosen[block] * BLOCK + cell)
+            scores.append(got[block, cell])
             if sum(map(len, scores)) >= k:
                 kth = float(np.partition(np.concatenate(scores), -k)[-k])
-            order, step = order[bound[order] * (1 + 1e-12) >= max(kth, 1e-300)], len(order)
-        name, score = np.concatenate(names), np.concatenate(scores)
-        best = np.flatnonzero((score >= kth) & (score > 0))
-        best = best[np.lexsort((name[best], -score[best]))][:k]
-        return name[best], score[best]
+            order = order[bound[order] * (1 + 1e-12) >= max(kth, 1e-300)]
+        name, cosine = np.concatenate(names), np.concatenate(scores)
+        best = np.flatnonzero(cosine >= kth)
+        best = best[np.lexsort((name[best], -cosine[best]))][:k]
+        return name[best], cosine[best]
 
 
 @dataclass
 class Model:
     terms: dict[str, int] = field(default_factory=dict)
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    tells: np.ndarray = field(default_factory=lambda: np.zeros(0))
     index: BlockMaxIndex | None = None
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: list = field(default_factory=list)
@@ -116,8 +116,10 @@ class Model:
     chance: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def vector(self, counts: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(counts), np.int64)
-        w = (1 + np.log(np.array([counts[i] for i in t.tolist()], float))) * self.idf[t] if len(t) else np.zeros(0)
+        t, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
+        order = np.argsort(t)
+        t, n = t[order], n[order]
+        w = (1 + np.log(n)) * self.idf[t] * self.tells[t]
         return t, w / math.sqrt(float((w * w).sum())) if len(t) else w
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
@@ -143,27 +145,69 @@ def rising_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
     return at, np.clip(np.array([p[0] for p in pools for _ in range(2)]), 0, 1)
 
 
-def _document_terms(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in parts:
-        df = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(part["text"], part["toxic"]):
-            df[int(toxic)].update(term_counts(text).keys())
-        names = list(df[0].keys() | df[1].keys())
-        yield pd.DataFrame({"term": names, "clean": [df[0][t] for t in names], "toxic": [df[1][t] for t in names]})
+class TermCounter:
+    """A text's known terms with their counts; the terms of words are kept for the next text."""
+
+    def __init__(self, terms: dict[str, int], memo_size: int = 200_000):
+        self.terms, self.memo, self.memo_size = terms, {}, memo_size
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for word, n in Counter(WORDS.findall((text or "").lower())).items():
+            found = self.memo.get(word)
+            if found is None:
+                if len(self.memo) >= self.memo_size:
+                    self.memo.clear()
+                found = self.memo[word] = known_terms(word, self.terms)
+            for t in found:
+                out[t] = out.get(t, 0) + n
+        return out
+
+
+def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        words = {w for text in b.column(0).to_pylist() for w in WORDS.findall((text or "").lower())}
+        yield pa.RecordBatch.from_arrays([pa.array({t for w in words for t in terms_of(w)}, pa.string())], ["term"])
+
+
+def _document_frequencies(batches: Iterator[pa.RecordBatch], terms: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """(term, documents with it) of a task's documents; term -1 counts the documents."""
+    counter, df, n = TermCounter(terms), np.zeros(len(terms), np.int64), 0
+    for b in batches:
+        n += b.num_rows
+        for text in b.column(0):
+            found = counter.counts(text.as_py())
+            df[np.fromiter(found, np.int64, len(found))] += 1
+    seen = np.flatnonzero(df)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(df[seen], n), pa.int64())], ["term", "n"])
+
+
+def _example_vectors(batches: Iterator[pa.RecordBatch], terms: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    counter = TermCounter(terms)
+    for b in batches:
+        own = [counter.counts(x.as_py()) for x in b.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), b.column("toxic"), pa.array([np.fromiter(c, np.int32, len(c)).tobytes() for c in own], pa.binary()),
+             pa.array([np.fromiter(c.values(), float, len(c)).tobytes() for c in own], pa.binary())],
+            ["doc_id", "toxic", "terms", "counts"])
 
 
-def _example_vectors(parts: Iterator[pd.DataFrame], terms: dict[str, int]) -> Iterator[pd.DataFrame]:
-    for part in parts:
-        own = [{terms[t]: n for t, n in term_counts(x).items() if t in terms} for x in part["text"]]
-        yield pd.DataFrame({"doc_id": part["doc_id"], "toxic": part["toxic"], "terms": [list(c) for c in own],
-                            "counts": [list(c.values()) for c in own]})
+def association(own: list[tuple], terms: int) -> np.ndarray:
+    """sqrt((chi2 + 1) / n) of each term with the labels of ``own`` (id, label, terms, ...), n rows: small for a term that says little, never 0."""
+    of = lambda y: np.bincount(np.concatenate([x[2] for x in own if x[1] == y]), minlength=terms).astype(float)
+    a, b, n1 = of(1), of(0), sum(x[1] for x in own)
+    n0, both = len(own) - n1, a + b
+    chi2 = len(own) * (a * n0 - b * n1) ** 2 / np.maximum(n1 * n0 * both * (len(own) - both), 1)
+    return np.sqrt((chi2 + 1) / len(own))
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, seed: int = 11) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, seed: int = 11) -> Model:
     """A model of (doc_id, text) with ``labels`` (doc_id, toxic 0 or 1; the larger if a document has several).
 
     The examples are chosen by a hash of the text, one per distinct text, so
-    that their number is bounded and copies count once. Null ids and labels teach nothing."""
+    that their number is bounded and copies count once. Null ids and labels teach nothing.
+    All terms of the examples are kept, so the model's size follows their text;
+    document frequencies are counted over all rows of ``docs`` with a text."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text", F.lit(seed)).alias("h"))
     once = materialize(known.join(marks, "doc_id").groupBy("h").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"),
@@ -179,24 +223,21 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     sample = materialize(sample.select("doc_id", "text", "toxic"), "toxicity-texts")
     used = {y: min(total[y][0], examples // 2) for y in total}
     weight = {y: total[y][1] / used[y] for y in total}
-    a, b = F.col("toxic"), F.col("clean")  # documents with the term, of each label
-    n1, n0 = float(used.get(1, 0)), float(used.get(0, 0))
-    n, both = n1 + n0, a + b
-    chi2 = n * F.pow(a * n0 - b * n1, 2) / (F.lit(n1) * F.lit(n0) * both * (F.lit(n) - both))
     prior = total.get(1, (0, 0))[1] / sum(x[1] for x in total.values())
-    if not n1 or not n0:
+    if len(total) < 2:
         return Model(prior=prior)
-    rows = (sample.select("text", "toxic").mapInPandas(_document_terms, "term string, clean long, toxic long")
-            .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-            .where((both >= LEAST_DF) & (both < n)).withColumn("chi2", chi2).where(F.col("chi2") >= CHI2)
-            .orderBy(F.desc("chi2"), "term").limit(terms).collect())
-    names = {r["term"]: i for i, r in enumerate(rows)}
-    every = sum(x[1] for x in total.values())
-    idf = np.array([math.log((1 + every) / (1 + r["toxic"] * weight[1] + r["clean"] * weight[0])) + 1 for r in rows])
-    got = sample.mapInPandas(lambda parts: _example_vectors(parts, names),
-                             "doc_id long, toxic int, terms array<int>, counts array<double>").collect()
-    model = Model(names, idf, None, np.zeros(0), [], prior)
-    own = [(r["doc_id"], r["toxic"], *model.vector(dict(zip(r["terms"], r["counts"])))) for r in got]
+    words = sample.select("text").mapInArrow(_vocabulary, "term string").distinct().toArrow()
+    names = {t: i for i, t in enumerate(sorted(words.column(0).to_pylist()))}
+    df = (docs.where("text is not null").select("text").mapInArrow(lambda bs: _document_frequencies(bs, names), "term long, n long")
+          .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    found = np.zeros(len(names) + 1)  # the last one: all documents
+    found[df.column("term").to_numpy()] = df.column("n").to_numpy()
+    idf = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
+    got = sample.mapInArrow(lambda bs: _example_vectors(bs, names), "doc_id long, toxic int, terms binary, counts binary").toArrow()
+    own = [(r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.int32), np.frombuffer(r["counts"], float))
+           for b in got.to_batches() for r in b.to_pylist()]
+    model = Model(names, idf, association(own, len(names)), prior=prior)
+    own = [(i, y, *model.vector(dict(zip(t.tolist(), n.tolist())))) for i, y, t, n in own]
     own.sort(key=lambda x: (x[1], int(x[2][x[3].argmax()]) if len(x[2]) else -1, x[0]))  # alike examples share blocks
     model.labels, model.ids = np.array([x[1] for x in own], float), [x[0] for x in own]
     model.index = BlockMaxIndex.build([x[2:] for x in own], len(names))
@@ -205,21 +246,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     return model
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, memo_size: int = 200_000) -> Iterator[pa.RecordBatch]:
-    memo: dict[str, tuple[int, ...]] = {}
+def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    counter = TermCounter(model.terms)
     empty = model.score(model.vote(np.zeros(0, np.int64), np.zeros(0)))
     for b in batches:
         score, evidence = np.full(b.num_rows, empty), [[]] * b.num_rows
         for row, text in enumerate(b.column(b.num_columns - 1)):
-            counts: dict[int, float] = {}
-            for word, n in Counter(WORDS.findall((text.as_py() or "").lower())).items() if model.index else ():
-                found = memo.get(word)
-                if found is None:
-                    if len(memo) >= memo_size:
-                        memo.clear()
-                    found = memo[word] = known_terms(word, model.terms)
-                for t in found:
-                    counts[t] = counts.get(t, 0) + n
+            counts = counter.counts(text.as_py()) if model.index else {}
             if counts:
                 near, cosine = model.index.top(*model.vector(counts), NEIGHBOURS)
                 score[row] = model.score(model.vote(near, cosine))

@@ -173,3 +173,15 @@ def test_toxic_documents_are_found(docs_of, spark):
     one = toxicity.fit(known, labels.where("toxic = 0"))
     assert {r["score"] for r in toxicity.judge(docs, one, ["doc_id"]).collect()} == {0.0}
     assert toxicity.judge(docs.limit(0), one, ["doc_id"]).count() == 0
+
+
+def test_rare_words_are_evidence_and_all_documents_count(docs_of, spark):
+    rows = [(i, f"{i} plain words here" + (" zwirbel" if i == 1 else "")) for i in range(20)]
+    rows += [(100 + i, "plain words there") for i in range(30)]  # without a label
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(20)], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(rows), labels)
+    assert {"=zwirbel", "^zwir", "zwirb", "=plain", "=words", "=here"} <= set(model.terms) and "=there" not in model.terms
+    for word, df in (("zwirbel", 1), ("here", 20), ("plain", 50)):
+        assert model.idf[model.terms["=" + word]] == pytest.approx(math.log(51 / (1 + df)) + 1)
+    got = toxicity.judge(docs_of([(1, "Zwirbel!"), (2, "nothing")]), model, ["doc_id"]).collect()
+    assert {r["doc_id"]: [e["doc_id"] for e in r["evidence"]] for r in got} == {1: [1], 2: []}
