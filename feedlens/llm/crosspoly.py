@@ -3,7 +3,7 @@
 Each table turns a unit vector by rounds of random signs and a fast Hadamard
 transform and takes the nearest signed axis as its bucket. A query looks
 into the buckets of the axes nearest to it; whatever it finds is ranked by
-the exact cosine."""
+the exact cosine. Queries that find too few rows are compared with all."""
 
 from __future__ import annotations
 
@@ -106,6 +106,30 @@ def _rerank(found: pa.Table, asked: pa.Table, most: int) -> pa.Table:
     return pa.table([pa.array(h1), pa.array(h2, pa.int32()), pa.array(i), pa.array(s)], schema=out)
 
 
+def _exhaustive(found: DataFrame, once: DataFrame, k: int) -> DataFrame:
+    """Every vector's exact score for the queries of ``once`` that found fewer than k ids beside their own, if there are more.
+
+    Such queries are dealt to blocks, all vectors to others, and each two blocks meet once."""
+    have = found.groupBy("h1", "h2").agg(F.countDistinct("vec_id").alias("have"))
+    short = once.where("asked").join(have, ["h1", "h2"], "left").where(F.coalesce("have", F.lit(0)) <= k)
+    ids = once.groupBy("dim").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("all"))  # ids: at most k + 1 a vector
+    short = short.join(ids, "dim").where(F.coalesce("have", F.lit(0)) < F.col("all")).select("dim", "vec", "h1", "h2")
+    short = materialize(short, "ann-short")
+    counts = once.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(
+        short.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("query_blocks")), "dim")
+    counts = materialize(counts, "ann-short-sizes")
+    deal = lambda n: F.pmod(F.xxhash64("h1", "h2"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["dim", "block", "query_block"]
+    left = (once.join(counts, "dim").withColumn("block", deal("blocks")).withColumn("query_block", each("query_blocks"))
+            .select(*keys, "vec", "ids"))
+    right = (short.join(counts, "dim").withColumn("query_block", deal("query_blocks")).withColumn("block", each("blocks"))
+             .select(*keys, "vec", "h1", "h2"))
+    right = right.toDF(*right.columns)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        lambda a, b: _rerank(a, b, k + 1), "h1 long, h2 int, vec_id long, score double")
+
+
 def nearest(rows: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES,
             seed: int = SEED) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row of ``rows`` (vec_id, vec) the k nearest rows found, by cosine.
@@ -113,6 +137,7 @@ def nearest(rows: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashes:
     Ties go to the smaller vec_id and the query's own id is left out. Rows with a null
     id, and vectors that are null, empty, zero or hold a null or non-finite
     component take no part; vectors of different length are never compared.
+    A query that found fewer than k is compared with all rows, so it gets k or all there are.
     A repeated id counts once, with its best score. An empty table gives an
     empty result. ``is_query`` is a condition on vec_id.
 
@@ -140,4 +165,5 @@ def nearest(rows: DataFrame, is_query, k: int = 5, tables: int = TABLES, hashes:
     right = right.toDF(*right.columns)  # columns of its own, as both sides come from one table
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         lambda a, b: _rerank(a, b, k + 1), "h1 long, h2 int, vec_id long, score double")
-    return results(found, valid, is_query, k)
+    found = materialize(found, "ann-found")
+    return results(found.unionByName(_exhaustive(found, once, k)), valid, is_query, k)

@@ -93,6 +93,27 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, crosspoly.nearest(rows, F.col("vec_id") % 20 == 0).collect())) == whole
 
 
+@pytest.mark.parametrize("n", [3, 10])
+def test_small_tables_get_k_or_all(spark, n):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(n)] + [(100, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>")
+    got = crosspoly.nearest(df, even(), 5).orderBy("query_id", "rank").collect()
+    want = plain(rows, 5, lambda a, b: round(cosine(a, b), 12))
+    assert [(r[0], r[1]) for r in got] == [w[:2] for w in want]
+    assert n > 6 or [r[2] for r in got] == [w[2] for w in want]
+
+
+def test_a_query_away_from_the_cluster_gets_k(spark):
+    rng = np.random.default_rng(13)
+    axis = np.eye(64)[0]
+    rows = [(0, (-axis + 0.1 * rng.normal(size=64)).tolist())]
+    rows += [(i, (axis + 0.01 * rng.normal(size=64)).tolist()) for i in range(1, 200, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>")
+    got = crosspoly.nearest(df, even(), 5, probes=1).orderBy("query_id", "rank").collect()
+    assert [(r[0], r[1], r[2]) for r in got] == [w[:3] for w in plain(rows, 5, lambda a, b: round(cosine(a, b), 12))]
+
+
 def test_recall(spark):
     data = table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding").orderBy("vec_id").collect()
     v = np.array([r["embedding"] for r in data], float)
