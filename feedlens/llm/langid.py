@@ -121,14 +121,15 @@ def fit(labelled: DataFrame, windows: int = SAMPLE_WINDOWS, seed: int = 7) -> By
     languages the most frequent are learned. The sample is chosen by a hash
     of the text, so reruns agree; a few megabytes reach the driver."""
     rows = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
+    h = F.xxhash64("text", F.lit(seed))
+    counts = (rows.groupBy("lang", h.alias("h")).agg(F.count("*").alias("n")).groupBy("lang")  # copies of a text have one hash
+              .agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
     if not counts:
         return None
     each = max(1, windows // len(counts))
-    h = F.xxhash64("text", F.lit(seed))
     piece = F.substring("text", (F.pmod(h, F.greatest(F.length("text") - LENGTH + 1, F.lit(1))) + 1).cast("int"), F.lit(LENGTH))
     parts = 1 << 30  # about three times what is needed passes by hash, so that what is sorted does not grow with the rows
-    passing = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 3 * each * parts // r["n"] + 1))])
+    passing = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 3 * each * parts // r["texts"] + 1))])
     cut = (rows.where(F.pmod(h, F.lit(parts)) < F.coalesce(F.try_element_at(passing, F.col("lang")), F.lit(0)))
            .select("lang", h.alias("h"), piece.alias("piece")).distinct())  # copies of a text count once
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))

@@ -37,6 +37,14 @@ def test_languages_of_held_out_documents(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in out) / len(out) > 0.97
 
 
+def test_copies_leave_a_language_its_texts(docs_of, monkeypatch):
+    rows = [(0, "immer derselbe Satz")] * 6000 + [(i, f"Satz Nummer {i}") for i in range(30)]
+    other = [(i, f"sentence number {i}") for i in range(6000)]
+    monkeypatch.setattr(langid, "train", lambda sample: sample)
+    sample = langid.fit(docs_of(rows, "de").unionByName(docs_of(other, "en")), windows=20)
+    assert Counter(lang for _, lang in sample) == {"de": 10, "en": 10} and len(set(sample)) == 20
+
+
 def test_language_edge_cases(docs_of):
     train = [(t.encode(), lang) for t, lang in [("the cat and the dog", "en"), ("der Hund und die Katze", "de")] for _ in range(30)]
     net = langid.train(train)
