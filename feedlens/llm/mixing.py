@@ -53,6 +53,21 @@ def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return take
 
 
+def long_counts(sizes: np.ndarray, counts: np.ndarray, goal: int, budget: int) -> np.ndarray:
+    """How many of each size to take for a ``goal`` above ``budget``: the knapsack in a unit that brings the goal within it.
+
+    Exact if all sizes are multiples of the unit, else nearest in rounded sizes;
+    what is then left within the budget goes to the exact knapsack."""
+    open_ = (sizes > 0) & (counts > 0)
+    if not open_.any():
+        return np.zeros(len(sizes), np.int64)
+    unit = max(int(np.gcd.reduce(sizes[open_])), -(-goal // budget))
+    scaled = np.where(sizes > 0, np.maximum(1, (sizes + unit // 2) // unit), 0)
+    take = knapsack(scaled, counts, max(1, (goal + unit // 2) // unit))
+    left = goal - int((sizes * take).sum())
+    return take + knapsack(sizes, counts - take, left) if 0 < left <= budget else take
+
+
 def fit_counts(sizes: np.ndarray, counts: np.ndarray, target: float,
                budget: int = KNAPSACK_BUDGET) -> tuple[int, np.ndarray]:
     """(whole copies of every document, documents of each size that get one more) for one source."""
@@ -63,7 +78,7 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, target: float,
     rest = int(round(target - copies * total))
     extra = np.floor(counts * (rest / total)).astype(np.int64)
     extra[sizes <= 0] = 0
-    rest -= int((sizes * extra).sum())
+    rest, goal, least = rest - int((sizes * extra).sum()), rest, extra.copy()
     share = counts * (max(rest, 0) / total)
     for i in np.lexsort((-sizes, -(share - np.floor(share)))):  # one more document each, until the knapsack can hold the rest
         if rest <= budget:
@@ -80,6 +95,15 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, target: float,
             rest -= more * int(sizes[i])
     if 0 < rest <= budget:
         extra += knapsack(sizes, counts - extra, rest)
+        rest = goal - int((sizes * extra).sum())
+    if rest and goal > budget:  # only longer documents are left: overshooting by one, and other choices of long documents, may be nearer
+        tried = [extra, least + long_counts(sizes, counts - least, goal - int((sizes * least).sum()), budget),
+                 long_counts(sizes, counts, goal, budget)]
+        if ((sizes > 0) & (counts > extra)).any():
+            one = extra.copy()
+            one[np.flatnonzero((sizes > 0) & (counts > extra))[np.argmin(sizes[(sizes > 0) & (counts > extra)])]] += 1
+            tried.append(one)
+        extra = min(tried, key=lambda x: (abs(goal - int((sizes * x).sum())), int((sizes * x).sum())))
     return copies, extra
 
 

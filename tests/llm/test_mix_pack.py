@@ -31,6 +31,23 @@ def test_large_budgets_leave_only_a_knapsack():
         assert (extra <= counts).all() and copies * total + int((extra * sizes).sum()) == round(target)
 
 
+def test_sources_of_long_documents_only():
+    copies, extra = mixing.fit_counts(np.array([400_000]), np.array([3]), 1_900_000)
+    assert (copies, extra.tolist()) == (1, [2])
+    rng = np.random.default_rng(14)
+    for _ in range(30):
+        sizes = np.unique(rng.integers(7, 90, 3)) * 10_000
+        counts = rng.integers(1, 4, len(sizes))
+        total = int((sizes * counts).sum())
+        target = int(rng.integers(0, total * 2))
+        copies, extra = mixing.fit_counts(sizes, counts, target)
+        rest = target - copies * total
+        sums = [int((np.array(c) * sizes).sum()) for c in itertools.product(*(range(n + 1) for n in counts))]
+        assert (0 <= extra).all() and (extra <= counts).all()
+        if rest > 2 * mixing.KNAPSACK_BUDGET:
+            assert abs(int((extra * sizes).sum()) - rest) <= min(abs(s - rest) for s in sums) + 10_000
+
+
 def water(sizes, weights, share, most):
     left, out, open_ = share * sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))
     while open_:
