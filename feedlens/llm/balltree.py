@@ -61,7 +61,8 @@ def exact_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 def search(tree: BallTree, queries: np.ndarray, names: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Scores and positions (n x k, best first, NONE and -1 where there are fewer) of the vectors that can be among
-    the k best: none below a query's ``floor`` is wanted. names orders ties."""
+    the k best: none below a query's ``floor`` is wanted. names orders ties; of
+    vectors with one name the best counts."""
     n = len(queries)
     score, at = np.full((n, k), NONE), np.full((n, k), -1)
     kth, length = floor.copy(), np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
@@ -71,6 +72,7 @@ def search(tree: BallTree, queries: np.ndarray, names: np.ndarray, k: int, floor
         top = queries[rows].astype(np.float64) @ tree.centres[node] + length[rows] * tree.radii[node]
         return top + np.abs(top) * 1e-9 + length[rows] * tree.radii[node] * 1e-9 + 1e-6  # rounding never hides a vector
 
+    repeats = len(np.unique(names)) < len(names)
     every = np.arange(n)
     heap = [(0.0, 0, every, bound(0, every))] if len(tree.order) else []
     while heap:
@@ -93,7 +95,19 @@ def search(tree: BallTree, queries: np.ndarray, names: np.ndarray, k: int, floor
         s = np.concatenate([score[rows], got], axis=1)
         p = np.concatenate([at[rows], np.broadcast_to(tree.order[a:b], got.shape)], axis=1)
         tie = np.where(p >= 0, names[p], big)
-        first = np.lexsort((tie, -s.astype(np.float64) if np.abs(got).max(initial=0) < 2**53 else ~s), axis=1)[:, :k]
+        first = np.lexsort((tie, -s.astype(np.float64) if np.abs(got).max(initial=0) < 2**53 else ~s), axis=1)
+        if repeats:  # later places of a name go to the end, without a score
+            named = np.take_along_axis(tie, first, 1)
+            by = np.argsort(named, axis=1, kind="stable")
+            same = np.take_along_axis(named, by, 1)
+            later = np.zeros(s.shape, bool)
+            np.put_along_axis(later, by, np.concatenate([np.zeros((len(s), 1), bool), same[:, 1:] == same[:, :-1]], axis=1), 1)
+            place = np.take_along_axis(first, np.argsort(later, axis=1, kind="stable"), 1)
+            gone = np.take_along_axis(later, np.argsort(later, axis=1, kind="stable"), 1)
+            np.put_along_axis(s, place, np.where(gone, NONE, np.take_along_axis(s, place, 1)), 1)
+            np.put_along_axis(p, place, np.where(gone, -1, np.take_along_axis(p, place, 1)), 1)
+            first = place
+        first = first[:, :k]
         score[rows], at[rows] = np.take_along_axis(s, first, 1), np.take_along_axis(p, first, 1)
         kth[rows] = np.maximum(kth[rows], score[rows, k - 1])
     return score, at

@@ -95,11 +95,15 @@ def _rerank(found: pa.Table, asked: pa.Table, most: int) -> pa.Table:
     ids = found.column("ids").combine_chunks()
     smallest = ids.values.to_numpy(zero_copy_only=False)[ids.offsets.to_numpy()[:-1]]
     q, at, score = [], [], []
+    repeats = len(np.unique(smallest)) < len(smallest)
     for i in range(len(u)):
         s = v @ u[i]
-        near = np.arange(len(s)) if len(s) <= most else np.flatnonzero(s >= np.partition(s, -most)[-most] - 1e-12)
+        near = np.arange(len(s)) if len(s) <= most or repeats else np.flatnonzero(s >= np.partition(s, -most)[-most] - 1e-12)
         exact = (v[near] * u[i]).sum(axis=1)  # summed in one order, wherever the pair meets
-        near = near[np.lexsort((smallest[near], -exact))[:most]]
+        near = near[np.lexsort((smallest[near], -exact))]
+        if repeats:  # an id's best vector counts
+            near = near[np.sort(np.unique(smallest[near], return_index=True)[1])]
+        near = near[:most]
         q.append(np.full(len(near), i)), at.append(near), score.append((v[near] * u[i]).sum(axis=1))
     q, i, s = spread(np.concatenate(q), np.concatenate(at), np.concatenate(score), ids, most)
     h1, h2 = asked.column("h1").to_numpy()[q], asked.column("h2").to_numpy()[q]

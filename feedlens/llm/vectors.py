@@ -17,18 +17,27 @@ def finite(vec: Column) -> Column:
 
 
 def distinct_vectors(rows: DataFrame, k: int, is_query: Column, name: str) -> DataFrame:
-    """(h1, h2, dim, vec, ids, asked) written to the shared folder: one row per distinct vector of ``rows`` (vec_id, vec).
+    """(h1, h2, dim, vec, ids, asked) written to the shared folder: one row per distinct vector of ``rows`` (vec_id, vec),
+    and one more for each of its ids that other vectors of that length have too.
 
     ids are its k + 1 smallest distinct ids, which is all that k results
     beside a query's own row can need, so a vector that a third of the rows
-    share is one candidate. asked: some row of it is a query."""
+    share is one candidate. An id on several vectors stands alone in its rows, so
+    rows with equal first ids are one id's. asked: some row of it is a query (on one row of a vector)."""
     keyed = rows.select("vec_id", "vec", F.xxhash64("vec").alias("h1"), F.hash("vec", F.size("vec")).alias("h2"), is_query.alias("q"))
     nth = F.row_number().over(Window.partitionBy("h1", "h2").orderBy("vec_id"))
-    ids = (keyed.select("h1", "h2", "vec_id").distinct().withColumn("nth", nth).where(F.col("nth") <= k + 1)
-           .groupBy("h1", "h2").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
+    few = (keyed.select("h1", "h2", "vec_id", F.size("vec").alias("size")).distinct().withColumn("nth", nth)
+           .where(F.col("nth") <= k + 1).drop("nth"))
+    again = few.groupBy("size", "vec_id").agg(F.count("*").alias("times")).where("times > 1")
+    of = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("vec_id"))))
+    ids = (few.join(again, ["size", "vec_id"], "left").groupBy("h1", "h2")
+           .agg(of(F.col("times").isNull()).alias("own"), of(F.col("times").isNotNull()).alias("shared"))
+           .select("h1", "h2", F.posexplode(F.filter(F.concat(F.array("own"), F.transform("shared", lambda x: F.array(x))),
+                                                     lambda x: F.size(x) > 0)).alias("part", "ids")))
     asked = keyed.groupBy("h1", "h2").agg(F.max("q").alias("asked"))
     once = keyed.dropDuplicates(["h1", "h2"]).select("h1", "h2", F.size("vec").alias("dim"), "vec")
-    return materialize(once.join(ids, ["h1", "h2"]).join(asked, ["h1", "h2"]), name)
+    whole = once.join(ids, ["h1", "h2"]).join(asked, ["h1", "h2"])
+    return materialize(whole.withColumn("asked", F.col("asked") & (F.col("part") == 0)).drop("part"), name)
 
 
 def results(found: DataFrame, rows: DataFrame, is_query: Column, k: int) -> DataFrame:

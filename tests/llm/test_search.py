@@ -38,6 +38,21 @@ def test_exact_products_match_brute_force(spark):
     assert balltree.top_products(df.limit(0), even(), 5).count() == 0
 
 
+def test_an_id_with_several_vectors_counts_once(spark):
+    rng = np.random.default_rng(15)
+    rows = [(i, [int(x) for x in rng.integers(-9, 9, 4)]) for i in range(60)]
+    rows += [(1, [30 + j, 30, 30, 30]) for j in range(9)] + [(0, [40, 40 + j, 40, 40]) for j in range(9)] + [(3, rows[5][1]), (4, [30, 30, 30, 30])]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    want = plain(rows, 5, lambda a, b: sum(x * y for x, y in zip(a, b)))
+    for shard in (8, 8192):
+        got = balltree.top_products(df, even(), 5, shard=shard, query_block=25).orderBy("query_id", "rank").collect()
+        assert list(map(tuple, got)) == want
+    real = df.select("vec_id", F.col("vec").cast("array<double>").alias("vec")).where(F.exists("vec", lambda x: x != 0))
+    got = crosspoly.nearest(real, even(), 5, tables=1, probes=8).orderBy("query_id", "rank").collect()
+    want = plain([r for r in rows if any(r[1])], 5, lambda a, b: round(cosine(a, b), 12))
+    assert [(r[0], r[1]) for r in got] == [w[:2] for w in want] and np.allclose([r[3] for r in got], [w[3] for w in want], atol=1e-11)
+
+
 def test_branch_and_bound_equals_a_full_scan():
     rng = np.random.default_rng(7)
     centres = rng.integers(-300, 300, (12, 8))
