@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import make_event, make_feed_file, page_name, pages_frame, write_page
+from feed_pages import make_event, make_feed_file, page_name, pages_frame, write_page
 from feedlens.functions.columns import file_key, normalise_ts, offset_from_name
 from feedlens.plans import pipeline
 from feedlens.sources import feed

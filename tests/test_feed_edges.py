@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from conftest import make_event, make_feed_file, page_name, pages_frame
+from feed_pages import make_event, make_feed_file, page_name, pages_frame
 from feedlens.operators.ingest import build_batch
 
 T0 = datetime(2026, 5, 27, 17, 0)

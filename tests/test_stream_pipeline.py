@@ -3,7 +3,7 @@
 import os
 from datetime import datetime
 
-from conftest import make_event, make_feed_file, page_name, write_page
+from feed_pages import make_event, make_feed_file, page_name, write_page
 from feedlens.config import Params
 from feedlens.plans import pipeline
 from feedlens.sources import feed
@@ -54,7 +54,7 @@ def test_batch_pipeline_checks_and_outputs(spark, tmp_path):
 
 
 def test_merge_on_read_equals_compacted_and_survives_replay(spark, tmp_path):
-    from conftest import pages_frame
+    from feed_pages import pages_frame
     store = TableStore(spark, str(tmp_path / "store"))
     d1 = [(page_name(0), make_feed_file([make_event({"id": 1, "title": "old"}), make_event({"id": 2})]))]
     d2 = [(page_name(100), make_feed_file([make_event({"id": 1, "title": "new"}), make_event({"id": 3})]))]
@@ -79,7 +79,7 @@ def test_unreadable_log_is_an_error_and_history_is_kept(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     for run, day in (("r1", 27), ("r3", 28)):
         pages = [(page_name(0), make_feed_file([make_event({"id": 1})]))]
-        from conftest import pages_frame
+        from feed_pages import pages_frame
         pipeline.run_batch(spark, pages_frame(spark, pages), store, run, "", datetime(2026, 5, day), compact_after=False)
         t = pipeline.load_tables(store)
         p = Params(as_of=datetime(2026, 5, 30), ntz=False)
@@ -95,7 +95,7 @@ def test_unreadable_log_is_an_error_and_history_is_kept(spark, tmp_path):
 
 
 def test_a_second_run_leaves_the_facts_of_the_first_untouched(spark, tmp_path):
-    from conftest import pages_frame
+    from feed_pages import pages_frame
     store = TableStore(spark, str(tmp_path / "store"))
     facts = ("market", "windows", "raw_events", "page_log")
 
