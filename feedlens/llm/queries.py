@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import balltree, crosspoly, langid, lines, mixing, packing, simhash, suffixtree, toxicity, urlfilter
+from feedlens.llm import balltree, chatformat, crosspoly, langid, lines, mixing, packing, simhash, suffixtree, toxicity, urlfilter
 from feedlens.llm.common import crc_bucket, table
 from feedlens.llm.vectors import finite
 
@@ -77,6 +77,49 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_products(rows, F.col("vec_id") % EVERY == 0, TOP)
 
 
+#: A conversation whose texts hold the template's own control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    done = chatformat.format_conversations(given.unionByName(added))
+    back = done.withColumn("turns", chatformat.read_turns(F.col("formatted"))).withColumn("trained", chatformat.trained_text(F.col("segments")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"), "valid", "first_bad", "ended")
+
+
+def chat_oracle() -> str:
+    """The same digests in SQL, from the texts as given; lengths from the template's strings and the escapes' number."""
+    t = chatformat.INSTRUCT
+    sql = lambda s: "'" + s.replace("'", "''") + "'"
+    held = lambda c: " + ".join([f"(length({c}) - length(replace({c}, chr(92), '')))"] + [
+        f"(length({c}) - length(replace({c}, {sql(x)}, ''))) // {len(x)}" for x in t.controls])
+    around = " ".join(f"WHEN {sql(n)} THEN {len(r.open) + len(r.close)}" for n, r in t.roles.items())
+    trained = ", ".join(sql(n) for n, r in t.roles.items() if r.loss)
+    arcs = " OR ".join(f"state = {sql(s)} AND nth {'= 0' if s == chatformat.START else '> 0'} AND role IN ({', '.join(map(sql, to))})" for s, to in t.arcs.items())
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {sql(CONTROL_TEXT)}, 'user', {sql(CONTROL_TEXT)}
+  UNION ALL SELECT -7, 1, 'assistant', {sql(CONTROL_TEXT)}, 'assistant', {sql(CONTROL_TEXT)}),
+n AS (SELECT *, row_number() OVER w - 1 AS nth, coalesce(lag(role) OVER w, '') AS state FROM c
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST)),
+o AS (SELECT *, coalesce({arcs}, false) AS ok,
+        CASE role {around} ELSE {sum(map(len, t.other))} + length(role) + {held("role")} END + length(text) + {held("text")} AS chars FROM n)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+  CAST(sum(CASE WHEN role IN ({trained}) THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role IN ({trained})), '')) AS loss_sha256,
+  CAST({len(t.begin)} + sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(ok) AS valid, min(nth) FILTER (WHERE NOT ok) AS first_bad, arg_max(role, nth) AS ended
+FROM o GROUP BY conv_id
+"""
+
+
 #: Integer scores, so SQL gives the same rows.
 TOP_K_ORACLE = """
 WITH e AS (
@@ -93,9 +136,9 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op6_lm_score, op7_toxicity, op8_url_filter, op9_source_mix,
-        op10_exact_top_k)}
+        op10_exact_top_k, op11_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op5_line_dedup": lines.ORACLE, "op8_url_filter": urlfilter.oracle(URL_RULES),
-            "op10_exact_top_k": TOP_K_ORACLE}
+            "op10_exact_top_k": TOP_K_ORACLE, "op11_chat_format": chat_oracle()}

@@ -49,7 +49,7 @@ def test_no_python_in_the_url_plan(spark, capsys):
 def test_stages_and_oracles_are_registered():
     import __spark_entry__
     have = __spark_entry__.queries()
-    assert [k for k in have if k.startswith("op")] == list(queries.queries()) and len(queries.queries()) == 10
+    assert [k for k in have if k.startswith("op")] == list(queries.queries()) and len(queries.queries()) == 13
     assert have["pipeline"] is corpus_pipeline.run and set(queries.oracle_sql()) <= set(have)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "source_mix", "packing"]
 
