@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import balltree, chatformat, crosspoly, langid, lines, mixing, packing, simhash, suffixtree, toxicity, urlfilter
+from feedlens.llm import (balltree, chatformat, crosspoly, langid, lexical, lines, mixing, packing, simhash, spelling, suffixtree, toxicity,
+                          urlfilter)
 from feedlens.llm.common import crc_bucket, table
 from feedlens.llm.vectors import finite
 
@@ -120,6 +121,35 @@ FROM o GROUP BY conv_id
 """
 
 
+#: A document's run loses a letter where this divides its crc32.
+NOISE_EVERY = 199
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), every=NOISE_EVERY)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+LEXICAL_ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS terms FROM documents),
+d AS (SELECT k, doc_id, len(terms) AS n FROM t WHERE len(terms) > 0),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+p AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM t) GROUP BY k, term),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, a GROUP BY term),
+s AS (
+  SELECT item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (k), a GROUP BY item_id, k, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+
 #: Integer scores, so SQL gives the same rows.
 TOP_K_ORACLE = """
 WITH e AS (
@@ -136,9 +166,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_language_id, op2_cross_polytope_ann, op3_simhash_dedup, op4_best_fit_packing, op5_line_dedup, op6_lm_score, op7_toxicity, op8_url_filter, op9_source_mix,
-        op10_exact_top_k, op11_chat_format)}
+        op10_exact_top_k, op11_chat_format, op12_spelling_variants, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op5_line_dedup": lines.ORACLE, "op8_url_filter": urlfilter.oracle(URL_RULES),
-            "op10_exact_top_k": TOP_K_ORACLE, "op11_chat_format": chat_oracle()}
+            "op10_exact_top_k": TOP_K_ORACLE, "op11_chat_format": chat_oracle(),
+            "op13_lexical_search": LEXICAL_ORACLE}
