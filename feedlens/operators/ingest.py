@@ -124,6 +124,33 @@ class Batch:
         return _ord_out(first_wins(rows, ["raw_id"], "_ord"), keep_ord)
 
 
+def replay_batch(archive: DataFrame, ntz: bool = False) -> Batch:
+    """The event tables of archived events (``raw_archive(keep_ord=True)`` rows, of any runs) as a Batch, parsed
+    again from their payloads: after a change of rules, or where tables were lost.
+
+    Runs, load times and places are those of the archived load, so the rebuilt
+    tables equal the loaded ones. The archive keeps an event's first payload per page file;
+    what a page held beside its events is not in it, so pages and headers
+    are empty."""
+    kept = ("run_id", "loaded_at", "_ord")
+    rows = archive.select("source_file", F.col("_ord")["pos"].alias("pos"), F.col("raw_json").alias("event_text"), *kept)
+    events_all = feed.parse_events(rows, kept)
+    no_pages = feed.parse_pages(rows.limit(0).select("source_file", F.col("event_text").alias("value")))
+    return Batch(pages=no_pages, headers=feed.page_headers(no_pages, F.lit(""), F.current_timestamp()), events_all=events_all,
+                 loaded=feed.loadable_events(events_all, ntz), run_id=F.col("run_id"), loaded_at=F.col("loaded_at"))
+
+
+#: Payload fields as variant types: what an archived payload says, whatever the text's layout.
+PAYLOAD_FIELDS = {"id": "bigint", "title": "string", "performer_slug": "string", "venue_slug": "string", "event_datetime": "string",
+                  "category_type": "string", "stats_total_quantity_of_tickets": "bigint"}
+
+
+def read_payload(raw_json: Column, fields: dict[str, str] | None = None) -> Column:
+    """A struct of payload ``fields`` (name -> type); null where a payload lacks one or holds another type, or is no JSON."""
+    payload = F.try_parse_json(raw_json)
+    return F.struct(*[F.try_variant_get(payload, f"$.{name}", kind).alias(name) for name, kind in (fields or PAYLOAD_FIELDS).items()])
+
+
 def build_batch(pages: DataFrame, run_id: str, loaded_at, ntz: bool = False) -> Batch:
     """Parse a frame of (source_file, value) pages into a Batch."""
     run_col = F.lit(run_id)

@@ -9,23 +9,24 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.config import Params
 from feedlens.functions.columns import as_of_lit, file_key, normalise_ts, offset_from_name
 from feedlens.operators import ledger, merge
-from feedlens.operators.ingest import build_batch
-from feedlens.operators.reports import events_by_category, forecast_coverage
+from feedlens.operators.common import written
+from feedlens.operators.ingest import build_batch, read_payload, replay_batch
 from feedlens.operators.quality import dq_suite
-from feedlens.operators.sink import write_result_sets
+from feedlens.operators.sink import sink_result_sets
 from feedlens.plans import pipeline
 from feedlens.plans.oracle_views import AS_OF, with_views
-from feedlens.plans.oracles import REPORTS, suite_sql
+from feedlens.plans.oracles import KPIS, REPORTS, SCORE_VIEWS, SCORING, detailed_suite_sql, suite_sql
 from feedlens.session import ensure_checkpoint_dir, pin_utc, shared_scratch
 from feedlens.sources import feed
-from feedlens.sources.driver import (DRIVER_RUN_ID, driver_pages, driver_tables, events_view, market_view,
-                                     performers_view, read_table)
+from feedlens.sources.driver import (DRIVER_RUN_ID, driver_pages, driver_tables, events_view, market_view, pages_view,
+                                     performers_view, read_table, venues_view)
 from feedlens.sources.store import TableStore
 from feedlens.streaming.incremental import incremental_load
 
@@ -43,16 +44,17 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _write_pages(spark, sf_dir, p, name) -> str:
+    """The feed's pages as files of one flat folder."""
     path = shared_scratch(spark, name)
-    driver_pages(spark, sf_dir, p).write.partitionBy("source_file").text(path)
+    feed.write_page_files(driver_pages(spark, sf_dir, p), path)
     return path
 
 
 # ---- S keys ------------------------------------------------------------------------------------
 
 def s01(spark, sf_dir, p):
-    path = _write_pages(spark, sf_dir, p, "pages")
-    return feed.scan_page_partitions(spark, path).select("source_file")
+    pages = feed.scan_pages(spark, _write_pages(spark, sf_dir, p, "pages"))
+    return pages.select("source_file", F.length("value").cast("bigint").alias("n_chars"), F.sha2("value", 256).alias("text_sha256"))
 
 
 def s02(spark, sf_dir, p):
@@ -126,7 +128,15 @@ def s15(spark, sf_dir, p):
 
 
 def s16(spark, sf_dir, p):
-    return _batch(spark, sf_dir, p).raw_archive().select("raw_id", "source_file", "source_offset", "event_id")
+    """The archive with its payloads' digests, and beside each what the tables rebuilt from the archive say of its event."""
+    archive = written(_batch(spark, sf_dir, p).raw_archive(keep_ord=True), "raw-archive")
+    again = replay_batch(archive)
+    said = again.market().select(F.col("event_id").alias("again_id"), F.col("get_in_price").alias("replayed_price")).join(
+        again.events().select(F.col("event_id").alias("again_id"), F.col("title").alias("replayed_title")), "again_id")
+    payload = read_payload(F.col("raw_json"))
+    rows = archive.select("raw_id", "source_file", "source_offset", "event_id", F.sha2("raw_json", 256).alias("payload_sha256"),
+                          payload["title"].alias("payload_title"), payload["stats_total_quantity_of_tickets"].alias("payload_quantity"))
+    return rows.join(said, rows.event_id == said.again_id, "left").drop("again_id")
 
 
 # ---- W keys ------------------------------------------------------------------------------------
@@ -153,21 +163,34 @@ def w01(spark, sf_dir, p):
     return merge.upsert(t, _delivery(ev, p, True), merge.EVENT_RULES).select(*W_EVENT_COLS)
 
 
-def w02(spark, sf_dir, p):
-    pf = performers_view(spark, sf_dir, p)
-    key = F.element_at(F.split("performer_slug", "-"), -1).cast("bigint")
-
-    def delivery(later):
+def _deliveries(entities: DataFrame, number, p: Params, rules: merge.MergeRules, changed: str) -> DataFrame:
+    """Two deliveries of ``entities`` merged: the first without some of those that the later one brings with ``changed`` altered."""
+    def delivery(later: bool) -> DataFrame:
         ts = as_of_lit(p) + (F.expr("INTERVAL 1 DAY") if later else F.expr("INTERVAL 0 DAY"))
-        d = (pf.where(key % 2 == 0).withColumn("performer_name", F.concat("performer_name", F.lit(" v2")))
-             if later else pf.where((key % 3 != 0) | (key % 2 != 0)))
-        o = merge.ordinal(ts, F.lit("customers"), key)
-        return (d.withColumn("first_seen_at", ts).withColumn("last_seen_at", ts)
-                .withColumn(merge.FIRST_ORD, o).withColumn(merge.LAST_ORD, o))
+        d = entities.where(number % 2 == 0) if later else entities.where((number % 3 != 0) | (number % 2 != 0))
+        if later:
+            d = d.withColumn(changed, F.concat(changed, F.lit(" v2")))
+        o = merge.ordinal(ts, F.lit("delivery"), number)
+        d = d.withColumns({"loaded_at": ts, "run_id": F.lit("run-b" if later else "run-a")} if rules.last_seen is None
+                          else {"first_seen_at": ts, "last_seen_at": ts})
+        return d.withColumn(merge.FIRST_ORD, o).withColumn(merge.LAST_ORD, o)
+
+    return merge.upsert(merge.upsert(None, delivery(False), rules), delivery(True), rules)
 
-    t = merge.upsert(None, delivery(False), merge.PERFORMER_RULES)
-    return merge.upsert(t, delivery(True), merge.PERFORMER_RULES).select(
-        "performer_slug", "performer_name", "first_seen_at", "last_seen_at")
+
+def w02(spark, sf_dir, p):
+    """Performers, venues and feed files: the first delivery's values stay, the last one's time (of a file, its run too) is taken."""
+    out = []
+    for kind, rows, rules, name in (("performer", performers_view(spark, sf_dir, p), merge.PERFORMER_RULES, "performer_name"),
+                                    ("venue", venues_view(spark, sf_dir, p), merge.VENUE_RULES, "venue_name")):
+        key = rules.key[0]
+        got = _deliveries(rows, F.element_at(F.split(F.col(key), "-"), -1).cast("bigint"), p, rules, name)
+        out.append(got.select(F.lit(kind).alias("kind"), F.col(key).alias("entity"), F.col(name).alias("value"), F.lit(None).cast("string").alias("run_id"),
+                              "first_seen_at", "last_seen_at"))
+    files = _deliveries(pages_view(spark, sf_dir, p), F.expr("`offset` div 100"), p, merge.FILE_RULES_REFERENCE, "feed_status")
+    out.append(files.select(F.lit("feed_file").alias("kind"), F.col("file_id").alias("entity"), F.col("feed_status").alias("value"), "run_id",
+                            F.lit(None).cast(NTZ).alias("first_seen_at"), F.col("loaded_at").alias("last_seen_at")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 LI_KEY = ["l_orderkey", "l_linenumber"]
@@ -192,13 +215,40 @@ def w04(spark, sf_dir, p):
     return merge.upsert(merge.upsert(None, a, merge.EVENT_RULES), a, merge.EVENT_RULES).select(*W_EVENT_COLS)
 
 
+class _Fails(RuntimeError):
+    pass
+
+
+def _failing_once(store: TableStore, table: str, batch: int) -> TableStore:
+    """``store``, whose write of ``table`` fails the first time that batch number comes."""
+    write, state = store.append_delta, {"left": 1}
+
+    def append_delta(name, df, tag, *a, **kw):
+        if name == table and tag.endswith(f"-b{batch}") and state["left"]:
+            state["left"] = 0
+            raise _Fails(f"{table} of {tag}")
+        write(name, df, tag, *a, **kw)
+
+    store.append_delta = append_delta
+    return store
+
+
 def w05(spark, sf_dir, p):
+    """A load that ends in the middle of its second batch and is called again: its events, and how often their page was loaded."""
     path = _write_pages(spark, sf_dir, p, "stream-in")
-    store = TableStore(spark, shared_scratch(spark, "stream-store"))
-    incremental_load(spark, path, store, shared_scratch(spark, "stream-ckpt"), DRIVER_RUN_ID,
-                     started_at=p.as_of, layout="partitioned")
-    ev = pipeline.load_tables(store).events
-    return ev.select("event_id", "title", "category_type", "event_category_name")
+    base, checkpoint = shared_scratch(spark, "stream-store"), shared_scratch(spark, "stream-ckpt")
+    args = (checkpoint, DRIVER_RUN_ID)
+    try:
+        incremental_load(spark, path, _failing_once(TableStore(spark, base), "market", 1), *args, started_at=p.as_of)
+    except StreamingQueryException as e:
+        if "_Fails" not in str(e):
+            raise
+    store = TableStore(spark, base)
+    incremental_load(spark, path, store, *args, started_at=p.as_of)
+    t = pipeline.load_tables(store)
+    times = pipeline.read_table(store, "page_log").where("valid").groupBy("source_file").agg(F.count(F.lit(1)).alias("times_loaded"))
+    return (t.events.join(t.raw_events.select("event_id", "source_file"), "event_id").join(times, "source_file")
+            .select("event_id", "title", "category_type", "event_category_name", "times_loaded"))
 
 
 def w06(spark, sf_dir, p):
@@ -212,9 +262,9 @@ def w06(spark, sf_dir, p):
 
 
 def w07(spark, sf_dir, p):
-    b = _batch(spark, sf_dir, p)
-    log = pipeline.page_log(b, DRIVER_RUN_ID)
-    return pipeline.ledger_from_log(log, F.lit(DRIVER_RUN_ID), as_of_lit(p), as_of_lit(p), "driver") \
+    store = TableStore(spark, shared_scratch(spark, "ledger-store"))
+    metrics = pipeline.write_page_log(_batch(spark, sf_dir, p), store, DRIVER_RUN_ID, DRIVER_RUN_ID)
+    return pipeline.ledger_from_metrics(spark.createDataFrame([metrics], pipeline.METRICS), F.lit(DRIVER_RUN_ID), as_of_lit(p), as_of_lit(p), "driver") \
         .select("run_id", "files_found", "files_loaded", "events_loaded", "status")
 
 
@@ -242,21 +292,13 @@ def w09(spark, sf_dir, p):
                                                  "affected_count": F.lit(None).cast("bigint")}).select(*cols))
 
 
-SINK_SETS = {"events_by_category": events_by_category, "forecast_coverage": forecast_coverage,
-             "dq_suite": dq_suite}
-
-
 def w10(spark, sf_dir, p):
+    """All result sets, written: rows, digest and error of each."""
     t = driver_tables(spark, sf_dir, p)
-    out = shared_scratch(spark, "results")
-    write_result_sets({k: partial(op, t, p) for k, op in SINK_SETS.items()}, out)
-    parts = [spark.read.option("header", True).csv(f"{out}/{k}")
-             .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(k).alias("result_set"), "row_count")
-             for k in SINK_SETS]
-    res = parts[0]
-    for x in parts[1:]:
-        res = res.unionByName(x)
-    return res
+    dq = written(dq_suite(t, p), "dq")  # a row a check; the report and the KPIs read it
+    done = sink_result_sets(pipeline.report_builders(t, dq, p), shared_scratch(spark, "results"))
+    return spark.createDataFrame([(name, w.rows, w.digest, w.error) for name, w in done.items()],
+                                 "result_set string, rows bigint, digest string, error string")
 
 
 FNS = {
@@ -301,12 +343,14 @@ JSON_VIEWS = {
   WHERE s.reason IS NULL""",
     "v_jload": """
   SELECT * FROM v_jev WHERE id IS NOT NULL AND id <> 0""",
+    "v_jtext": lambda: _event_text_sql(),
+    "v_jpagetext": lambda: _page_text_sql(),
 }
 ISO_SQL = "strftime({x}, '%Y-%m-%dT%H:%M:%SZ')"
 SHIFTED = "CASE WHEN j.k % 251 = 0 THEN j.o_orderdate + INTERVAL 2 DAY ELSE j.o_orderdate END"
 
 S_SQL = {
-    "feed_scan_pages": "SELECT source_file FROM v_jpages",
+    "feed_scan_pages": "SELECT source_file, CAST(length(value) AS BIGINT) AS n_chars, sha256(value) AS text_sha256 FROM v_jpagetext",
     "feed_quarantine_files": "SELECT source_file, reason FROM v_jstate WHERE reason IS NOT NULL",
     "feed_validate_pages": """
 SELECT source_file, CASE WHEN pg % 25 = 24 THEN 'error' ELSE 'success' END AS status,
@@ -359,8 +403,10 @@ SELECT w.window_id, w.event_id, w.window_days, w.direction, w.percent_change, w.
 FROM v_jload j JOIN v_windows w ON w.event_id = j.k
 WHERE NOT (w.window_days = 3 AND j.k % 13 = 5) AND NOT (w.window_days = 30 AND j.k % 13 = 4)""",
     "build_raw_archive": """
-SELECT substr(sha256(source_file), 1, 16) || ':' || CAST(k AS VARCHAR) AS raw_id, source_file,
-       CAST(page_offset AS BIGINT) AS source_offset, k AS event_id FROM v_jload""",
+SELECT substr(sha256(j.source_file), 1, 16) || ':' || CAST(j.k AS VARCHAR) AS raw_id, j.source_file,
+       CAST(j.page_offset AS BIGINT) AS source_offset, j.k AS event_id, sha256(t.text) AS payload_sha256, e.title AS payload_title,
+       CAST(m.stats_total_quantity AS BIGINT) AS payload_quantity, m.get_in_price AS replayed_price, e.title AS replayed_title
+FROM v_jload j JOIN v_jtext t USING (k) JOIN v_events e ON e.event_id = j.k JOIN v_market m ON m.event_id = j.k""",
 }
 
 W_DELIV = f"""
@@ -379,16 +425,17 @@ SELECT COALESCE(a.event_id, b.event_id) AS event_id,
        CASE WHEN a.event_id IS NOT NULL THEN a.seen ELSE b.seen END AS first_seen_at,
        CASE WHEN b.event_id IS NOT NULL THEN b.seen ELSE a.seen END AS last_seen_at
 FROM a FULL OUTER JOIN b ON a.event_id = b.event_id""",
-    "upsert_touch_last_seen": f"""
-SELECT COALESCE(a.performer_slug, b.performer_slug) AS performer_slug,
-       CASE WHEN a.performer_slug IS NOT NULL THEN a.performer_name ELSE b.performer_name END AS performer_name,
-       CASE WHEN a.performer_slug IS NOT NULL THEN a.seen ELSE b.seen END AS first_seen_at,
-       CASE WHEN b.performer_slug IS NOT NULL THEN b.seen ELSE a.seen END AS last_seen_at
-FROM (SELECT performer_slug, performer_name, {AS_OF} AS seen FROM v_performers
-      WHERE CAST(split_part(performer_slug, '-', 2) AS BIGINT) % 6 <> 0) a
-FULL OUTER JOIN (SELECT performer_slug, performer_name || ' v2' AS performer_name, {AS_OF} + INTERVAL 1 DAY AS seen
-      FROM v_performers WHERE CAST(split_part(performer_slug, '-', 2) AS BIGINT) % 2 = 0) b
-ON a.performer_slug = b.performer_slug""",
+    "upsert_touch_last_seen": "\nUNION ALL\n".join(f"""
+SELECT '{kind}' AS kind, COALESCE(a.entity, b.entity) AS entity, COALESCE(a.value, b.value || ' v2') AS value,
+       {"CASE WHEN b.entity IS NOT NULL THEN 'run-b' ELSE 'run-a' END" if kind == 'feed_file' else 'NULL'} AS run_id,
+       {'CAST(NULL AS TIMESTAMP)' if kind == 'feed_file' else f'CASE WHEN a.entity IS NULL THEN {AS_OF} + INTERVAL 1 DAY ELSE {AS_OF} END'} AS first_seen_at,
+       CASE WHEN b.entity IS NOT NULL THEN {AS_OF} + INTERVAL 1 DAY ELSE {AS_OF} END AS last_seen_at
+FROM (SELECT {key} AS entity, {value} AS value FROM {view} WHERE {number} % 6 <> 0) a
+FULL OUTER JOIN (SELECT {key} AS entity, {value} AS value FROM {view} WHERE {number} % 2 = 0) b ON a.entity = b.entity"""
+        for kind, view, key, value, number in (
+            ("performer", "v_performers", "performer_slug", "performer_name", "CAST(split_part(performer_slug, '-', 2) AS BIGINT)"),
+            ("venue", "v_venues", "venue_slug", "venue_name", "CAST(split_part(venue_slug, '-', 2) AS BIGINT)"),
+            ("feed_file", "v_pages", "file_id", "feed_status", '("offset" // 100)'))),
     "insert_if_absent": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {W_LI_ORDER}) AS rf,
@@ -399,7 +446,7 @@ WHERE (l_orderkey % 3 = 0 AND rl = 1) OR (l_orderkey % 3 <> 0 AND rf = 1)""",
 SELECT event_id, title, event_datetime, {AS_OF} AS first_seen_at, {AS_OF} AS last_seen_at
 FROM v_events""",
     "stream_incremental_load": """
-SELECT e.event_id, e.title, e.category_type, e.event_category_name FROM v_jload j JOIN v_events e ON e.event_id = j.k""",
+SELECT e.event_id, e.title, e.category_type, e.event_category_name, 1 AS times_loaded FROM v_jload j JOIN v_events e ON e.event_id = j.k""",
     "latest_snapshot": f"""
 SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'run-b' ELSE 'run-a' END AS run_id, get_in_price,
        CASE WHEN event_id % 2 = 0 THEN loaded_at + INTERVAL 1 DAY ELSE loaded_at END AS loaded_at
@@ -429,11 +476,91 @@ W_SQL_PREFIX = {
 }
 
 
+def _json_fields(fields: dict[str, tuple[str, str]]) -> str:
+    """A JSON object of the fields (name -> (kind, SQL)) that are not null, in order."""
+    shown = {"text": """'"' || {x} || '"'""", "number": "CAST({x} AS VARCHAR)", "json": "{x}"}
+    return "'{' || concat_ws(',', " + ", ".join(
+        f"""'"{name}":' || {shown[kind].format(x=f"({x})")}""" for name, (kind, x) in fields.items()) + ") || '}'"
+
+
+def _event_text_sql() -> str:
+    """k, text: every order's event as the JSON its page holds."""
+    shifted = "CASE WHEN o.o_orderkey % 251 = 0 THEN o.o_orderdate + INTERVAL 2 DAY ELSE o.o_orderdate END"
+    moved = _json_fields({"direction": ("text", "direction"), "percent": ("number", "percent_change"), "raw": ("number", "raw_change"),
+                          "insufficient_data": ("number", "insufficient_data")})
+    fields = {
+        "id": ("number", "CASE WHEN o.o_orderkey % 1999 <> 11 THEN o.o_orderkey END"), "title": ("text", "c.c_name"),
+        "performer": ("text", "CASE WHEN o.o_orderkey % 700 <> 0 THEN c.c_name END"),
+        "performer_slug": ("text", "'performer-' || o.o_custkey"), "venue": ("text", "n.n_name || ' Hall'"),
+        "venue_slug": ("text", "'venue-n' || c.c_nationkey"), "city": ("text", "n.n_name"), "country": ("text", "r.r_name"),
+        "date": ("text", "CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR)"),
+        "event_datetime": ("text", f"CASE WHEN o.o_orderkey % 401 = 3 THEN 'not-a-date' ELSE {ISO_SQL.format(x=shifted)} END"),
+        "event_timezone": ("text", "'UTC'"),
+        "event_utc_datetime": ("text", f"CASE WHEN o.o_orderkey % 1201 <> 5 THEN {ISO_SQL.format(x='o.o_orderdate')} END"),
+        "category_type": ("text", "c.c_mktsegment"), "event_category_name": ("text", "o.o_orderpriority"),
+        "get_in_price": ("number", "m.get_in_price"), "stats_total_quantity_of_tickets": ("number", "m.stats_total_quantity"),
+        "stats_last_updated_at": ("text", ISO_SQL.format(x="m.stats_last_updated_at")),
+        "forecast_is_available": ("number", "m.forecast_is_available"), "forecast_value": ("number", "CAST(m.forecast_value AS DOUBLE)"),
+        "forecast_layover_text": ("text", "m.forecast_layover_text"), "forecast_hover_text": ("text", "m.forecast_hover_text"),
+        "is_past_with_no_pricing": ("number", "m.is_past_with_no_pricing"), "mock_data_point": ("number", "m.mock_data_point"),
+        "disable_click_through": ("number", "m.disable_click_through"),
+        "3day_price_change": ("json", "CASE WHEN o.o_orderkey % 13 <> 5 THEN w3 END"), "7day_price_change": ("json", "w7"),
+        "14day_price_change": ("json", "w14"), "30day_price_change": ("json", "CASE WHEN o.o_orderkey % 13 = 4 THEN '{}' ELSE w30 END"),
+    }
+    wide = ", ".join(f"any_value({moved}) FILTER (WHERE window_days = {d}) AS w{d}" for d in (3, 7, 14, 30))
+    return f"""
+  SELECT o.o_orderkey AS k, {_json_fields(fields)} AS text
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey LEFT JOIN v_market m ON m.event_id = o.o_orderkey
+  LEFT JOIN (SELECT event_id, {wide} FROM v_windows GROUP BY event_id) w ON w.event_id = o.o_orderkey"""
+
+
+def _page_text_sql() -> str:
+    """source_file, value: every page as the text of its file."""
+    iso = ISO_SQL.format(x=AS_OF)
+    meta = _json_fields({
+        "categorization": ("json", _json_fields({"current_utc": ("text", iso), "total_count": ("number", "a.n"), "upcoming_count": ("number", "a.upcoming"),
+                                                 "past_count": ("number", "a.n - a.upcoming")})),
+        "filters": ("json", _json_fields({"date_range": ("json", _json_fields({"start_date": ("text", "t.dmin"), "end_date": ("text", "t.dmax"),
+                                                                               "is_any": ("number", "false")}))})),
+        "pagination": ("json", _json_fields({"offset": ("number", "s.page_offset"), "limit": ("number", "100"), "current_page_results": ("number", "a.n"),
+                                             "has_more": ("number", "s.page_offset < t.last_offset"), "total_database_matches": ("number", "t.total")})),
+        "performance_timing": ("json", "'{\"total_seconds\":1.0}'")})
+    return f"""
+  SELECT source_file, CASE WHEN corrupt THEN substr(whole, 1, length(whole) // 2) ELSE whole END || chr(10) AS value FROM (
+    SELECT s.source_file, s.corrupt, '{{"status":"' || CASE WHEN s.pg % 25 = 24 THEN 'error' ELSE 'success' END || '","data":{{"metadata":' || {meta} ||
+      CASE WHEN s.pg % 30 = 29 THEN '' WHEN s.pg % 2 = 1 THEN ',"events":' || e.events ELSE ',"events":{{"all":' || e.events || ',"past":[],"upcoming":[]}}' END
+      || '}}}}' AS whole
+    FROM v_jstate s JOIN v_pages_agg a USING (page_offset)
+    JOIN (SELECT k - k % 100 AS page_offset, '[' || string_agg(text, ',' ORDER BY k) || ']' AS events FROM v_jtext GROUP BY 1) e USING (page_offset)
+    CROSS JOIN v_pages_tot t) x"""
+
+
+JSON_VIEWS = {k: v() if callable(v) else v for k, v in JSON_VIEWS.items()}
+
+
+RESULT_SETS = {
+    "01_events_by_category": "events_by_category", "02_events_by_geography": "events_by_geography", "03_top20_by_get_in_price": "top20_by_price",
+    "04_top20_by_ticket_quantity": "top20_by_quantity", "05_top20_3day_price_movement": "top20_move_3d", "06_top20_7day_price_movement": "top20_move_7d",
+    "07_zero_price_events": "zero_price_events", "08_stale_stats": "stale_stats", "09_forecast_available_events": "forecast_available",
+    "10_forecast_coverage_by_category": "forecast_coverage", "11_median_price_by_category": "median_price_by_category",
+    "12_median_price_by_city_venue": "median_price_by_venue", "13_suspicious_price_changes": "suspicious_changes",
+    "14_event_counts_by_source_file": "counts_by_source_file",
+}
+
+
 def _sink_sql() -> str:
-    parts = [f"SELECT '{k}' AS result_set, COUNT(*) AS row_count FROM ({REPORTS[k]}) q"
-             for k in ("events_by_category", "forecast_coverage")]
-    parts.append(f"SELECT 'dq_suite' AS result_set, COUNT(*) AS row_count FROM ({suite_sql()}) q")
-    return "\nUNION ALL\n".join(parts)
+    """Rows and order-free digest of every result set."""
+    sets = {name: REPORTS[key] for name, key in RESULT_SETS.items()}
+    sets["15_dq_failure_counts"] = detailed_suite_sql()
+    sets["pricing_review_ranked"] = SCORING["pricing_review"]
+    fails = f"SELECT COUNT(*) FILTER (WHERE status = 'FAIL' AND severity IN ('ERROR', 'WARNING')) AS dq_fails FROM ({suite_sql()}) s"
+    sets["kpis"] = "SELECT * FROM " + " CROSS JOIN ".join(f"({sql}) k{n}" for n, sql in enumerate([*KPIS.values(), fails]))
+    text = ("COALESCE(CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE' THEN CAST(TRY_CAST(COLUMNS(*) AS DECIMAL(38,6)) AS VARCHAR) "
+            "ELSE CAST(COLUMNS(*) AS VARCHAR) END, 'NULL')")
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS result_set, COUNT(*) AS rows, CAST(COALESCE(SUM(CAST('0x' || substr(md5(t), 1, 12) AS BIGINT)), 0) AS VARCHAR) AS digest,
+  CAST(NULL AS VARCHAR) AS error FROM (SELECT concat_ws('|', *COLUMNS(*)) AS t FROM (SELECT {text} FROM ({sql}) q) r) x""" for name, sql in sets.items())
 
 
 def _with_prefix(key: str, body: str) -> str:
@@ -443,5 +570,5 @@ def _with_prefix(key: str, body: str) -> str:
 def oracle_sql():
     out = {k: with_views(v, JSON_VIEWS) for k, v in S_SQL.items()}
     out.update({k: _with_prefix(k, v) for k, v in W_SQL.items()})
-    out["sink_result_sets"] = with_views(_sink_sql())
+    out["sink_result_sets"] = with_views(_sink_sql(), SCORE_VIEWS)
     return out

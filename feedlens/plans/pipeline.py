@@ -10,10 +10,11 @@
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.config import Params
@@ -32,7 +33,7 @@ KEYED = {"events": EVENT_RULES, "performers": PERFORMER_RULES, "venues": VENUE_R
 FIRST_WINS = {"market": ["run_id", "state_id"], "windows": ["run_id", "window_id"], "raw_events": ["raw_id"]}
 BY_RUN = {"market": ["run_id"], "windows": ["run_id"]}
 BRIDGES = ("event_performers", "event_venues")
-LOGS = ("page_log", "event_quarantine")
+LOGS = ("page_log", "event_quarantine", "batch_metrics")
 
 
 def _now() -> datetime:
@@ -53,12 +54,37 @@ def page_log(batch, run_id: str) -> DataFrame:
                     batch.loaded_at.alias("loaded_at")))
 
 
+METRICS = "run_id string, tag string, files_found bigint, files_loaded bigint, events_loaded bigint"
+
+
+def write_page_log(batch, store: TableStore, run_id: str, tag: str) -> tuple:
+    """Writes the batch's page log and returns its METRICS row, counted by the write itself.
+
+    The counts are observed in the stage that writes, whose tasks count once each
+    however often they are tried; nothing is read again."""
+    seen = Observation(f"page-log-{tag}-{time.time_ns()}")
+    log = page_log(batch, run_id).observe(
+        seen, F.count(F.lit(1)).alias("files_found"), F.count_if("valid").alias("files_loaded"),
+        F.coalesce(F.sum(F.when(F.col("valid"), F.col("events_loaded"))), F.lit(0)).cast("bigint").alias("events_loaded"))
+    store.append_delta("page_log", log, tag, stub=page_log(batch, run_id))
+    n = seen.get
+    return run_id, tag, n["files_found"], n["files_loaded"], n["events_loaded"]
+
+
+def batch_metrics(store: TableStore, run_id: str) -> DataFrame | None:
+    """METRICS of the run's batches, one row each: a batch written again counts as the last time."""
+    rows = read_table(store, "batch_metrics")
+    return None if rows is None else rows.where(F.col("run_id") == F.lit(run_id))
+
+
 def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_id: str,
                  loaded_at: datetime | None = None, tag: str | None = None) -> None:
     """Load one delivery of pages (a frame of (source_file, value)) into the
     store. Work and writes are O(batch): every table receives this batch's
     rows as a delta (deduplicated inside the batch by the table's rule);
-    nothing already stored is read or rewritten."""
+    nothing already stored is read or rewritten. The batch's numbers are
+    written last, as a delta of the same tag, so a batch that failed midway has none until
+    it is loaded again."""
     loaded_at = loaded_at or _now()
     tag = tag or run_id
     batch = build_batch(pages, run_id, loaded_at)
@@ -73,11 +99,12 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, store: TableStore, run_i
             "event_performers": batch.event_performers(), "event_venues": batch.event_venues(),
             "market": batch.market(keep_ord=True), "windows": batch.windows(keep_ord=True),
             "raw_events": batch.raw_archive(keep_ord=True),
-            "page_log": page_log(batch, run_id),
             "event_quarantine": batch.quarantine_events().withColumn("run_id", F.lit(run_id)),
         }
         for name, df in deltas.items():
             store.append_delta(name, df, tag, BY_RUN.get(name))
+        metrics = write_page_log(batch, store, run_id, tag)
+        store.append_delta("batch_metrics", spark.createDataFrame([metrics], METRICS), tag)
     finally:
         batch.pages.unpersist()
         batch.events_all.unpersist()
@@ -127,25 +154,25 @@ def start_run(spark: SparkSession, store: TableStore, run_id: str, started_at: d
     store.append_fact("runs", ledger.run_start_row(spark, run_id, started_at, input_dir), ["run_id"])
 
 
-def ledger_from_log(pages: DataFrame, run_id, started_at, finished_at, input_dir: str) -> DataFrame:
-    """The finished-run row from a run's page log (one aggregate)."""
-    metrics = pages.agg(F.count(F.lit(1)).alias("files_found"),
-                        F.count_if("valid").alias("files_loaded"),
-                        F.coalesce(F.sum(F.when(F.col("valid"), F.col("events_loaded"))), F.lit(0))
-                        .cast("bigint").alias("events_loaded"))
-    return ledger.run_ledger_rows(metrics, run_id, started_at, finished_at, input_dir)
+def ledger_from_metrics(metrics: DataFrame, run_id, started_at, finished_at, input_dir: str) -> DataFrame:
+    """The finished-run row from the METRICS rows of a run's batches."""
+    total = metrics.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("files_found", "files_loaded", "events_loaded")])
+    return ledger.run_ledger_rows(total, run_id, started_at, finished_at, input_dir)
 
 
 def finish_run(spark: SparkSession, store: TableStore, run_id: str, started_at: datetime,
                input_dir: str) -> DataFrame:
-    """W07 + W09 from the run's page log and event quarantine."""
+    """W07 from the numbers its batches' writes counted, W09 from the run's page log and event quarantine."""
     finished = F.lit(_now()).cast("timestamp")
     pages = read_table(store, "page_log")
     pages = pages.where(F.col("run_id") == F.lit(run_id)) if pages is not None else None
     if pages is None:
         pages = spark.createDataFrame([], "run_id string, source_file string, valid boolean, reason string, "
                                           "events_loaded int, events_rejected int")
-    done = ledger_from_log(pages, F.lit(run_id), F.lit(started_at).cast("timestamp"), finished, input_dir)
+    metrics = batch_metrics(store, run_id)
+    if metrics is None:
+        metrics = spark.createDataFrame([], METRICS)
+    done = ledger_from_metrics(metrics, F.lit(run_id), F.lit(started_at).cast("timestamp"), finished, input_dir)
     bad_files = pages.where(~F.col("valid")).select("source_file", "reason")
     bad_events = read_table(store, "event_quarantine")
     if bad_events is None:
@@ -212,14 +239,55 @@ def record_checks(spark: SparkSession, tables: FeedTables, store: TableStore, ru
     by run and check; a repeated run adds later rows, which win on reading."""
     res = quality.dq_suite(tables, p)
     rows = res.select(F.concat_ws(":", F.lit(run_id), "check_name").alias("check_id"),
-                      F.lit(run_id).alias("run_id"), "check_name", "severity", "status", "affected_count",
-                      F.when(F.col("status") == "FAIL", F.concat(F.col("affected_count").cast("string"), F.lit(" rows")))
-                      .alias("details"),
+                      F.lit(run_id).alias("run_id"), "check_name", "severity", "status", "affected_count", "details",
                       F.lit(_now()).cast("timestamp").alias("checked_at"))
     store.append_fact("dq_checks", rows, ["run_id"])
     return rows
 
 
+def _state_params(p: Params) -> str:
+    """What a check's state depends on beside its rows."""
+    return f"{p.as_of_sql}|{p.stale_hours}|{p.suspicious_pct}|{p.sentinels}"
+
+
+def runs_suite(spark: SparkSession, tables: FeedTables, store: TableStore, run_ids: list[str], p: Params,
+               thresholds: dict[str, int] | None = None) -> DataFrame:
+    """The checks on snapshot facts (market, windows) over all of ``run_ids``, from a state kept per run.
+
+    A run's rows are its own, so counts add up and samples merge: only runs
+    without a state of these parameters are read, and their states are
+    written. ``tables`` hold the facts of all runs (``load_tables`` with ALL_RUNS). Same columns as ``dq_suite``."""
+    keys = [c.key for c in quality.ROW_CHECKS if c.source in ("market", "windows")]
+    params = _state_params(p)
+
+    def kept(name):
+        rows = store.read_fact(name)
+        return None if rows is None else rows.where((F.col("params") == params) & F.col("run_id").isin(*run_ids))
+
+    have = kept("dq_state_counts")
+    done = set() if have is None else {r["run_id"] for r in have.select("run_id").distinct().collect()}
+    errors: dict[str, str] = {}
+    for run in [r for r in dict.fromkeys(run_ids) if r not in done]:
+        counts, samples, broken = quality.check_states(tables, replace(p, run_id=run), keys)
+        errors |= broken
+        if broken:
+            continue  # a run whose checks did not all run has no state, and the next call tries it again
+        own = {"run_id": F.lit(run), "params": F.lit(params)}
+        if samples is not None:
+            store.append_fact("dq_state_samples", samples.withColumns(own), ["run_id"])
+        store.append_fact("dq_state_counts", counts.withColumns(own), ["run_id"])  # last: it marks the state as whole
+    counts, samples = kept("dq_state_counts"), kept("dq_state_samples")
+    if counts is None:
+        counts = spark.createDataFrame([], "check_name string, affected_count bigint, run_id string, params string")
+    if samples is None:
+        counts = counts.groupBy("check_name").agg(F.sum("affected_count").alias("affected_count"))
+    else:
+        # a state cut off before its counts were written leaves samples that the next one repeats
+        samples = samples.drop("params").dropDuplicates(["run_id", "check_name", "nth"]).drop("run_id")
+        counts, samples = quality.merge_states(counts, samples)
+    return quality.suite_result(counts.where(~F.col("check_name").isin(*errors)) if errors else counts, samples, tables.events, errors, thresholds)
+
+
 def check_history(store: TableStore) -> DataFrame | None:
     """One row per run and check, the one written last."""
     rows = store.read_fact("dq_checks")

@@ -22,7 +22,11 @@ def _on_driver(op, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_then(op, t, p):
-    return op(quality.dq_suite(t, p))
+    return op(quality.run_checks(t, p))
+
+
+def _dq_report(t, p):
+    return quality.dq_report(quality.dq_suite(t, p))
 
 
 def _one_check(key, t, p):
@@ -45,7 +49,7 @@ TABLE_OPS = {
     "median_price_by_venue": reports.median_price_by_venue,
     "suspicious_changes": reports.suspicious_changes,
     "counts_by_source_file": reports.counts_by_source_file,
-    "dq_report": partial(_dq_then, quality.dq_report),
+    "dq_report": _dq_report,
     # R01-R05
     "category_median": scoring.category_median,
     "movement_scale": scoring.movement_scale,

@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # feed pages are small files; a task takes as many as their bytes allow
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
 

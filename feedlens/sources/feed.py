@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from feedlens.config import PAGE_STATUS_OK, WINDOW_DAYS
 from feedlens.functions.columns import file_key, lenient_bool, lenient_double, lenient_int, normalise_ts, offset_from_name
+from feedlens.session import shared_scratch
 
 STR, LONG, INT, DBL, BOOL = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 WINDOW_TYPE = "map<string,string>"  # keeps {} (empty) apart from absent/null (NULL)
@@ -65,18 +66,38 @@ MISSING_ID = "missing id"
 EVENT_PARSE_ERROR = "event parse error"
 
 
+def file_name() -> Column:
+    """The name of the file a row was read from; Spark gives it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def write_page_files(pages: DataFrame, folder: str) -> None:
+    """Writes each page of (source_file, value) as a file of that name in one flat folder, as a feed's collector leaves them.
+
+    Executors write the texts (each with a line end), one file per name; the driver then
+    moves the files to their names through Hadoop's file system, one rename a page."""
+    spark = pages.sparkSession
+    parts = shared_scratch(spark, "page-parts")
+    named = pages.select(F.concat(F.lit("p"), "source_file").alias("page"), "value")  # "p": partition values that look like numbers stay text
+    named.repartition("page").write.partitionBy("page").text(parts)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(root)
+    found = spark.read.text(parts).select(F.col("_metadata.file_path").alias("path"), F.expr("substr(page, 2)").alias("name")).distinct()
+    for r in found.toLocalIterator():
+        if not fs.rename(path(spark._jvm.java.net.URI(r["path"])), path(root, r["name"])):
+            raise OSError(f"page {r['name']} could not be moved to {folder}")
+
+
 # S01
 def scan_pages(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """One row per file of a (non-recursive) directory: (source_file, value)."""
-    df = (spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path))
-    return df.select(F.col("_metadata.file_name").alias("source_file"), "value")
-
+    """One row per file of a directory whose name matches ``glob``, without nested folders: (source_file, value).
 
-def scan_page_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Pages written by Spark with ``partitionBy("source_file")``: the page name
-    is the partition value, the file content is the page."""
-    return (spark.read.option("wholetext", True).text(path)
-            .select(F.col("source_file").cast("string").alias("source_file"), "value"))
+    Small files are packed into tasks by size; spark.sql.files.openCostInBytes
+    (256 KB in ``get_session``) is what a file costs beside its bytes."""
+    df = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
+    return df.select(file_name().alias("source_file"), "value")
 
 
 def _status_message(status: Column) -> Column:
@@ -176,13 +197,13 @@ def page_headers(parsed: DataFrame, run_id: Column, loaded_at: Column) -> DataFr
 # S08 is feedlens.functions.columns.normalise_ts
 
 # S09 + flattening
-def parse_events(exploded: DataFrame) -> DataFrame:
-    """Typed event columns next to the raw text; ``bad_reason`` is NULL for
+def parse_events(exploded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed event columns next to the raw text and the columns ``keep``; ``bad_reason`` is NULL for
     loadable events and names the reason otherwise. Only text that is no JSON
     object and an id that is missing or not castable keep an event out; any
     other field that cannot be cast is NULL and counted in ``cast_failures``."""
     e = F.from_json("event_text", EVENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    text = exploded.select("source_file", "pos", "event_text", e.alias("e"))
+    text = exploded.select("source_file", "pos", "event_text", *keep, e.alias("e"))
     typed = {f: cast(F.col("e")[f]) for f, cast in CAST_FIELDS.items()}
     typed.update({f: F.col("e")[f] for f in TEXT_FIELDS})
     typed.update({f: F.from_json(F.col("e")[f], WINDOW_TYPE) for f in WINDOW_FIELDS})
@@ -191,7 +212,7 @@ def parse_events(exploded: DataFrame) -> DataFrame:
     given = F.col("e.id")
     reason = (F.when(no_object | (given.isNotNull() & typed["id"].isNull()), F.lit(EVENT_PARSE_ERROR))
               .when(typed["id"].isNull() | (typed["id"] == 0), F.lit(MISSING_ID)))
-    return text.select("source_file", "pos", "event_text", *[c.alias(f) for f, c in typed.items()], given.alias("id_text"),
+    return text.select("source_file", "pos", "event_text", *keep, *[c.alias(f) for f, c in typed.items()], given.alias("id_text"),
                        sum(failed[1:], failed[0]).alias("cast_failures"), reason.alias("bad_reason"))
 
 

@@ -7,6 +7,9 @@ micro-batch, nothing stored is rewritten. The streaming checkpoint records
 which files were loaded, so a second run over the same directory loads
 nothing new. Delta folders are named by the batch id, so a batch replayed
 after a failure overwrites its own delta; the merge rules are idempotent.
+A load that ends midway is continued by calling it again with the same run
+and checkpoint: the batch that failed comes again with the same files, the
+finished ones do not.
 Deltas are folded into the bases once, when the run ends.
 """
 
@@ -16,28 +19,28 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from feedlens.config import FILES_PER_COMMIT
 from feedlens.plans import pipeline
+from feedlens.sources.feed import file_name
 from feedlens.sources.store import TableStore
 
 
 def page_stream(spark: SparkSession, input_dir: str, max_files: int = FILES_PER_COMMIT,
-                glob: str = "*.json", layout: str = "files") -> DataFrame:
-    """Stream of (source_file, value): ``files`` = a flat folder of page files;
-    ``partitioned`` = pages written by Spark with partitionBy("source_file")."""
+                glob: str = "*.json") -> DataFrame:
+    """Stream of (source_file, value) of a flat folder of page files."""
     r = (spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files))
-    if layout == "files":
-        return (r.option("pathGlobFilter", glob).load(input_dir)
-                .select(F.col("_metadata.file_name").alias("source_file"), "value"))
-    return r.load(input_dir).select(F.col("source_file").cast("string").alias("source_file"), "value")
+    return (r.option("pathGlobFilter", glob).load(input_dir)
+            .select(file_name().alias("source_file"), "value"))
 
 
 def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, checkpoint: str, run_id: str,
                      started_at: datetime | None = None, max_files: int = FILES_PER_COMMIT,
-                     layout: str = "files", compact_after: bool = True) -> DataFrame:
-    """Load every file not yet seen by ``checkpoint``; returns the ledger row."""
+                     compact_after: bool = True) -> DataFrame:
+    """Load every file not yet seen by ``checkpoint``; returns the ledger row.
+
+    The ledger's numbers come from the batches' own writes (``pipeline.batch_metrics``),
+    those of an interrupted load included."""
     started = started_at or pipeline._now()
     pipeline.start_run(spark, store, run_id, started, input_dir)
 
@@ -51,7 +54,7 @@ def incremental_load(spark: SparkSession, input_dir: str, store: TableStore, che
         finally:
             pages.unpersist()
 
-    q = (page_stream(spark, input_dir, max_files, layout=layout).writeStream
+    q = (page_stream(spark, input_dir, max_files).writeStream
          .foreachBatch(load)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
