@@ -98,12 +98,12 @@ class Batch:
         per = F.explode(F.array(*[
             F.struct(F.lit(d).alias("window_days"), F.col(f"{d}day_price_change").alias("m"))
             for d in WINDOW_DAYS])).alias("w")
-        rows = (self.loaded.select("event_id", "_ord", per)
+        rows = (self.loaded.select("event_id", "_ord", self.run_id.alias("run_id"), per)
                 .where(F.size("w.m") > 0)   # absent, null and {} emit no row
                 .select(
-                    F.concat_ws(":", self.run_id, F.col("event_id").cast("string"),
+                    F.concat_ws(":", "run_id", F.col("event_id").cast("string"),
                                 F.col("w.window_days").cast("string")).alias("window_id"),
-                    self.run_id.alias("run_id"), "event_id",
+                    "run_id", "event_id",
                     F.col("w.window_days").cast("int").alias("window_days"),
                     F.col("w.m")["direction"].alias("direction"),
                     F.col("w.m")["percent"].try_cast("double").alias("percent_change"),

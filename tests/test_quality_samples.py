@@ -100,7 +100,7 @@ def test_states_of_runs_equal_a_scan_of_all(spark, tmp_path, monkeypatch):
     p = Params(as_of=datetime(2026, 6, 1), ntz=False)
     seen = []
     states = quality.check_states
-    monkeypatch.setattr(quality, "check_states", lambda t, own, keys: seen.append(own.run_id) or states(t, own, keys))
+    monkeypatch.setattr(quality, "check_states", lambda t, own, keys=None: seen.append(own.run_id) or states(t, own, keys))
 
     def both(runs):
         t = pipeline.load_tables(store, run_id=pipeline.ALL_RUNS)
