@@ -1,12 +1,13 @@
-"""Toxicity from the nearest labelled examples by exact cosine of label-weighted TF-IDF, found with a block-max inverted index.
+"""Toxicity from the nearest labelled examples by exact TF-IDF cosine, found with a block-max inverted index.
 
-Terms are words and the 5-grams of words with their start marked, all that
-the examples hold; the better a term tells the labels apart in the examples
-(chi-squared), the more it weighs, and none weighs nothing. Examples lie in blocks; a frequent term keeps its largest
-weight per block, so a block's score is bounded by that and the rare terms'
-exact part without reading the rest, and blocks that cannot reach the kth
-score are skipped. Neighbours vote by distance and the votes are calibrated
-by leaving each example out in turn."""
+Terms are the words that the examples hold, all of them. Examples lie in
+blocks of alike ones; a frequent term keeps its largest weight per block, so a
+block's score is bounded by that and the rare terms' exact part without reading the rest, and blocks that
+cannot reach the kth score are skipped.
+
+A neighbour votes by its distance and by its grounds: the best odds for its label that a
+term it shares with the text has among the examples. A text near a toxic example for
+its subject or language alone so gets a vote of little weight. Votes are calibrated by leaving each example out in turn."""
 
 from __future__ import annotations
 
@@ -18,32 +19,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import materialize, without
 
-#: The classifier is fitted on at most so many labelled documents, half of each label.
-EXAMPLES = 4096
-NEIGHBOURS, BLOCK, GRAM = 8, 64, 5
+#: The classifier is fitted on at most so many labelled documents, half of each label, of at most so many
+#: characters each and in all; a label's share of the characters goes by the hash order of its texts.
+EXAMPLES, EXAMPLE_CHARS, ALL_CHARS = 4096, 1 << 18, 1 << 26
+NEIGHBOURS, BLOCK = 32, 64
+#: Texts searched at once.
+BATCH = 256
 #: A term in more than one of so many examples is frequent.
-FREQUENT = 8
-PRIOR_WEIGHT = 1.0
-WORDS = re.compile(r"[^\W\d_]+")
-
-
-def terms_of(word: str) -> list[str]:
-    """The word itself, marked as one, and its 5-grams with the start marked."""
-    grams = "^" + word
-    return ["=" + word, *dict.fromkeys(grams[i:i + GRAM] for i in range(len(grams) - GRAM + 1))]
-
-
-def known_terms(word: str, terms: dict[str, int]) -> tuple[int, ...]:
-    """The numbers of those terms of a word that ``terms`` holds."""
-    grams = "^" + word
-    found = {t for i in range(len(grams) - GRAM + 1) if (t := terms.get(grams[i:i + GRAM])) is not None}
-    own = terms.get("=" + word)
-    return tuple(found if own is None else found | {own})
+FREQUENT = 16
+#: Texts are split in pieces of so many characters.
+PIECE = 1 << 20
+WORDS, NO_WORD = re.compile(r"[^\W\d_]+"), re.compile(r"[\W\d_]")
 
 
 @dataclass
@@ -74,58 +65,127 @@ class BlockMaxIndex:
         start = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=terms))])
         return cls(start, e[order].astype(np.int32), w[order], place, dense, dense.max(axis=2).T.copy(), len(vectors))
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k best with a cosine above 0, best first, ties to the smaller number."""
-        if not len(terms) or not self.size:
-            return np.zeros(0, np.int64), np.zeros(0)
-        a, count = self.start[terms], self.start[terms + 1] - self.start[terms]
-        at = np.arange(count.sum()) + np.repeat(a - np.cumsum(count) + count, count)
-        score = np.bincount(self.example[at], np.repeat(weights, count) * self.weight[at], len(self.dense) * BLOCK).reshape(-1, BLOCK)
+    def top(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
+        """For each query (terms, weights) the (examples, cosines) of the k best with a cosine above 0, best first, ties to the smaller number; and
+        the share of all blocks that was scored. ``skip``: an example each that is no result.
+
+        The blocks of the largest bounds are scored first, then those whose bound reaches the kth score so far; a
+        block is scored for all queries that need it at once."""
+        n, blocks = len(queries), len(self.dense)
+        terms = np.concatenate([q[0] for q in queries]) if n else np.zeros(0, np.int64)
+        weights = np.concatenate([q[1] for q in queries]) if n else np.zeros(0)
+        of = np.repeat(np.arange(n), [len(q[0]) for q in queries])
+        count = self.start[terms + 1] - self.start[terms]
+        at = np.arange(count.sum()) + np.repeat(self.start[terms] - np.cumsum(count) + count, count)
+        cells = blocks * BLOCK
+        score = np.bincount(np.repeat(of * cells, count) + self.example[at], np.repeat(weights, count) * self.weight[at], n * cells).astype(float).reshape(n, blocks, BLOCK)
         often = self.place[terms] >= 0
-        rows, weights = self.place[terms[often]], weights[often]
-        if skip >= 0:
-            score[skip // BLOCK, skip % BLOCK] = -1e9
-        bound = weights @ self.most[rows] + score.max(axis=1)
-        order = np.argsort(-bound, kind="stable")
-        order, kth, names, scores = order[bound[order] > 0], 0.0, [np.zeros(0, np.int64)], [np.zeros(0)]
-        while len(order):
-            chosen, order = np.sort(order[:8]), order[8:]
-            got = np.stack([score[c] + weights @ self.dense[c, rows] for c in chosen.tolist()])
-            block, cell = np.nonzero(got >= max(kth, 1e-300))
-            names.append(chosen[block] * BLOCK + cell)
-            scores.append(got[block, cell])
-            if sum(map(len, scores)) >= k:
-                kth = float(np.partition(np.concatenate(scores), -k)[-k])
-            order = order[bound[order] * (1 + 1e-12) >= max(kth, 1e-300)]
-        name, cosine = np.concatenate(names), np.concatenate(scores)
-        best = np.flatnonzero(cosine >= kth)
-        best = best[np.lexsort((name[best], -cosine[best]))][:k]
-        return name[best], cosine[best]
+        whole = np.zeros((n, self.most.shape[0]))
+        whole[of[often], self.place[terms[often]]] = weights[often]
+        if skip is not None:
+            gone = np.array(skip)
+            score[np.arange(n), gone // BLOCK, gone % BLOCK] = -1e9
+        bound = whole @ self.most + score.max(axis=2)
+        scored = np.zeros((n, blocks), bool)
+        first = min(blocks, -(-2 * k // BLOCK) + 1)
+        need = np.zeros((n, blocks), bool)
+        np.put_along_axis(need, np.argpartition(-bound, first - 1, axis=1)[:, :first], True, axis=1)
+        for _ in range(2):
+            for c in np.flatnonzero(need.any(axis=0)).tolist():
+                who = np.flatnonzero(need[:, c])
+                score[who, c] += whole[who] @ self.dense[c]
+            scored |= need
+            seen = np.where(scored[:, :, None], score, -1.0).reshape(n, cells)
+            kth = np.partition(seen, max(cells - k, 0), axis=1)[:, max(cells - k, 0)] if n else np.zeros(0)
+            need = ~scored & (bound * (1 + 1e-12) >= np.maximum(kth, 1e-300)[:, None])
+        out = []
+        for i in range(n):
+            best = np.flatnonzero(seen[i] >= max(kth[i], 1e-300))
+            best = best[np.lexsort((best, -seen[i, best]))][:k]
+            out.append((best, seen[i, best]))
+        return out, float(scored.mean()) if n else 0.0
+
+
+def alike_order(rows: np.ndarray, size: int) -> np.ndarray:
+    """Row numbers in an order whose runs of ``size`` hold alike rows: halved along the main direction, again and again."""
+    def halve(own: np.ndarray) -> list[np.ndarray]:
+        if len(own) <= size:
+            return [own]
+        x = rows[own] - rows[own].mean(axis=0)
+        v = x[np.abs(x).sum(axis=1).argmax()]
+        for _ in range(8):  # the power method
+            v = x.T @ (x @ v)
+            v /= max(math.sqrt(float(v @ v)), 1e-300)
+        own = own[np.argsort(x @ v, kind="stable")]
+        cut = -(-len(own) // size) // 2 * size  # whole blocks on either side
+        return halve(own[:cut]) + halve(own[cut:])
+
+    return np.concatenate(halve(np.arange(len(rows)))) if len(rows) else np.zeros(0, np.int64)
 
 
 @dataclass
 class Model:
     terms: dict[str, int] = field(default_factory=dict)
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    tells: np.ndarray = field(default_factory=lambda: np.zeros(0))
     index: BlockMaxIndex | None = None
+    own: list = field(default_factory=list)  # the terms of each example
+    held: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # examples of label 0 and 1 with each term
+    odds: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log odds of each term
+    spoken: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # room for a text's log odds, -inf for terms it lacks
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: list = field(default_factory=list)
+    names: list = field(default_factory=list)
     prior: float = 0.0
     votes: np.ndarray = field(default_factory=lambda: np.zeros(0))  # calibration: vote -> probability, both rising
     chance: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def vector(self, counts: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The terms and weights (1 + ln n) * idf of a text, as a unit vector."""
         t, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
         order = np.argsort(t)
         t, n = t[order], n[order]
-        w = (1 + np.log(n)) * self.idf[t] * self.tells[t]
-        return t, w / math.sqrt(float((w * w).sum())) if len(t) else w
-
-    def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
-        """Label 1's share of the votes, by inverse distance, with the prior as one more voter."""
-        weight = 1 / (1.05 - np.minimum(cosine, 1.0))
-        return float(((weight * self.labels[near]).sum() + PRIOR_WEIGHT * self.prior) / (weight.sum() + PRIOR_WEIGHT))
+        w = (1 + np.log(n)) * self.idf[t]
+        size = math.sqrt(float((w * w).sum())) if len(t) else 0.0
+        return t, w / size if size else w
+
+    def log_odds(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
+        """ln of label 1's odds by each term among the examples, over its odds among all; ``without``: an example left out, which has all ``terms``."""
+        held, all_of = self.held[:, terms].astype(float), np.array([(self.labels == 0).sum(), (self.labels == 1).sum()], float)
+        if without >= 0:
+            held[int(self.labels[without])] -= 1
+            all_of[int(self.labels[without])] -= 1
+        share = (held + 0.5) / (all_of + 1)[:, None]
+        return np.log(share[1] / share[0])
+
+    def grounds(self, terms: np.ndarray, odds: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each neighbour, the shared term that speaks most for its label, and the log odds it speaks with."""
+        best, most = np.zeros(len(near), np.int64), np.zeros(len(near))
+        for label, spoken in enumerate(self.spoken):
+            spoken[terms] = odds if label else -odds
+            for k in np.flatnonzero(self.labels[near] == label).tolist():
+                own = self.own[near[k]]
+                speaks = spoken[own]
+                at = int(speaks.argmax())
+                best[k], most[k] = own[at], max(float(speaks[at]), 0.0)
+            spoken[terms] = -np.inf
+        return best, most
+
+    def vote(self, near: np.ndarray, cosine: np.ndarray, grounds: np.ndarray) -> float:
+        """What speaks for label 1: the logarithm of its neighbours' weights, by inverse distance and the square of their grounds' odds."""
+        yes = self.labels[near] == 1
+        if not yes.any():
+            return 0.0
+        return float(np.log1p(np.sum(np.exp(2 * grounds[yes]) / (1.05 - np.minimum(cosine[yes], 1.0)))))
+
+    def look(self, texts: list[dict[int, int]], without: list[int] | None = None) -> list[tuple[float, list[tuple[int, float, int, float]]]]:
+        """For each text's counts the vote, and its neighbours: example, cosine, best shared term, that term's log odds for the example's label."""
+        vectors = [self.vector(c) for c in texts]
+        out = []
+        for i, (near, cosine) in enumerate(self.index.top(vectors, NEIGHBOURS, without)[0]):
+            terms = vectors[i][0]
+            term, grounds = self.grounds(terms, self.log_odds(terms, without[i]) if without else self.odds[terms], near)
+            out.append((self.vote(near, cosine, grounds), list(zip(near.tolist(), cosine.tolist(), term.tolist(), grounds.tolist()))))
+        return out
 
     def score(self, vote: float) -> float:
         return float(np.interp(vote, self.votes, self.chance)) if len(self.votes) else self.prior
@@ -145,126 +205,124 @@ def rising_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
     return at, np.clip(np.array([p[0] for p in pools for _ in range(2)]), 0, 1)
 
 
-class TermCounter:
-    """A text's known terms with their counts; the terms of words are kept for the next text."""
+def words_of(text: str | None) -> Counter:
+    """The words of a whole text, lower-cased, with their occurrences."""
+    text, at, out = text or "", 0, Counter()
+    while at < len(text):
+        end = NO_WORD.search(text, at + PIECE)
+        end = end.start() if end else len(text)
+        out.update(WORDS.findall(text[at:end].lower()))
+        at = end
+    return out
 
-    def __init__(self, terms: dict[str, int], memo_size: int = 200_000):
-        self.terms, self.memo, self.memo_size = terms, {}, memo_size
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
-        for word, n in Counter(WORDS.findall((text or "").lower())).items():
-            found = self.memo.get(word)
-            if found is None:
-                if len(self.memo) >= self.memo_size:
-                    self.memo.clear()
-                found = self.memo[word] = known_terms(word, self.terms)
-            for t in found:
-                out[t] = out.get(t, 0) + n
-        return out
+def known_counts(text: str | None, terms: dict[str, int]) -> dict[int, int]:
+    return {t: n for word, n in words_of(text).items() if (t := terms.get(word)) is not None}
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        words = {w for text in b.column(0).to_pylist() for w in WORDS.findall((text or "").lower())}
-        yield pa.RecordBatch.from_arrays([pa.array({t for w in words for t in terms_of(w)}, pa.string())], ["term"])
+        yield pa.RecordBatch.from_arrays([pa.array({w for text in b.column(0) for w in words_of(text.as_py())}, pa.string())], ["term"])
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch], terms: dict[str, int]) -> Iterator[pa.RecordBatch]:
     """(term, documents with it) of a task's documents; term -1 counts the documents."""
-    counter, df, n = TermCounter(terms), np.zeros(len(terms), np.int64), 0
+    df, n = np.zeros(len(terms), np.int64), 0
     for b in batches:
         n += b.num_rows
         for text in b.column(0):
-            found = counter.counts(text.as_py())
+            found = known_counts(text.as_py(), terms)
             df[np.fromiter(found, np.int64, len(found))] += 1
     seen = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(df[seen], n), pa.int64())], ["term", "n"])
 
 
 def _example_vectors(batches: Iterator[pa.RecordBatch], terms: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    counter = TermCounter(terms)
     for b in batches:
-        own = [counter.counts(x.as_py()) for x in b.column("text")]
+        own = [known_counts(x.as_py(), terms) for x in b.column("text")]
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("toxic"), pa.array([np.fromiter(c, np.int32, len(c)).tobytes() for c in own], pa.binary()),
-             pa.array([np.fromiter(c.values(), float, len(c)).tobytes() for c in own], pa.binary())],
+             pa.array([np.fromiter(c.values(), np.int64, len(c)).tobytes() for c in own], pa.binary())],
             ["doc_id", "toxic", "terms", "counts"])
 
 
-def association(own: list[tuple], terms: int) -> np.ndarray:
-    """sqrt((chi2 + 1) / n) of each term with the labels of ``own`` (id, label, terms, ...), n rows: small for a term that says little, never 0."""
-    of = lambda y: np.bincount(np.concatenate([x[2] for x in own if x[1] == y]), minlength=terms).astype(float)
-    a, b, n1 = of(1), of(0), sum(x[1] for x in own)
-    n0, both = len(own) - n1, a + b
-    chi2 = len(own) * (a * n0 - b * n1) ** 2 / np.maximum(n1 * n0 * both * (len(own) - both), 1)
-    return np.sqrt((chi2 + 1) / len(own))
-
-
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, seed: int = 11) -> Model:
     """A model of (doc_id, text) with ``labels`` (doc_id, toxic 0 or 1; the larger if a document has several).
 
     The examples are chosen by a hash of the text, one per distinct text, so
-    that their number is bounded and copies count once. Null ids and labels teach nothing.
-    All terms of the examples are kept, so the model's size follows their text;
-    document frequencies are counted over all rows of ``docs`` with a text."""
+    that their number is bounded and copies count once; ``EXAMPLE_CHARS`` and ``ALL_CHARS``
+    bound their text, and so the model. Null ids and labels teach nothing.
+    All terms of the examples are kept; document frequencies are counted over all rows of ``docs`` with a text."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text", F.lit(seed)).alias("h"))
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text", F.lit(seed)).alias("h"), F.length("text").alias("chars"))
     once = materialize(known.join(marks, "doc_id").groupBy("h").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"),
-                                                                    F.count("*").alias("rows")), "toxicity-known")
-    total = {r["toxic"]: (r["texts"], r["rows"]) for r in once.groupBy("toxic").agg(F.count("*").alias("texts"), F.sum("rows").alias("rows")).collect()}
+                                                                    F.max("chars").alias("chars"), F.count("*").alias("rows")), "toxicity-known")
+    total = {r["toxic"]: r["rows"] for r in once.groupBy("toxic").agg(F.sum("rows").alias("rows")).collect()}
     if not total:
         return Model()
-    chosen = [once.where(F.col("toxic") == y).orderBy("h").limit(examples // 2) for y in sorted(total)]
-    picked = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
-    picked = materialize(picked, "toxicity-examples")  # at most ``examples`` rows, so it can be broadcast
-    sample = docs.withColumn("h", F.xxhash64("text", F.lit(seed))).select("doc_id", "text", "h").join(
-        F.broadcast(picked.select("doc_id", "h", "toxic")), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
-    sample = materialize(sample.select("doc_id", "text", "toxic"), "toxicity-texts")
-    used = {y: min(total[y][0], examples // 2) for y in total}
-    weight = {y: total[y][1] / used[y] for y in total}
-    prior = total.get(1, (0, 0))[1] / sum(x[1] for x in total.values())
+    prior = total.get(1, 0) / sum(total.values())
     if len(total) < 2:
         return Model(prior=prior)
+    sofar = F.sum("chars").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0))  # over ``examples`` / 2 rows at most
+    chosen = [once.where((F.col("toxic") == y) & (F.col("chars") <= EXAMPLE_CHARS)).orderBy("h").limit(examples // 2)
+              .withColumn("sofar", sofar).where(F.col("sofar") <= ALL_CHARS // 2) for y in (0, 1)]
+    picked = materialize(chosen[0].unionByName(chosen[1]).select("doc_id", "h", "toxic"), "toxicity-examples")  # at most ``examples`` rows, so it can be broadcast
+    sample = docs.withColumn("h", F.xxhash64("text", F.lit(seed))).select("doc_id", "text", "h").join(F.broadcast(picked), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
+    sample = materialize(sample.select("doc_id", "text", "toxic"), "toxicity-texts")
     words = sample.select("text").mapInArrow(_vocabulary, "term string").distinct().toArrow()
-    names = {t: i for i, t in enumerate(sorted(words.column(0).to_pylist()))}
-    df = (docs.where("text is not null").select("text").mapInArrow(lambda bs: _document_frequencies(bs, names), "term long, n long")
+    names = sorted(words.column(0).to_pylist())
+    terms = {t: i for i, t in enumerate(names)}
+    df = (docs.where("text is not null").select("text").mapInArrow(lambda bs: _document_frequencies(bs, terms), "term long, n long")
           .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
     found = np.zeros(len(names) + 1)  # the last one: all documents
     found[df.column("term").to_numpy()] = df.column("n").to_numpy()
-    idf = np.log((1 + found[-1]) / (1 + found[:-1])) + 1
-    got = sample.mapInArrow(lambda bs: _example_vectors(bs, names), "doc_id long, toxic int, terms binary, counts binary").toArrow()
-    own = [(r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.int32), np.frombuffer(r["counts"], float))
-           for b in got.to_batches() for r in b.to_pylist()]
-    model = Model(names, idf, association(own, len(names)), prior=prior)
-    own = [(i, y, *model.vector(dict(zip(t.tolist(), n.tolist())))) for i, y, t, n in own]
-    own.sort(key=lambda x: (x[1], int(x[2][x[3].argmax()]) if len(x[2]) else -1, x[0]))  # alike examples share blocks
-    model.labels, model.ids = np.array([x[1] for x in own], float), [x[0] for x in own]
-    model.index = BlockMaxIndex.build([x[2:] for x in own], len(names))
-    votes = np.array([model.vote(*model.index.top(x[2], x[3], NEIGHBOURS, skip=i)) for i, x in enumerate(own)])
-    model.votes, model.chance = rising_fit(votes, model.labels, np.array([weight[int(y)] for y in model.labels]))
+    got = sample.mapInArrow(lambda bs: _example_vectors(bs, terms), "doc_id long, toxic int, terms binary, counts binary").toArrow()
+    own = sorted((r["doc_id"], r["toxic"], dict(zip(np.frombuffer(r["terms"], np.int32).tolist(), np.frombuffer(r["counts"], np.int64).tolist())))
+                 for b in got.to_batches() for r in b.to_pylist())
+    if len({x[1] for x in own}) < 2:
+        return Model(prior=prior)
+    return _learn(Model(terms, np.log((1 + found[-1]) / (1 + found[:-1])) + 1, names=names, prior=prior), own, total)
+
+
+def _learn(model: Model, own: list[tuple], total: dict[int, int]) -> Model:
+    """Index, odds and calibration from the examples ``own`` (id, label, counts)."""
+    vectors = [model.vector(x[2]) for x in own]
+    model.index = BlockMaxIndex.build(vectors, len(model.terms))
+    dense = model.index.dense.transpose(0, 2, 1).reshape(-1, model.index.dense.shape[1])[:len(own)]
+    order = alike_order(dense, BLOCK).tolist()
+    own, vectors = [own[i] for i in order], [vectors[i] for i in order]
+    model.index = BlockMaxIndex.build(vectors, len(model.terms))
+    model.labels, model.ids, model.own = np.array([x[1] for x in own], float), [x[0] for x in own], [v[0] for v in vectors]
+    model.held = np.array([np.bincount(np.concatenate([t for t, y in zip(model.own, model.labels) if y == label]), minlength=len(model.terms)) for label in (0, 1)])
+    model.spoken = np.full((2, len(model.terms)), -np.inf)
+    model.odds = model.log_odds(np.arange(len(model.terms)))
+    votes = np.array([v for at in range(0, len(own), BATCH) for v, _ in model.look([x[2] for x in own[at:at + BATCH]], list(range(at, min(at + BATCH, len(own)))))])
+    weight = np.array([total[int(y)] / (model.labels == y).sum() for y in model.labels])
+    model.votes, model.chance = rising_fit(votes, model.labels, weight)
     return model
 
 
+EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64()), ("term", pa.string()), ("log_odds", pa.float64())]))
+
+
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    counter = TermCounter(model.terms)
-    empty = model.score(model.vote(np.zeros(0, np.int64), np.zeros(0)))
-    for b in batches:
-        score, evidence = np.full(b.num_rows, empty), [[]] * b.num_rows
-        for row, text in enumerate(b.column(b.num_columns - 1)):
-            counts = counter.counts(text.as_py()) if model.index else {}
-            if counts:
-                near, cosine = model.index.top(*model.vector(counts), NEIGHBOURS)
-                score[row] = model.score(model.vote(near, cosine))
-                evidence[row] = [{"doc_id": model.ids[i], "toxic": int(model.labels[i]), "cosine": float(c)}
-                                 for i, c in zip(near.tolist(), cosine.tolist())]
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score), pa.array(evidence, kind)],
-                                         [*b.schema.names[:-1], "score", "evidence"])
+    empty = model.score(0.0)
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH):
+            b = whole.slice(at, BATCH)
+            score, evidence = np.full(b.num_rows, empty), [[]] * b.num_rows
+            counts = [known_counts(text.as_py(), model.terms) if model.index else {} for text in b.column(b.num_columns - 1)]
+            rows = [row for row, c in enumerate(counts) if c]
+            for row, (vote, near) in zip(rows, model.look([counts[row] for row in rows]) if rows else ()):
+                score[row] = model.score(vote)
+                evidence[row] = [{"doc_id": model.ids[i], "toxic": int(model.labels[i]), "cosine": c, "term": model.names[t], "log_odds": g}
+                                 for i, c, t, g in near]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score), pa.array(evidence, EVIDENCE)],
+                                             [*b.schema.names[:-1], "score", "evidence"])
 
 
 def judge(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The kept columns, score and evidence (the nearest examples: doc_id, toxic, cosine) of every row of ``docs``.
+    """The kept columns, score and evidence (the nearest examples: doc_id, toxic, cosine, term, log_odds) of every row of ``docs``.
 
     score is the calibrated chance of label 1, from the whole text alone. A
     text without any of the model's terms, as null and empty ones are, has
@@ -275,6 +333,6 @@ def judge(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     kept = without(docs.select(*[F.col(f"`{c}`") for c in keep]), "score", "evidence").columns
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     spec = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "score double",
-                      "evidence array<struct<doc_id:bigint,toxic:int,cosine:double>>"])
+                      "evidence array<struct<doc_id:bigint,toxic:int,cosine:double,term:string,log_odds:double>>"])
     return docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("_judged_text")).mapInArrow(
         lambda bs: _score(bs, model), spec)

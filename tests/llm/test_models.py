@@ -144,13 +144,48 @@ def test_block_max_search_is_exact():
     full = np.zeros((300, 80))
     for i, (t, w) in enumerate(vectors):
         full[i, t] = w
-    for i in range(0, 300, 7):
+    asked = list(range(0, 300, 7))
+    got, share = index.top([vectors[i] for i in asked], 6, asked)
+    for i, (name, cosine) in zip(asked, got):
         s = full @ full[i]
         s[i] = 0
-        name, cosine = index.top(*vectors[i], 6, skip=i)
         want = [j for j in np.lexsort((np.arange(300), -np.round(s, 12)))[:6] if s[j] > 0]
         assert np.allclose(cosine, s[want]) and sorted(np.round(s[name], 12)) == sorted(np.round(s[want], 12))
-    assert len(index.top(np.zeros(0, np.int64), np.zeros(0), 6)[0]) == 0
+    assert len(index.top([(np.zeros(0, np.int64), np.zeros(0))], 6)[0][0][0]) == 0 and index.top([], 6) == ([], 0.0) and 0 < share <= 1
+
+
+def test_blocks_of_alike_examples_are_skipped():
+    rng = np.random.default_rng(12)
+    rows = [(np.sort(rng.choice(20, 8, replace=False)) + 20 * (i % 8), np.full(8, 8 ** -0.5)) for i in range(1024)]  # eight languages
+    dense = np.zeros((1024, 160))
+    for i, (t, w) in enumerate(rows):
+        dense[i, t] = w
+    order = toxicity.alike_order(dense, toxicity.BLOCK)
+    assert sorted(order.tolist()) == list(range(1024))
+    rows = [rows[i] for i in order.tolist()]
+    got, share = toxicity.BlockMaxIndex.build(rows, 160).top(rows[:200], 5)
+    assert share < 0.3 and all(len(name) == 5 for name, _ in got)
+
+
+def test_neighbours_are_the_nearest_by_plain_tf_idf(docs_of, spark):
+    rng = np.random.default_rng(13)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    rows = [(i, " ".join(rng.choice(words, int(rng.integers(3, 40))))) for i in range(150)]
+    labels = spark.createDataFrame([(i, i % 3 % 2) for i in range(100)], "doc_id long, toxic int")
+    model = toxicity.fit(docs_of(rows), labels)
+    bags = [Counter(t.split()) for _, t in rows]
+    df = Counter(w for b in bags for w in b)
+    held = {w for b in bags[:100] for w in b}
+    weigh = lambda b: {w: (1 + math.log(n)) * (math.log(151 / (1 + df[w])) + 1) for w, n in b.items() if w in held}
+    vectors = [weigh(b) for b in bags]
+    cosine = lambda a, b: sum(x * b.get(w, 0) for w, x in a.items()) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    got = {r["doc_id"]: r["evidence"] for r in toxicity.judge(docs_of(rows), model, ["doc_id"]).collect()}
+    for i in range(0, 150, 5):
+        want = sorted((-round(cosine(vectors[i], vectors[j]), 9) for j in range(100)))[:toxicity.NEIGHBOURS]
+        assert [-round(e["cosine"], 9) for e in got[i]] == want
+        for e in got[i]:
+            assert round(cosine(vectors[i], vectors[e["doc_id"]]), 9) == round(e["cosine"], 9) and e["toxic"] == e["doc_id"] % 3 % 2
+            assert e["term"] in bags[i] and e["term"] in bags[e["doc_id"]]
 
 
 def test_rising_fit():
@@ -188,8 +223,8 @@ def test_rare_words_are_evidence_and_all_documents_count(docs_of, spark):
     rows += [(100 + i, "plain words there") for i in range(30)]  # without a label
     labels = spark.createDataFrame([(i, int(i < 10)) for i in range(20)], "doc_id long, toxic int")
     model = toxicity.fit(docs_of(rows), labels)
-    assert {"=zwirbel", "^zwir", "zwirb", "=plain", "=words", "=here"} <= set(model.terms) and "=there" not in model.terms
+    assert {"zwirbel", "plain", "words", "here"} <= set(model.terms) and "there" not in model.terms
     for word, df in (("zwirbel", 1), ("here", 20), ("plain", 50)):
-        assert model.idf[model.terms["=" + word]] == pytest.approx(math.log(51 / (1 + df)) + 1)
+        assert model.idf[model.terms[word]] == pytest.approx(math.log(51 / (1 + df)) + 1)
     got = toxicity.judge(docs_of([(1, "Zwirbel!"), (2, "nothing")]), model, ["doc_id"]).collect()
     assert {r["doc_id"]: [e["doc_id"] for e in r["evidence"]] for r in got} == {1: [1], 2: []}
