@@ -486,7 +486,8 @@ def _json_fields(fields: dict[str, tuple[str, str]]) -> str:
 def _event_text_sql() -> str:
     """k, text: every order's event as the JSON its page holds."""
     shifted = "CASE WHEN o.o_orderkey % 251 = 0 THEN o.o_orderdate + INTERVAL 2 DAY ELSE o.o_orderdate END"
-    moved = _json_fields({"direction": ("text", "direction"), "percent": ("number", "percent_change"), "raw": ("number", "raw_change"),
+    # + 0.0: no page holds a negative zero
+    moved = _json_fields({"direction": ("text", "direction"), "percent": ("number", "percent_change + 0.0"), "raw": ("number", "raw_change + 0.0"),
                           "insufficient_data": ("number", "insufficient_data")})
     fields = {
         "id": ("number", "CASE WHEN o.o_orderkey % 1999 <> 11 THEN o.o_orderkey END"), "title": ("text", "c.c_name"),
