@@ -129,9 +129,9 @@ class Model:
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
     index: BlockMaxIndex | None = None
     own: list = field(default_factory=list)  # the terms of each example
-    held: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # examples of label 0 and 1 with each term
+    held: np.ndarray | None = None  # examples of label 0 and 1 with each term, while the model is fitted
     odds: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log odds of each term
-    spoken: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # room for a text's log odds, -inf for terms it lacks
+    spoken: np.ndarray | None = None  # room for a text's log odds, -inf for terms it lacks; made where it is used
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: list = field(default_factory=list)
     names: list = field(default_factory=list)
@@ -139,14 +139,11 @@ class Model:
     votes: np.ndarray = field(default_factory=lambda: np.zeros(0))  # calibration: vote -> probability, both rising
     chance: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The terms and weights (1 + ln n) * idf of a text, as a unit vector."""
-        t, n = np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
-        order = np.argsort(t)
-        t, n = t[order], n[order]
-        w = (1 + np.log(n)) * self.idf[t]
-        size = math.sqrt(float((w * w).sum())) if len(t) else 0.0
-        return t, w / size if size else w
+        w = (1 + np.log(counts)) * self.idf[terms]
+        size = math.sqrt(float((w * w).sum())) if len(terms) else 0.0
+        return terms, w / size if size else w
 
     def log_odds(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
         """ln of label 1's odds by each term among the examples, over its odds among all; ``without``: an example left out, which has all ``terms``."""
@@ -158,16 +155,19 @@ class Model:
         return np.log(share[1] / share[0])
 
     def grounds(self, terms: np.ndarray, odds: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each neighbour, the shared term that speaks most for its label, and the log odds it speaks with."""
-        best, most = np.zeros(len(near), np.int64), np.zeros(len(near))
-        for label, spoken in enumerate(self.spoken):
-            spoken[terms] = odds if label else -odds
-            for k in np.flatnonzero(self.labels[near] == label).tolist():
+        """For each neighbour of label 1 the shared term that speaks most for it and the log odds it speaks with; -1 and 0 for others."""
+        best, most = np.full(len(near), -1), np.zeros(len(near))
+        yes = np.flatnonzero(self.labels[near] == 1).tolist()
+        if yes:
+            if self.spoken is None:
+                self.spoken = np.full(len(self.terms), -np.inf)
+            self.spoken[terms] = odds
+            for k in yes:
                 own = self.own[near[k]]
-                speaks = spoken[own]
+                speaks = self.spoken[own]
                 at = int(speaks.argmax())
                 best[k], most[k] = own[at], max(float(speaks[at]), 0.0)
-            spoken[terms] = -np.inf
+            self.spoken[terms] = -np.inf
         return best, most
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, grounds: np.ndarray) -> float:
@@ -177,14 +177,14 @@ class Model:
             return 0.0
         return float(np.log1p(np.sum(np.exp(2 * grounds[yes]) / (1.05 - np.minimum(cosine[yes], 1.0)))))
 
-    def look(self, texts: list[dict[int, int]], without: list[int] | None = None) -> list[tuple[float, list[tuple[int, float, int, float]]]]:
-        """For each text's counts the vote, and its neighbours: example, cosine, best shared term, that term's log odds for the example's label."""
-        vectors = [self.vector(c) for c in texts]
+    def look(self, texts: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text's terms and counts: the vote, and of its neighbours the examples, cosines, terms that speak and their log odds."""
+        vectors = [self.vector(*c) for c in texts]
         out = []
         for i, (near, cosine) in enumerate(self.index.top(vectors, NEIGHBOURS, without)[0]):
             terms = vectors[i][0]
             term, grounds = self.grounds(terms, self.log_odds(terms, without[i]) if without else self.odds[terms], near)
-            out.append((self.vote(near, cosine, grounds), list(zip(near.tolist(), cosine.tolist(), term.tolist(), grounds.tolist()))))
+            out.append((self.vote(near, cosine, grounds), near, cosine, term, grounds))
         return out
 
     def score(self, vote: float) -> float:
@@ -216,8 +216,14 @@ def words_of(text: str | None) -> Counter:
     return out
 
 
-def known_counts(text: str | None, terms: dict[str, int]) -> dict[int, int]:
-    return {t: n for word, n in words_of(text).items() if (t := terms.get(word)) is not None}
+def known_counts(text: str | None, terms: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a text, rising, and their occurrences."""
+    found = words_of(text)
+    known = found.keys() & terms.keys()
+    t = np.fromiter(map(terms.__getitem__, known), np.int64, len(known))
+    n = np.fromiter(map(found.__getitem__, known), np.int64, len(known))
+    order = np.argsort(t)
+    return t[order], n[order]
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,8 +237,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch], terms: dict[str, in
     for b in batches:
         n += b.num_rows
         for text in b.column(0):
-            found = known_counts(text.as_py(), terms)
-            df[np.fromiter(found, np.int64, len(found))] += 1
+            df[known_counts(text.as_py(), terms)[0]] += 1
     seen = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(df[seen], n), pa.int64())], ["term", "n"])
 
@@ -241,8 +246,8 @@ def _example_vectors(batches: Iterator[pa.RecordBatch], terms: dict[str, int]) -
     for b in batches:
         own = [known_counts(x.as_py(), terms) for x in b.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("toxic"), pa.array([np.fromiter(c, np.int32, len(c)).tobytes() for c in own], pa.binary()),
-             pa.array([np.fromiter(c.values(), np.int64, len(c)).tobytes() for c in own], pa.binary())],
+            [b.column("doc_id"), b.column("toxic"), pa.array([t.astype(np.int32).tobytes() for t, _ in own], pa.binary()),
+             pa.array([n.tobytes() for _, n in own], pa.binary())],
             ["doc_id", "toxic", "terms", "counts"])
 
 
@@ -277,32 +282,41 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, seed: int
     found = np.zeros(len(names) + 1)  # the last one: all documents
     found[df.column("term").to_numpy()] = df.column("n").to_numpy()
     got = sample.mapInArrow(lambda bs: _example_vectors(bs, terms), "doc_id long, toxic int, terms binary, counts binary").toArrow()
-    own = sorted((r["doc_id"], r["toxic"], dict(zip(np.frombuffer(r["terms"], np.int32).tolist(), np.frombuffer(r["counts"], np.int64).tolist())))
-                 for b in got.to_batches() for r in b.to_pylist())
+    own = sorted(((r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.int32).astype(np.int64), np.frombuffer(r["counts"], np.int64))
+                  for b in got.to_batches() for r in b.to_pylist()), key=lambda x: x[:2])
     if len({x[1] for x in own}) < 2:
         return Model(prior=prior)
     return _learn(Model(terms, np.log((1 + found[-1]) / (1 + found[:-1])) + 1, names=names, prior=prior), own, total)
 
 
 def _learn(model: Model, own: list[tuple], total: dict[int, int]) -> Model:
-    """Index, odds and calibration from the examples ``own`` (id, label, counts)."""
-    vectors = [model.vector(x[2]) for x in own]
-    model.index = BlockMaxIndex.build(vectors, len(model.terms))
-    dense = model.index.dense.transpose(0, 2, 1).reshape(-1, model.index.dense.shape[1])[:len(own)]
-    order = alike_order(dense, BLOCK).tolist()
+    """Index, odds and calibration from the examples ``own`` (id, label, terms, counts)."""
+    vectors = [model.vector(*x[2:]) for x in own]
+    dense = BlockMaxIndex.build(vectors, len(model.terms)).dense
+    order = alike_order(dense.transpose(0, 2, 1).reshape(-1, dense.shape[1])[:len(own)], BLOCK).tolist()
     own, vectors = [own[i] for i in order], [vectors[i] for i in order]
     model.index = BlockMaxIndex.build(vectors, len(model.terms))
-    model.labels, model.ids, model.own = np.array([x[1] for x in own], float), [x[0] for x in own], [v[0] for v in vectors]
+    model.labels, model.ids, model.own = np.array([x[1] for x in own], float), [x[0] for x in own], [v[0].astype(np.int32) for v in vectors]
     model.held = np.array([np.bincount(np.concatenate([t for t, y in zip(model.own, model.labels) if y == label]), minlength=len(model.terms)) for label in (0, 1)])
-    model.spoken = np.full((2, len(model.terms)), -np.inf)
     model.odds = model.log_odds(np.arange(len(model.terms)))
-    votes = np.array([v for at in range(0, len(own), BATCH) for v, _ in model.look([x[2] for x in own[at:at + BATCH]], list(range(at, min(at + BATCH, len(own)))))])
+    votes = np.array([x[0] for at in range(0, len(own), BATCH) for x in model.look([x[2:] for x in own[at:at + BATCH]], list(range(at, min(at + BATCH, len(own)))))])
+    model.held = model.spoken = None
     weight = np.array([total[int(y)] / (model.labels == y).sum() for y in model.labels])
     model.votes, model.chance = rising_fit(votes, model.labels, weight)
     return model
 
 
-EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64()), ("term", pa.string()), ("log_odds", pa.float64())]))
+def _evidence(model: Model, rows: list[int], looks: list[tuple], n: int) -> pa.Array:
+    """The neighbours of ``rows`` among ``n`` texts as lists of structs."""
+    sizes = np.zeros(n + 1, np.int64)
+    sizes[np.array(rows, np.int64) + 1] = [len(x[1]) for x in looks]
+    near, cosine, term, odds = (np.concatenate([x[k] for x in looks]) if looks else np.zeros(0, np.int64) for k in (1, 2, 3, 4))
+    ids, said = pa.array(model.ids, pa.int64()), pa.array(model.names, pa.string())
+    silent = term < 0
+    flat = pa.StructArray.from_arrays(
+        [ids.take(pa.array(near, pa.int64())), pa.array(model.labels[near].astype(np.int32)), pa.array(cosine, pa.float64()),
+         said.take(pa.array(term, pa.int64(), mask=silent)), pa.array(odds, pa.float64(), mask=silent)], ["doc_id", "toxic", "cosine", "term", "log_odds"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -310,19 +324,18 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
     for whole in batches:
         for at in range(0, whole.num_rows, BATCH):
             b = whole.slice(at, BATCH)
-            score, evidence = np.full(b.num_rows, empty), [[]] * b.num_rows
-            counts = [known_counts(text.as_py(), model.terms) if model.index else {} for text in b.column(b.num_columns - 1)]
-            rows = [row for row, c in enumerate(counts) if c]
-            for row, (vote, near) in zip(rows, model.look([counts[row] for row in rows]) if rows else ()):
-                score[row] = model.score(vote)
-                evidence[row] = [{"doc_id": model.ids[i], "toxic": int(model.labels[i]), "cosine": c, "term": model.names[t], "log_odds": g}
-                                 for i, c, t, g in near]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score), pa.array(evidence, EVIDENCE)],
+            score = np.full(b.num_rows, empty)
+            counts = [known_counts(text.as_py(), model.terms) for text in b.column(b.num_columns - 1)] if model.index else []
+            rows = [row for row, c in enumerate(counts) if len(c[0])]
+            looks = model.look([counts[row] for row in rows]) if rows else []
+            score[rows] = [model.score(x[0]) for x in looks]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score), _evidence(model, rows, looks, b.num_rows)],
                                              [*b.schema.names[:-1], "score", "evidence"])
 
 
 def judge(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The kept columns, score and evidence (the nearest examples: doc_id, toxic, cosine, term, log_odds) of every row of ``docs``.
+    """The kept columns, score and evidence (the nearest examples: doc_id, toxic, cosine, and of toxic ones the term that speaks for them and its
+    log odds) of every row of ``docs``.
 
     score is the calibrated chance of label 1, from the whole text alone. A
     text without any of the model's terms, as null and empty ones are, has
