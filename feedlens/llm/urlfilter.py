@@ -70,22 +70,37 @@ def match_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return F.when(first.isNotNull(), F.struct(first["rule"].alias("rule"), first["verdict"].alias("verdict")))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with '/' less its '.' and '..' segments; what would climb above the root stays there."""
+    parts = F.split(F.substring(path, F.lit(2), F.length(path)), "/", -1)
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda out, x: F.when(x == ".", out)
+                       .when(x == "..", F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))).otherwise(F.array_append(out, x)))
+    whole = F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(whole, "/"))).otherwise(path)
+
+
 def _absolute(target: Column, url: Column) -> Column:
-    """Absolute, protocol-relative and root-relative references as urls; others name no page and give null."""
+    """The url that a reference on the page ``url`` means. Null for empty and fragment-only ones and for
+    schemes without '://' (mailto:, javascript:), which name no page."""
     t = F.nullif(F.trim(target), F.lit(""))
+    own = url_path(url)
+    path, query = F.regexp_extract(t, r"(?s)^([^?#]*)", 1), F.regexp_extract(t, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(own, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
+    full = F.when(path.startswith("/"), _without_dots(path)).when(path != "", _without_dots(F.concat(folder, path))).otherwise(own)
     return (F.when(t.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), t).when(t.startswith("//"), F.concat(F.lit("http:"), t))
-            .when(t.startswith("/"), F.concat(F.lit("http://"), url_host(url), t)))
+            .when(t.rlike(r"(?i)^[a-z][a-z0-9+.-]*:") | t.startswith("#"), F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit("http://"), url_host(url), full, query)))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) url nodes: canonical links and meta redirects of the pages' html."""
+    """(src, dst) url nodes: all canonical links and meta redirects of the pages' html, relative ones resolved against the page's url."""
     html, url = F.col("html"), F.col("url")
-    tag = lambda tags, kind: F.try_element_at(F.filter(F.regexp_extract_all(html, F.lit(tags), F.lit(1)),
-                                                       lambda x: x.rlike(kind)), F.lit(1))
-    found = pages.where(html.rlike(r"(?i)canonical|http-equiv")).select(
-        url, F.explode(F.array(F.regexp_extract(tag(LINK_TAG, CANONICAL), HREF, 1),
-                               F.regexp_extract(tag(META_TAG, REFRESH), REFRESH_URL, 1))).alias("target"))
-    return (found.select(url_node(url).alias("src"), url_node(_absolute(F.col("target"), url)).alias("dst"))
+    found = lambda tags, kind, target: F.transform(F.filter(F.regexp_extract_all(html, F.lit(tags), F.lit(1)), lambda x: x.rlike(kind)),
+                                                   lambda x: F.regexp_extract(x, target, 1))
+    linked = pages.where(html.rlike(r"(?i)canonical|http-equiv")).select(
+        url, F.explode(F.concat(found(LINK_TAG, CANONICAL, HREF), found(META_TAG, REFRESH, REFRESH_URL))).alias("target"))
+    return (linked.select(url_node(url).alias("src"), url_node(_absolute(F.col("target"), url)).alias("dst"))
             .where("src is not null and dst is not null"))
 
 
@@ -95,8 +110,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
 
     A page that a rule fits has that rule's verdict. Any other takes its
     component's: allow if a member is explicitly allowed, else block if one is
-    blocked, else ``default``. Members are the pages' urls and the urls they
-    link as canonical or redirect to, and the pairs of ``redirects`` (src,
+    blocked, else ``default``. Members are the pages' urls and the urls that any of their
+    canonical links and refreshes mean (relative ones resolved, dot segments removed), and the pairs of ``redirects`` (src,
     dst urls). Null urls and urls without '://' have empty host and path,
     no rule and the default. Repeated rows are judged alike; null page_ids
     and null html are kept; an empty table gives an empty result; other columns are ignored.
@@ -128,16 +143,25 @@ def oracle(rules: list[tuple[str, str, str]], default: str = "allow") -> str:
     return f"""
 WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {values}),
 p AS (SELECT row_number() OVER () AS k, page_id, url, html, {host('url')} AS host, {path('url')} AS path, {query('url')} AS query FROM pages),
-t AS (
-  SELECT host, path, query, regexp_extract(list_filter(regexp_extract_all(html, '(<link\\b[^>]*>)', 1, 'is'),
-           lambda x: regexp_matches(x, '\\brel\\s*=\\s*["'']?canonical\\b', 'is'))[1], '\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is') AS target FROM p
-  UNION ALL
-  SELECT host, path, query, regexp_extract(list_filter(regexp_extract_all(html, '(<meta\\b[^>]*>)', 1, 'is'),
-           lambda x: regexp_matches(x, '\\bhttp-equiv\\s*=\\s*["'']?refresh\\b', 'is'))[1],
-           '\\bcontent\\s*=\\s*["'']?\\s*[0-9.]*\\s*[;,]\\s*url\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is') FROM p),
+l AS (
+  SELECT host, path, query, trim(unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(<link\\b[^>]*>)', 1, 'is'), lambda x: regexp_matches(x, '\\brel\\s*=\\s*["'']?canonical\\b', 'is')),
+      lambda x: regexp_extract(x, '\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is')),
+    list_transform(list_filter(regexp_extract_all(html, '(<meta\\b[^>]*>)', 1, 'is'), lambda x: regexp_matches(x, '\\bhttp-equiv\\s*=\\s*["'']?refresh\\b', 'is')),
+      lambda x: regexp_extract(x, '\\bcontent\\s*=\\s*["'']?\\s*[0-9.]*\\s*[;,]\\s*url\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is'))))) AS target FROM p),
+r0 AS (SELECT *, regexp_extract(target, '^([^?#]*)', 1, 's') AS rel, regexp_extract(target, '^[^?#]*(\\?[^#]*)', 1, 's') AS asked,
+         coalesce(nullif(regexp_extract(path, '^(.*/)', 1, 's'), ''), '/') AS folder FROM l WHERE target <> ''),
+r1 AS (SELECT *, CASE WHEN starts_with(rel, '/') THEN rel WHEN rel <> '' THEN folder || rel ELSE path END AS raw FROM r0),
+r2 AS (SELECT *, string_split(substr(raw, 2), '/') AS parts FROM r1),
+t AS (SELECT *, CASE WHEN rel = '' OR NOT regexp_matches(raw, '/\\.\\.?(/|$)') THEN raw ELSE '/' || array_to_string(
+    list_reduce(list_transform(parts, lambda x: [x]), lambda out, x: CASE WHEN x[1] = '.' THEN out WHEN x[1] = '..' THEN out[1:len(out) - 1] ELSE list_concat(out, x) END,
+      CAST([] AS VARCHAR[])), '/')
+    || CASE WHEN parts[-1] IN ('.', '..') AND len(list_reduce(list_transform(parts, lambda x: [x]), lambda out, x: CASE WHEN x[1] = '.' THEN out
+      WHEN x[1] = '..' THEN out[1:len(out) - 1] ELSE list_concat(out, x) END, CAST([] AS VARCHAR[]))) > 0 THEN '/' ELSE '' END END AS resolved FROM r2),
 a AS (
   SELECT host || path || query AS src, CASE WHEN regexp_matches(target, '^[a-z][a-z0-9+.-]*://', 'i') THEN target
-           WHEN starts_with(target, '//') THEN 'http:' || target WHEN starts_with(target, '/') THEN 'http://' || host || target END AS u
+           WHEN starts_with(target, '//') THEN 'http:' || target WHEN regexp_matches(target, '^[a-z][a-z0-9+.-]*:', 'i') OR starts_with(target, '#') THEN NULL
+           ELSE 'http://' || host || resolved || asked END AS u
   FROM t WHERE host <> ''),
 e AS (SELECT src, {host('u')} || {path('u')} || {query('u')} AS dst FROM a WHERE {host('u')} <> ''),
 b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),

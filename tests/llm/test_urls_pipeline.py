@@ -34,6 +34,42 @@ def test_aliases_rules_and_oracle(spark):
     assert {r["verdict"] for r in urlfilter.judge(pages, []).collect()} == {"allow"}
 
 
+RELATIVE = [
+    (1, "http://r.org/a/b/page?q=1", '<link rel=canonical href="../c/./d"><LINK REL="canonical" HREF="http://example.com/en/2">'),  # the second link blocks
+    (2, "http://r.org/a/c/d", None), (3, "http://r.org/a/b/other", '<link rel="canonical" href="?q=1"><meta http-equiv="refresh" content="5; url=page?q=1">'),
+    (4, "http://r.org", '<link rel=canonical href="deep/../../top">'), (5, "http://r.org/top", '<meta http-equiv=refresh content="0;url=/a/./b/page?q=1">'),
+    (6, "http://s.org/x/", '<link rel=canonical href="#top"><link rel=canonical href="mailto:a@example.com"><link rel=canonical href="">'),
+    (7, "http://s.org/y/z", '<link rel=canonical href="..">'), (8, "http://s.org/", '<link rel=canonical href="//example.com/en/">'),
+    (9, "http://u.org/q", '<link rel=canonical href="q/w/.">'), (10, "http://u.org/q/w/", '<link rel=stylesheet href="http://example.com/en/">'),
+    (11, "http://v.org/1", '<link rel=canonical href="2"><link rel=canonical href="3">'), (12, "http://v.org/3", '<link rel=canonical href="http://x.net/fr/">'),
+    (13, "http://v.org/2", None), (14, "http://r.org/a/b/other?q=1", None), (15, "http://w.org/k", '<link rel=canonical href="' + "../" * 300 + 'k2">'),
+    (16, "http://w.org/k2", '<link rel=canonical href="http://x.net/es/">'),
+]
+
+
+def test_relative_links_and_every_tag_carry_blocks(spark):
+    pages = spark.createDataFrame(RELATIVE, "page_id long, url string, html string")
+    got = urlfilter.judge(pages, queries.URL_RULES).collect()
+    allowed = {6, 9, 10}
+    assert {r["page_id"]: r["verdict"] for r in got} == {i: "allow" if i in allowed else "block" for i, *_ in RELATIVE}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", RELATIVE)
+    assert sorted(map(tuple, got)) == sorted(con.execute(urlfilter.oracle(queries.URL_RULES)).fetchall())
+
+
+@pytest.mark.parametrize("page, target, want", [
+    ("http://a.org/b/c", "d", "http://a.org/b/d"), ("http://a.org/b/c", "./d/", "http://a.org/b/d/"), ("http://a.org/b/c", "../../../d", "http://a.org/d"),
+    ("http://a.org/b/c", "..", "http://a.org/"), ("http://a.org/b/c/", "..", "http://a.org/b/"), ("http://a.org/b/c", "?x#y", "http://a.org/b/c?x"),
+    ("http://a.org", "d", "http://a.org/d"), ("http://a.org?x", "d?y", "http://a.org/d?y"), ("http://a.org/b", "/c/../d/.", "http://a.org/d/"),
+    ("http://a.org/b", "...", "http://a.org/..."), ("http://a.org/b", "c/.d/..e", "http://a.org/c/.d/..e"), ("http://a.org/b", "//C.org/x", "http://C.org/x"),
+    ("http://a.org/b", "HTTPS://c.org/./x", "HTTPS://c.org/./x"), ("http://a.org/b", "tel:1", None), ("http://a.org/b", "  ", None), ("http://a.org/b", "#x", None),
+])
+def test_references_resolve(spark, page, target, want):
+    df = spark.range(1).select(F.lit(page).alias("p"), F.lit(target).alias("t"))
+    assert df.select(urlfilter._absolute(F.col("t"), F.col("p")).alias("u")).first()["u"] == want
+
+
 def test_redirect_table_joins_components(spark):
     pages = spark.createDataFrame([(1, "http://far.org/1", None)], "page_id long, url string, html string")
     hops = spark.createDataFrame([("http://far.org/1", "http://mid.org/"), ("http://mid.org/", "http://example.com/en/z"), (None, "http://x.org/")], "src string, dst string")
