@@ -205,14 +205,21 @@ def rising_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
     return at, np.clip(np.array([p[0] for p in pools for _ in range(2)]), 0, 1)
 
 
-def words_of(text: str | None) -> Counter:
-    """The words of a whole text, lower-cased, with their occurrences."""
-    text, at, out = text or "", 0, Counter()
+def _words(text: str | None) -> Iterator[list[str]]:
+    """The words of a whole text, lower-cased, a bounded number at a time."""
+    text, at = text or "", 0
     while at < len(text):
         end = NO_WORD.search(text, at + PIECE)
         end = end.start() if end else len(text)
-        out.update(WORDS.findall(text[at:end].lower()))
+        yield WORDS.findall(text[at:end].lower())
         at = end
+
+
+def words_of(text: str | None) -> Counter:
+    """The words of a whole text with their occurrences."""
+    out: Counter = Counter()
+    for words in _words(text):
+        out.update(words)
     return out
 
 
@@ -237,7 +244,11 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch], terms: dict[str, in
     for b in batches:
         n += b.num_rows
         for text in b.column(0):
-            df[known_counts(text.as_py(), terms)[0]] += 1
+            found: set[str] = set()
+            for words in _words(text.as_py()):
+                found.update(words)
+            found = terms.keys() & found
+            df[np.fromiter(map(terms.__getitem__, found), np.int64, len(found))] += 1
     seen = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(df[seen], n), pa.int64())], ["term", "n"])
 
