@@ -21,7 +21,7 @@ from feedlens.llm.common import crc_bucket, without
 WIDTHS, FILTERS, EMBED, LENGTH = (2, 3, 4), 16, 8, 256
 UNDETERMINED = "und"
 #: The classifier is fitted on at most so many windows, one per document, spread evenly over the languages.
-SAMPLE_WINDOWS, MAX_LANGS = 6000, 256
+SAMPLE_WINDOWS = 6000
 
 
 @dataclass
@@ -117,20 +117,21 @@ def train(samples: list[tuple[bytes, str]], epochs: int = 6, batch: int = 64, ra
 def fit(labelled: DataFrame, windows: int = SAMPLE_WINDOWS, seed: int = 7) -> ByteNet | None:
     """A network fitted on (text, lang): one window of each of at most ``windows`` distinct texts, up to the same number per language.
 
-    Rows with a null text or lang teach nothing; of more than MAX_LANGS
-    languages the most frequent are learned. The sample is chosen by a hash
+    Rows with a null text or lang teach nothing. Every language has a window at least, so
+    ``windows`` must be as many as the languages; of more, the most frequent are learned. The sample is chosen by a hash
     of the text, so reruns agree; a few megabytes reach the driver."""
     rows = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("text", F.lit(seed))
     counts = (rows.groupBy("lang", h.alias("h")).agg(F.count("*").alias("n")).groupBy("lang")  # copies of a text have one hash
-              .agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
+              .agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(windows).collect())
     if not counts:
         return None
-    each = max(1, windows // len(counts))
+    each = windows // len(counts)
     piece = F.substring("text", (F.pmod(h, F.greatest(F.length("text") - LENGTH + 1, F.lit(1))) + 1).cast("int"), F.lit(LENGTH))
     parts = 1 << 30  # about three times what is needed passes by hash, so that what is sorted does not grow with the rows
-    passing = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(parts, 3 * each * parts // r["texts"] + 1))])
-    cut = (rows.where(F.pmod(h, F.lit(parts)) < F.coalesce(F.try_element_at(passing, F.col("lang")), F.lit(0)))
+    passing = labelled.sparkSession.createDataFrame([(r["lang"], min(parts, (3 * each + 20) * parts // r["texts"] + 1)) for r in counts],
+                                                    "lang string, _passing long")  # a row per language, ``windows`` at most
+    cut = (rows.select("lang", "text").join(F.broadcast(passing), "lang").where(F.pmod(h, F.lit(parts)) < F.col("_passing"))
            .select("lang", h.alias("h"), piece.alias("piece")).distinct())  # copies of a text count once
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))
     sample = cut.withColumn("nth", nth).where(F.col("nth") <= each).orderBy("lang", "nth")
