@@ -33,8 +33,6 @@ WORD_KIND, PAIR_KIND, TRIPLE_KIND, ONE_KIND, TWO_KIND = range(5)
 #: Occurrences that a context of one and of two words needs; least mean gain in nats; weights of a state's own counts to choose from.
 LEAST_ONE, LEAST_TWO, GAIN = 4, 16, 0.01
 SHARES = (0.3, 0.7, 0.95)
-#: A pair's context can gain over its last word only if that word also follows others: so many times as often, at least.
-OPEN = 1.25
 MILLI = 1000.0
 SENT = "chunk long, kind int, shard int, keys binary, sums binary"
 BACK = "chunk long, kind int, shard int, totals binary, distinct long, mass long"
@@ -151,10 +149,9 @@ class Chunk:
         self.context1, self.joint1 = self.count[self.code[self.second - 1]], self.pair_count[self.pair]
 
     def two(self) -> None:
-        """Triples whose first two words may be a state: frequent, and not the only way to the second word."""
+        """Triples whose first two words may be a state: they are frequent."""
         before = self.pair[np.searchsorted(self.second, self.third - 1)]
-        both, last = self.pair_count[before], self.count[self.code[self.third - 1]]
-        fits = (both >= LEAST_TWO) & (last >= OPEN * both)
+        fits = self.pair_count[before] >= LEAST_TWO
         self.third, self.before = self.third[fits], before[fits]
         ids = self.before.astype(np.int64) * len(self.word) + self.code[self.third]
         self.triples, triple = np.unique(ids, return_inverse=True)

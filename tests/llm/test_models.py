@@ -78,7 +78,7 @@ def plain_scores(rows, held_out):
     best = lambda g, c: (lambda tot: suffixtree.SHARES[tot.argmax()] if tot.max() / c >= suffixtree.GAIN else 0.0)(np.array(g).sum(axis=0))
     share1 = {a: best(g, one[a]) for a, g in gain1.items()}
     p1 = lambda a, b: (lambda s: s * two[a, b] / max(one[a], 1) + (1 - s) * p0(b))(share1.get(a, 0.0))
-    fits = lambda a, b: two[a, b] >= suffixtree.LEAST_TWO and one[b] >= suffixtree.OPEN * two[a, b]
+    fits = lambda a, b: two[a, b] >= suffixtree.LEAST_TWO
     for t in train:
         for a, b, c in zip(t, t[1:], t[2:]):
             if fits(a, b) and share1.get(b, 0) > 0:
@@ -228,3 +228,11 @@ def test_rare_words_are_evidence_and_all_documents_count(docs_of, spark):
         assert model.idf[model.terms[word]] == pytest.approx(math.log(51 / (1 + df)) + 1)
     got = toxicity.judge(docs_of([(1, "Zwirbel!"), (2, "nothing")]), model, ["doc_id"]).collect()
     assert {r["doc_id"]: [e["doc_id"] for e in r["evidence"]] for r in got} == {1: [1], 2: []}
+
+
+def test_more_languages_than_usual_are_all_learned(docs_of, spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(k * 3 + i, f"{letters[k % 26]}{letters[k // 26]}" * 40 + f" {i}", "s") for k in range(300) for i in range(3)]
+    docs = docs_of(rows).withColumn("lang", F.concat(F.lit("l"), F.floor(F.col("doc_id") / 3).cast("string")))
+    net = langid.fit(docs, windows=900)
+    assert len(net.langs) == 300 and len(langid.fit(docs, windows=120).langs) == 120
