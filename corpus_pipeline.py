@@ -27,17 +27,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: the one of the smallest doc_id (null after all ids), and of rows
+    that share it the first by a hash of the text.
+
+    Null and empty texts have fingerprint zero and count as copies of each other; repeated
+    rows are copies; an empty table gives an empty one; columns of any name are kept."""
     return simhash.keep_one(docs, SHINGLE, BITS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, 0 to 2 times.
+
+    Null and empty texts have no words and are never taken; null sources are one source; which of equal rows is
+    taken is all the same, others are chosen by a seeded hash; an empty table gives
+    an empty one; columns of any name are kept."""
     return mixing.repeat(mixing.mix(docs), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in the packed sequences."""
+    """The pieces of all documents with their places in the packed sequences.
+
+    Null and empty texts are a piece of the end id alone; repeated rows and null doc_ids are packed like any other;
+    texts above 2048 tokens are cut; an empty table gives no pieces; other columns are left out."""
     return packing.pack(docs)
 
 
