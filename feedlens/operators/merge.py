@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.operators.common import BROADCAST_MAX_ROWS, written
+
 FIRST_ORD, LAST_ORD = "_first_ord", "_last_ord"
 
 
@@ -68,13 +70,19 @@ def combine(df: DataFrame, rules: MergeRules) -> DataFrame:
     return df.groupBy(*rules.key).agg(*aggs)
 
 
+def _broadcastable(keys: DataFrame) -> DataFrame | None:
+    """``keys`` written, to be broadcast, or None if they are more than that is allowed for."""
+    keys = written(keys, "batch-keys")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_MAX_ROWS else None
+
+
 def upsert(target: DataFrame | None, batch: DataFrame, rules: MergeRules,
-           batch_keys_broadcastable: bool = False) -> DataFrame:
+           small_batch: bool = False) -> DataFrame:
     """Merge a batch into a keyed table.
 
-    With ``batch_keys_broadcastable`` (the caller measured the batch and it is
-    bounded, e.g. one micro-batch), only target rows whose key occurs in the
-    batch are regrouped; the rest pass through a broadcast anti join, so the
+    With ``small_batch`` the batch's keys are written and counted; if they may
+    be broadcast, only target rows whose key occurs in the
+    batch are regrouped and the rest pass through a broadcast anti join, so the
     target is never shuffled. Otherwise target and batch are regrouped
     together (one shuffle on the key)."""
     cols = list(rules.key) + [c for c in batch.columns if c not in rules.key]
@@ -82,9 +90,9 @@ def upsert(target: DataFrame | None, batch: DataFrame, rules: MergeRules,
         return combine(batch, rules).select(*cols)
     target = target.select(*cols)
     batch = batch.select(*cols)
-    if not batch_keys_broadcastable:
+    keys = _broadcastable(batch.select(*rules.key).distinct()) if small_batch else None
+    if keys is None:
         return combine(target.unionByName(batch), rules).select(*cols)
-    keys = F.broadcast(batch.select(*rules.key).distinct())
     touched = target.join(keys, list(rules.key), "left_semi")
     untouched = target.join(keys, list(rules.key), "left_anti")
     return untouched.unionByName(combine(touched.unionByName(batch), rules).select(*cols))
@@ -99,7 +107,7 @@ def first_wins(df: DataFrame, key: list[str], order: Column | str) -> DataFrame:
 
 
 def insert_if_absent(target: DataFrame | None, batch: DataFrame, key: list[str], order: Column | str,
-                     batch_keys_broadcastable: bool = False) -> DataFrame:
+                     small_batch: bool = False) -> DataFrame:
     """ON CONFLICT DO NOTHING. Rows whose key exists in the target are
     dropped from the batch; within the batch the first ordinal wins. Returns
     the rows to append (the target itself is unchanged)."""
@@ -107,9 +115,9 @@ def insert_if_absent(target: DataFrame | None, batch: DataFrame, key: list[str],
     if target is None:
         return new
     existing = target.select(*key)
-    if batch_keys_broadcastable:
-        # semi-join the (large) target against the bounded batch keys first
-        existing = existing.join(F.broadcast(new.select(*key)), key, "left_semi")
+    keys = _broadcastable(new.select(*key)) if small_batch else None
+    if keys is not None:  # the (large) target is not shuffled
+        existing = existing.join(keys, key, "left_semi")
     return new.join(existing, key, "left_anti")
 
 

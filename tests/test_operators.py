@@ -77,7 +77,7 @@ def test_upsert_is_independent_of_arrival_order(spark):
     ab = merge.upsert(merge.upsert(None, a, merge.EVENT_RULES), b, merge.EVENT_RULES).select(*cols)
     ba = merge.upsert(merge.upsert(None, b, merge.EVENT_RULES), a, merge.EVENT_RULES).select(*cols)
     bounded = merge.upsert(merge.upsert(None, a, merge.EVENT_RULES), b, merge.EVENT_RULES,
-                           batch_keys_broadcastable=True).select(*cols)
+                           small_batch=True).select(*cols)
     exp = {1: ("b1", d1, d1, d2), 2: ("a2", d1, d1, d1), 3: ("b3", d2, d2, d2)}
     for df in (ab, ba, bounded):
         got = {r["event_id"]: (r["title"], r["event_datetime"], r["first_seen_at"], r["last_seen_at"])
