@@ -3,12 +3,18 @@
 A node covers its vectors by a ball; no vector in it scores more than the
 query's product with the centre plus the query's length times the radius. Nodes are
 visited in order of that bound and a query leaves a node out once the bound is below
-its kth score so far. A first round in one shard gives every query a kth
-score, which the round over the other shards starts from."""
+its kth score so far.
+
+Shards are cut from cells, the vectors nearest to one of a few seeded pivots, so a
+shard's ball is small where the data cluster. Trees are built and written once. A first round in the nearest
+cell gives every query a kth score; the second sends it only to the shards
+of cells whose bound reaches that score."""
 
 from __future__ import annotations
 
 import heapq
+import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +25,8 @@ from feedlens.llm.common import materialize
 from feedlens.llm.vectors import distinct_vectors, finite, matrix, results, spread
 
 SHARD, QUERY_BLOCK, LEAF = 8192, 2048, 128
+#: Pivots are sent to every task: so many a vector length, of so many components in all, at most.
+PIVOTS, PIVOT_VALUES = 1024, 1 << 21
 NONE = np.iinfo(np.int64).min
 
 
@@ -49,6 +57,16 @@ class BallTree:
                 todo += [(a, (a + b) // 2, me), ((a + b) // 2, b, me)]
         self.vectors = integers[self.order]
 
+    def packed(self) -> tuple:
+        """The tree as arrays and lists, to be written."""
+        return self.vectors, self.order, self.slices, np.array(self.centres), np.array(self.radii), self.children
+
+    @classmethod
+    def unpacked(cls, parts: tuple) -> BallTree:
+        tree = cls.__new__(cls)
+        tree.vectors, tree.order, tree.slices, tree.centres, tree.radii, tree.children = parts
+        return tree
+
 
 def exact_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Integer inner products as int64; beyond its range they stop at its ends."""
@@ -113,21 +131,85 @@ def search(tree: BallTree, queries: np.ndarray, names: np.ndarray, k: int, floor
     return score, at
 
 
+def _build(shard: pa.Table) -> pa.Table:
+    """A shard's row: its tree and ids, as bytes."""
+    dim = shard.column("dim")[0].as_py()
+    ids = shard.column("ids").combine_chunks()
+    tree = BallTree(matrix(shard.column("vec"), dim, np.int64)).packed()
+    held = pickle.dumps((tree, ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy(zero_copy_only=False)), protocol=5)
+    keys = [shard.column(c).slice(0, 1).combine_chunks() for c in ("dim", "cell", "part")]
+    return pa.table([*keys, pa.array([held], pa.binary())], ["dim", "cell", "part", "tree"])
+
+
 def _search_shard(shard: pa.Table, asked: pa.Table, most: int) -> pa.Table:
     out = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
     if not shard.num_rows or not asked.num_rows:
         return out.empty_table()
-    dim = shard.column("dim")[0].as_py()
-    vectors, queries = matrix(shard.column("vec"), dim, np.int64), matrix(asked.column("vec"), dim, np.int64)
-    ids = shard.column("ids").combine_chunks()
-    smallest = ids.values.to_numpy(zero_copy_only=False)[ids.offsets.to_numpy()[:-1]]
-    score, at = search(BallTree(vectors), queries, smallest, most,
-                       asked.column("kth").to_numpy())
-    q, j = np.nonzero((at >= 0) & (score >= asked.column("kth").to_numpy()[:, None]))
+    parts, offsets, values = pickle.loads(shard.column("tree")[0].as_py())
+    ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+    floor, queries = asked.column("kth").to_numpy(), matrix(asked.column("vec"), asked.column("dim")[0].as_py(), np.int64)
+    score, at = search(BallTree.unpacked(parts), queries, values[offsets[:-1]], most, floor)
+    q, j = np.nonzero((at >= 0) & (score >= floor[:, None]))
     q, i, s = spread(q, at[q, j], score[q, j], ids, most)
     return pa.table([asked.column("h1").to_numpy()[q], pa.array(asked.column("h2").to_numpy()[q], pa.int32()), i, s], schema=out)
 
 
+def _pivots(once: DataFrame, shard: int) -> dict[int, np.ndarray]:
+    """For each length of more vectors than a shard holds, some of them, chosen by hash."""
+    out = {}
+    h, parts = F.xxhash64("h2", "h1"), 1 << 30
+    for r in once.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") > shard).collect():
+        most = min(-(-r["n"] // shard), PIVOTS, max(2, PIVOT_VALUES // r["dim"]))
+        passing = once.where((F.col("dim") == r["dim"]) & (F.pmod(h, F.lit(parts)) <= min(parts, (4 * most + 50) * parts // r["n"])))
+        rows = passing.orderBy(h, "h1", "h2").limit(most).select("vec").collect()
+        if rows:
+            out[r["dim"]] = np.array([x["vec"] for x in rows], np.float64)
+    return out
+
+
+def _in_cells(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Each vector with the nearest pivot of its length (the origin where there are none) and the distance to it."""
+    for b in batches:
+        dims = b.column("dim").to_numpy()
+        cell, far = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows)
+        for dim in np.unique(dims).tolist():
+            rows = np.flatnonzero(dims == dim)
+            v, p = matrix(b.column("vec").take(pa.array(rows)), dim, np.float64), pivots.get(dim, np.zeros((1, dim)))
+            cell[rows] = ((p * p).sum(axis=1) - 2 * v @ p.T).argmin(axis=1)
+            far[rows] = np.sqrt(((v - p[cell[rows]]) ** 2).sum(axis=1))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(far)], [*b.schema.names, "cell", "far"])
+
+
+def _route(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray], cells: dict[int, list[tuple[int, float, int, int]]], k: int,
+           first: bool) -> Iterator[pa.RecordBatch]:
+    """Each query's shards: one of the nearest cell at ``first`` (of those that surely hold k vectors, if any do), then all others
+    of cells whose bound reaches its kth score."""
+    for b in batches:
+        dims, kth, h1 = b.column("dim").to_numpy(), b.column("kth").to_numpy(), b.column("h1").to_numpy()
+        shards: list[list[dict]] = [[] for _ in range(b.num_rows)]
+        for dim in np.unique(dims).tolist():
+            rows = np.flatnonzero(dims == dim)
+            own = cells[dim]
+            centres = pivots.get(dim, np.zeros((1, dim)))[[c for c, *_ in own]]
+            q = matrix(b.column("vec").take(pa.array(rows)), dim, np.float64)
+            reach = np.sqrt((q * q).sum(axis=1))[:, None] * np.array([r for _, r, *_ in own])[None, :]
+            bound = q @ centres.T + reach
+            sizes = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((centres * centres).sum(axis=1))[None, :]
+            bound += (np.abs(bound) + reach + sizes) * 1e-9 + 1e-6  # rounding never hides a vector
+            full = np.array([n // parts > 2 * k for *_, parts, n in own])
+            best = np.where(full | ~full.any(), 2 * q @ centres.T - (centres * centres).sum(axis=1), -np.inf).argmax(axis=1)
+            for i, r in enumerate(rows.tolist()):
+                c, _, parts, _ = own[best[i]]
+                home = (c, int(h1[r]) % parts)
+                if first:
+                    shards[r] = [{"cell": home[0], "part": home[1]}]
+                else:
+                    shards[r] = [{"cell": own[k][0], "part": part} for k in np.flatnonzero(bound[i] >= kth[r]).tolist()
+                                 for part in range(own[k][2]) if (own[k][0], part) != home]
+        kind = pa.list_(pa.struct([("cell", pa.int32()), ("part", pa.int32())]))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shards, kind)], [*b.schema.names, "shards"])
+
+
 def quantize(embedding: Column, scale: int = 256) -> Column:
     """floor(scale * x) of each component, x as double; beyond a long's range it stops at its ends."""
     return F.transform(embedding, lambda x: F.floor(
@@ -142,29 +224,38 @@ def top_products(rows: DataFrame, is_query, k: int = 5, shard: int = SHARD, quer
     part; vectors of different length are never compared; repeated
     ids count once, with the best score. An empty table gives an empty result.
 
-    Distinct vectors are dealt to shards, queries to blocks; each block meets
-    each shard once, so a task holds one shard and one block."""
+    Distinct vectors are dealt to cells and these to shards of about ``shard`` vectors; a shard's
+    queries meet it in blocks of about ``query_block``, so a task holds one shard and one block.
+    On vectors without clusters every cell's bound reaches every query's score and each query visits all shards."""
     valid = rows.where(F.col("vec_id").isNotNull() & F.coalesce(F.forall("vec", lambda x: x.isNotNull()) & (F.size("vec") > 0), F.lit(False)))
     valid = valid.select("vec_id", "vec")
     once = distinct_vectors(valid, k, is_query, "mips-vectors")
-    counts = once.agg(F.count("*").alias("n"), F.count_if("asked").alias("m")).first()
-    shards, blocks = max(1, -(-counts["n"] // shard)), max(1, -(-counts["m"] // query_block))
-    mixed = F.xxhash64("h1", "h2")
-    stored = once.select("dim", "vec", "ids", F.pmod(mixed, F.lit(shards)).cast("int").alias("shard"))
-    asked = once.where("asked").select("dim", "vec", "h1", "h2", F.pmod(mixed, F.lit(blocks)).cast("int").alias("block"),
-                                       F.pmod(F.xxhash64("h2", "h1"), F.lit(shards)).cast("int").alias("home"))
-    keys = ["dim", "shard", "block"]
-    dealt = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy(*keys)
-
-    def visit(queries: DataFrame) -> DataFrame:
-        queries = queries.toDF(*queries.columns)  # columns of its own, as both sides come from one table
-        return dealt.cogroup(queries.groupBy(*keys)).applyInArrow(lambda a, b: _search_shard(a, b, k + 1),
-                                                                  "h1 long, h2 int, vec_id long, score long")
-
-    first = materialize(visit(asked.withColumn("shard", F.col("home")).withColumn("kth", F.lit(int(NONE)))), "mips-first")
+    pivots = _pivots(once, shard)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in once.schema)
+    placed = materialize(once.mapInArrow(lambda bs: _in_cells(bs, pivots), f"{schema}, cell int, far double"), "mips-cells")
+    sizes = placed.groupBy("dim", "cell").agg(F.max("far").alias("radius"), F.ceil(F.count("*") / shard).cast("int").alias("parts"), F.count("*").alias("n"))
+    sizes = materialize(sizes, "mips-sizes")  # a row a cell, and a cell a pivot or length
+    cells: dict[int, list[tuple[int, float, int, int]]] = {}
+    for r in sizes.orderBy("dim", "cell").collect():
+        cells.setdefault(r["dim"], []).append((r["cell"], r["radius"], r["parts"], r["n"]))
+    keys = ["dim", "cell", "part"]
+    dealt = placed.join(F.broadcast(sizes.select("dim", "cell", "parts")), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("h1", "h2"), F.col("parts")).cast("int"))
+    trees = materialize(dealt.select(*keys, "vec", "ids").groupBy(*keys).applyInArrow(_build, "dim int, cell int, part int, tree binary"), "mips-trees")
+    asked = placed.where("asked").select("dim", "vec", "h1", "h2")
+
+    def visit(queries: DataFrame, first: bool) -> DataFrame:
+        routed = queries.mapInArrow(lambda bs: _route(bs, pivots, cells, k, first),
+                                    "dim int, vec array<bigint>, h1 long, h2 int, kth long, shards array<struct<cell:int,part:int>>")
+        pairs = materialize(routed.withColumn("s", F.explode("shards")).select("dim", "s.*", "vec", "h1", "h2", "kth"), "mips-pairs")
+        blocks = pairs.groupBy(*keys).agg(F.ceil(F.count("*") / query_block).cast("int").alias("blocks"))
+        left = trees.join(blocks, keys).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        right = pairs.join(blocks, keys).withColumn("block", F.pmod(F.xxhash64("h2", "h1"), F.col("blocks")).cast("int")).drop("blocks")
+        right = right.toDF(*right.columns)  # columns of its own
+        return left.groupBy(*keys, "block").cogroup(right.groupBy(*keys, "block")).applyInArrow(
+            lambda a, b: _search_shard(a, b, k + 1), "h1 long, h2 int, vec_id long, score long")
+
+    first = materialize(visit(asked.withColumn("kth", F.lit(int(NONE))), True), "mips-first")
     kth = (first.groupBy("h1", "h2").agg(F.count("*").alias("have"), F.min("score").alias("least"))
            .select("h1", "h2", F.when(F.col("have") > k, F.col("least")).alias("least")))
-    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))
-    rest = (asked.join(kth, ["h1", "h2"], "left").withColumn("kth", F.coalesce("least", F.lit(int(NONE))))
-            .withColumn("shard", F.explode(others)))
-    return results(first.unionByName(visit(rest)), valid, is_query, k)
+    rest = asked.join(kth, ["h1", "h2"], "left").select("dim", "vec", "h1", "h2", F.coalesce("least", F.lit(int(NONE))).alias("kth"))
+    return results(first.unionByName(visit(rest, False)), valid, is_query, k)

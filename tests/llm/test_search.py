@@ -66,6 +66,35 @@ def test_branch_and_bound_equals_a_full_scan():
         assert at[i].tolist() == want.tolist() and score[i].tolist() == s[want].tolist()
 
 
+def test_queries_visit_few_shards_of_clustered_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(24, 16))
+    centres *= 2000 / np.linalg.norm(centres, axis=1, keepdims=True)
+    visits = {}
+    write = balltree.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "mips-pairs":
+            visits[n] = visits.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(balltree, "materialize", counted)
+    for n in (600, 2400):
+        v = (centres[np.arange(n) % 24] + rng.normal(size=(n, 16)) * 20).astype(int)
+        rows = [(i, x.tolist()) for i, x in enumerate(v)]
+        df = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+        got = balltree.top_products(df, F.col("vec_id") % 20 == 0, 5, shard=25, query_block=10).collect()
+        s = (v[::20] @ v.T).astype(float)
+        for k, q in enumerate(range(0, n, 20)):
+            s[k, q] = -np.inf
+            want = np.lexsort((np.arange(n), -s[k]))[:5].tolist()
+            assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+    asked = {n: n // 20 for n in visits}
+    share = {n: visits[n] / (asked[n] * (n / 25)) for n in visits}  # of all pairs of a query and a shard
+    assert share[2400] < 0.3 and visits[2400] / asked[2400] < 1.2 * visits[600] / asked[600]  # four times the shards, no more visits a query
+
+
 def test_quantize_and_huge_values(spark):
     df = spark.createDataFrame([(0, [0.5, -0.001, 1e300]), (2, [1.0, 2.0, -1e300])], "vec_id long, x array<double>")
     got = df.select("vec_id", balltree.quantize(F.col("x")).alias("vec"))
