@@ -121,21 +121,22 @@ class Chunk:
         self.second, self.third = (np.flatnonzero(place >= k).astype(np.int32) for k in (1, 2))
         del place
         ids = self.code[self.second - 1].astype(np.int64) * len(self.word) + self.code[self.second]
-        self.pairs, pair = np.unique(ids, return_inverse=True)
+        pairs, pair = np.unique(ids, return_inverse=True)
+        del ids
         self.pair = pair.astype(np.int32)
-        self.pair_key = mix(self.word[self.pairs // len(self.word)], self.word[self.pairs % len(self.word)])
+        self.pair_key = mix(self.word[pairs // len(self.word)], self.word[pairs % len(self.word)])
 
     def sums_of(self, kind: int, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        """The global sums of ``keys`` as they came back, in the order of ``keys``."""
+        """The global sums of ``keys`` as they came back, in the order of ``keys``; they are taken once."""
         out = np.empty((len(keys), width), np.int64)
-        out[np.argsort(keys)] = self.back[kind].reshape(-1, width)
+        out[np.argsort(keys)] = self.back.pop(kind).reshape(-1, width)
         return out if width > 1 else out[:, 0]
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.code[self.train], minlength=len(self.word))
 
     def pair_counts(self) -> np.ndarray:
-        return np.bincount(self.pair[self.train[self.second]], minlength=len(self.pairs))
+        return np.bincount(self.pair[self.train[self.second]], minlength=len(self.pair_key))
 
     def root(self) -> None:
         """Word counts, the words that are frequent enough for a state, and the root's probabilities, per token."""
@@ -154,14 +155,17 @@ class Chunk:
         fits = self.pair_count[before] >= LEAST_TWO
         self.third, self.before = self.third[fits], before[fits]
         ids = self.before.astype(np.int64) * len(self.word) + self.code[self.third]
-        self.triples, triple = np.unique(ids, return_inverse=True)
+        triples, triple = np.unique(ids, return_inverse=True)
+        del ids
         self.triple = triple.astype(np.int32)
-        self.triple_key = mix(self.pair_key[self.triples // len(self.word)] ^ np.uint64(0x5851F42D4C957F2D),
-                              self.word[self.triples % len(self.word)])
-        self.contexts2, self.context2_at = np.unique(self.before, return_inverse=True)
+        self.triple_key = mix(self.pair_key[triples // len(self.word)] ^ np.uint64(0x5851F42D4C957F2D),
+                              self.word[triples % len(self.word)])
+        del triples, triple
+        self.contexts2, at = np.unique(self.before, return_inverse=True)
+        self.context2_at = at.astype(np.int32)
 
     def triple_counts(self) -> np.ndarray:
-        return np.bincount(self.triple[self.train[self.third]], minlength=len(self.triples))
+        return np.bincount(self.triple[self.train[self.third]], minlength=len(self.triple_key))
 
     @staticmethod
     def gains(at: np.ndarray, n: int, joint: np.ndarray, context: np.ndarray, parent: np.ndarray) -> np.ndarray:
@@ -192,11 +196,12 @@ class Chunk:
         share = self.share1[self.code[self.second - 1]]
         self.p1 = self.p0.copy()
         self.p1[self.second] = share * self.joint1 / np.maximum(self.context1, 1) + (1 - share) * self.p0[self.second]
+        del self.context1, self.joint1
 
     def votes2(self) -> np.ndarray:
-        self.joint2 = self.sums_of(TRIPLE_KIND, self.triple_key)[self.triple]
+        joint = self.sums_of(TRIPLE_KIND, self.triple_key)[self.triple]
         use = self.train[self.third] & (self.share1[self.code[self.third - 1]] > 0)  # a state's parent is a state
-        return self.gains(self.context2_at[use], len(self.contexts2), self.joint2[use], self.pair_count[self.before[use]],
+        return self.gains(self.context2_at[use], len(self.contexts2), joint[use], self.pair_count[self.before[use]],
                           self.p1[self.third[use]])
 
     def apply2(self) -> None:
@@ -207,7 +212,7 @@ class Chunk:
         self.p2[self.third] = share * joint / np.maximum(self.pair_count[self.before], 1) + (1 - share) * self.p1[self.third]
 
     def upto(self, step: int) -> Chunk:
-        for f in (self.root, self.one, self.two, self.apply1, self.votes2, self.apply2)[: (0, 3, 5, 6)[step]]:
+        for f in (self.root, self.one, self.two, self.apply1, self.apply2)[: (0, 3, 4, 5)[step]]:
             f()
         return self
 
