@@ -28,8 +28,8 @@ from feedlens.llm.common import materialize, without
 #: characters each and in all; a label's share of the characters goes by the hash order of its texts.
 EXAMPLES, EXAMPLE_CHARS, ALL_CHARS = 4096, 1 << 18, 1 << 26
 NEIGHBOURS, BLOCK = 32, 64
-#: Texts searched at once.
-BATCH = 256
+#: Texts searched at once, and those of them whose postings are gathered at once.
+BATCH, GATHER = 256, 32
 #: A term in more than one of so many examples is frequent.
 FREQUENT = 16
 #: Texts are split in pieces of so many characters.
@@ -72,13 +72,20 @@ class BlockMaxIndex:
         The blocks of the largest bounds are scored first, then those whose bound reaches the kth score so far; a
         block is scored for all queries that need it at once."""
         n, blocks = len(queries), len(self.dense)
+        sizes = np.fromiter((len(q[0]) for q in queries), np.int64, n)
+        ends, cells = np.cumsum(sizes), blocks * BLOCK
         terms = np.concatenate([q[0] for q in queries]) if n else np.zeros(0, np.int64)
         weights = np.concatenate([q[1] for q in queries]) if n else np.zeros(0)
-        of = np.repeat(np.arange(n), [len(q[0]) for q in queries])
-        count = self.start[terms + 1] - self.start[terms]
-        at = np.arange(count.sum()) + np.repeat(self.start[terms] - np.cumsum(count) + count, count)
-        cells = blocks * BLOCK
-        score = np.bincount(np.repeat(of * cells, count) + self.example[at], np.repeat(weights, count) * self.weight[at], n * cells).astype(float).reshape(n, blocks, BLOCK)
+        of = np.repeat(np.arange(n), sizes)
+        score = np.zeros((n, cells))
+        for a in range(0, n, GATHER):  # the rare terms' postings, of some queries at a time
+            b = min(a + GATHER, n)
+            own = slice(ends[a] - sizes[a], ends[b - 1])
+            count = self.start[terms[own] + 1] - self.start[terms[own]]
+            at = np.arange(count.sum()) + np.repeat(self.start[terms[own]] - np.cumsum(count) + count, count)
+            place = np.repeat((of[own] - a) * cells, count) + self.example[at]
+            score[a:b] = np.bincount(place, np.repeat(weights[own], count) * self.weight[at], (b - a) * cells).reshape(b - a, cells)
+        score = score.reshape(n, blocks, BLOCK)
         often = self.place[terms] >= 0
         whole = np.zeros((n, self.most.shape[0]))
         whole[of[often], self.place[terms[often]]] = weights[often]
@@ -96,7 +103,7 @@ class BlockMaxIndex:
                 score[who, c] += whole[who] @ self.dense[c]
             scored |= need
             seen = np.where(scored[:, :, None], score, -1.0).reshape(n, cells)
-            kth = np.partition(seen, max(cells - k, 0), axis=1)[:, max(cells - k, 0)] if n else np.zeros(0)
+            kth = np.array([np.partition(row, max(cells - k, 0))[max(cells - k, 0)] for row in seen])
             need = ~scored & (bound * (1 + 1e-12) >= np.maximum(kth, 1e-300)[:, None])
         out = []
         for i in range(n):
@@ -305,6 +312,7 @@ def _learn(model: Model, own: list[tuple], total: dict[int, int]) -> Model:
     vectors = [model.vector(*x[2:]) for x in own]
     dense = BlockMaxIndex.build(vectors, len(model.terms)).dense
     order = alike_order(dense.transpose(0, 2, 1).reshape(-1, dense.shape[1])[:len(own)], BLOCK).tolist()
+    del dense
     own, vectors = [own[i] for i in order], [vectors[i] for i in order]
     model.index = BlockMaxIndex.build(vectors, len(model.terms))
     model.labels, model.ids, model.own = np.array([x[1] for x in own], float), [x[0] for x in own], [v[0].astype(np.int32) for v in vectors]
