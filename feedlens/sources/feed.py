@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,11 +72,46 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
+def _page_writer(folder: str):
+    """A function that writes the pages of a partition, sorted by name, into ``folder``."""
+    def write(rows) -> None:
+        import itertools
+        import uuid
+
+        from pyarrow import fs
+
+        target, root = fs.FileSystem.from_uri(folder)
+        for name, pages in itertools.groupby(rows, key=lambda r: r[0]):
+            begun = f"{root}/.{name}.{uuid.uuid4().hex}"  # readers skip names with a dot; a task tried again leaves whole pages only
+            with target.open_output_stream(begun) as out:
+                for _, value in pages:
+                    out.write(((value or "") + "\n").encode())
+            target.move(begun, f"{root}/{name}")
+
+    return write
+
+
 def write_page_files(pages: DataFrame, folder: str) -> None:
     """Writes each page of (source_file, value) as a file of that name in one flat folder, as a feed's collector leaves them.
 
-    Executors write the texts (each with a line end), one file per name; the driver then
-    moves the files to their names through Hadoop's file system, one rename a page."""
+    Executors write the texts (each with a line end) under their names, so the driver does nothing a page.
+    Arrow must have a file system for the folder; folders of other schemes go through Hadoop's (``_renamed_page_files``)."""
+    spark = pages.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(root)
+    uri = fs.makeQualified(root).toUri().toString()
+    try:
+        FileSystem.from_uri(uri)
+    except (ValueError, OSError):
+        return _renamed_page_files(pages, folder)
+    pages.select("source_file", "value").repartition("source_file").sortWithinPartitions("source_file").foreachPartition(_page_writer(uri))
+
+
+def _renamed_page_files(pages: DataFrame, folder: str) -> None:
+    """``write_page_files`` where only Hadoop has a file system: Spark writes a file per name, the driver
+    then moves the files to their names, one rename a page."""
     spark = pages.sparkSession
     parts = shared_scratch(spark, "page-parts")
     named = pages.select(F.concat(F.lit("p"), "source_file").alias("page"), "value")  # "p": partition values that look like numbers stay text
@@ -83,7 +119,6 @@ def write_page_files(pages: DataFrame, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     root = path(folder)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(root)
     found = spark.read.text(parts).select(F.col("_metadata.file_path").alias("path"), F.expr("substr(page, 2)").alias("name")).distinct()
     for r in found.toLocalIterator():
         if not fs.rename(path(spark._jvm.java.net.URI(r["path"])), path(root, r["name"])):
