@@ -135,6 +135,17 @@ def scan_pages(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
     return df.select(file_name().alias("source_file"), "value")
 
 
+def parsed_once(df: DataFrame, **parsed: Column) -> DataFrame:
+    """``df`` with the expensive columns ``parsed``, each computed once a row.
+
+    A filter on what is read from a parsed text would be moved below the projection that parses it, and the text
+    built and parsed again for every mention. Here each is the output of a generator over one value, past
+    which no filter moves."""
+    for name, value in parsed.items():
+        df = df.select("*", F.explode(F.array(value)).alias(name))
+    return df
+
+
 def _status_message(status: Column) -> Column:
     shown = F.coalesce(F.concat(F.lit("'"), status, F.lit("'")), F.lit("None"))
     return F.concat(F.lit("status != success (got "), shown, F.lit(")"))
@@ -153,7 +164,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     known (a present key with a null value is still present) and their raw
     text is kept for the next, narrower parse. Text that is not a JSON object
     lands in the corrupt-record column. ``"data": null`` counts as missing."""
-    env = F.from_json("value", ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    pages = parsed_once(pages, _env=F.from_json("value", ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    env = F.col("_env")
     data = env["data"]
     has_data = data.isNotNull()
     has_meta = F.coalesce(F.map_contains_key(data, "metadata"), F.lit(False))
@@ -166,7 +178,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         F.when(has_data & ~has_events, F.lit(MISSING_EVENTS)),
     )
     out = pages.select(
-        "*",
+        *[c for c in pages.columns if c != "_env"],
         (env.isNull() | env["_bad"].isNotNull()).alias("is_corrupt"),
         status.alias("status"),
         F.filter(checks, lambda x: x.isNotNull()).alias("errors"),
@@ -200,16 +212,16 @@ def page_event_texts(events_text: Column) -> Column:
 
 def explode_events(parsed: DataFrame) -> DataFrame:
     """(source_file, pos, event_text) for every event of every valid page."""
-    return (parsed.where("valid")
-            .select("source_file", F.posexplode(page_event_texts(F.col("events_text"))).alias("pos", "event_text")))
+    texts = parsed_once(parsed.where("valid").select("source_file", "events_text"), _texts=page_event_texts(F.col("events_text")))
+    return texts.select("source_file", F.posexplode("_texts").alias("pos", "event_text"))
 
 
 # S05 + S06 + S07
 def page_headers(parsed: DataFrame, run_id: Column, loaded_at: Column) -> DataFrame:
     """One header row per valid page (raw_feed_files)."""
-    m = F.from_json("metadata_text", METADATA_SCHEMA)
+    m = F.col("_meta")
     pag, cat, dr = m["pagination"], m["categorization"], m["filters"]["date_range"]
-    return parsed.where("valid").select(
+    return parsed_once(parsed.where("valid"), _meta=F.from_json("metadata_text", METADATA_SCHEMA)).select(
         file_key("source_file").alias("file_id"),
         run_id.alias("run_id"),
         "source_file",
@@ -238,7 +250,7 @@ def parse_events(exploded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     object and an id that is missing or not castable keep an event out; any
     other field that cannot be cast is NULL and counted in ``cast_failures``."""
     e = F.from_json("event_text", EVENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    text = exploded.select("source_file", "pos", "event_text", *keep, e.alias("e"))
+    text = parsed_once(exploded.select("source_file", "pos", "event_text", *keep), e=e)
     typed = {f: cast(F.col("e")[f]) for f, cast in CAST_FIELDS.items()}
     typed.update({f: F.col("e")[f] for f in TEXT_FIELDS})
     typed.update({f: F.from_json(F.col("e")[f], WINDOW_TYPE) for f in WINDOW_FIELDS})

@@ -1,9 +1,29 @@
-"""Pages are written by the executors."""
+"""Pages are parsed once and written by the executors."""
 
 import os
 
+from pyspark.sql import functions as F
+
+from feed_pages import make_event, make_feed_file, page_name, pages_frame
+from feedlens.operators.ingest import build_batch
 from feedlens.sources import feed
 
+PAGES = [(page_name(0), make_feed_file([make_event({"id": 1}), make_event({"id": None})])), (page_name(100), "{cut")]
+
+
+def _parses(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+def test_a_filter_does_not_parse_texts_again(spark):
+    b = build_batch(pages_frame(spark, PAGES), "r", F.lit("2026-05-27"))
+    events = {"events": b.events(), "venues": b.venues(), "market": b.market(), "quarantine": b.quarantine_events()}
+    assert {k: _parses(df) for k, df in events.items()} == dict.fromkeys(events, 4)  # page, events as object, as list, event
+    assert _parses(b.windows()) == 4 + len(feed.WINDOW_FIELDS)
+    assert (_parses(b.headers), _parses(b.quarantine_files())) == (2, 1)
+    assert [r["event_id"] for r in b.events().collect()] == [1]
+    assert [(r["source_file"], r["reason"]) for r in b.quarantine_files().collect()] == [(page_name(100), "JSON parse error")]
+
 
 def test_page_files_are_written_under_their_names_without_a_rename_by_the_driver(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(feed, "shared_scratch", lambda *a: (_ for _ in ()).throw(AssertionError("parts for the driver to rename")))
