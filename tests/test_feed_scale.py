@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from feed_pages import make_event, make_feed_file, page_name, pages_frame
@@ -34,3 +35,29 @@ def test_page_files_are_written_under_their_names_without_a_rename_by_the_driver
     assert sorted(os.listdir(folder)) == sorted([*names, "none.json"])
     got = {r["source_file"]: r["value"] for r in feed.scan_pages(spark, folder, "*").collect()}
     assert got == {"007": "{007\n\n", "a b+c%.json": "{a b+c%.json\n\n", "é.json": "{é.json\n\n", "x=1.json": "{x=1.json\n\n" * 2, "none.json": "\n"}
+
+
+def test_a_batchs_tables_are_written_side_by_side(spark, tmp_path):
+    import threading
+
+    from feedlens.plans import pipeline
+    from feedlens.sources.store import TableStore
+
+    store, both = TableStore(spark, str(tmp_path / "store")), threading.Barrier(2, timeout=60)
+    write = store.append_delta
+
+    def append_delta(name, *a, **kw):
+        if name in ("events", "market"):
+            both.wait()  # neither goes on before the other has begun
+        if name == "windows":
+            raise KeyError("windows failed")
+        write(name, *a, **kw)
+
+    store.append_delta = append_delta
+    with pytest.raises(KeyError, match="windows failed"):
+        pipeline.ingest_pages(spark, pages_frame(spark, PAGES), store, "r1")
+    assert not os.path.exists(store.delta_root("batch_metrics"))  # a batch that failed midway has no numbers
+    store.append_delta = write
+    pipeline.ingest_pages(spark, pages_frame(spark, PAGES), store, "r1")
+    assert pipeline.read_table(store, "windows").count() == 4
+    assert [tuple(r)[1:] for r in pipeline.batch_metrics(store, "r1").collect()] == [(2, 1, 1)]
