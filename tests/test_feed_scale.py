@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from feed_pages import make_event, make_feed_file, page_name, pages_frame
+from feedlens.config import Params
 from feedlens.operators.ingest import build_batch
+from feedlens.plans import feed_queries
 from feedlens.sources import feed
+from feedlens.tables import FeedTables
 
 PAGES = [(page_name(0), make_feed_file([make_event({"id": 1}), make_event({"id": None})])), (page_name(100), "{cut")]
 
@@ -61,3 +64,13 @@ def test_a_batchs_tables_are_written_side_by_side(spark, tmp_path):
     pipeline.ingest_pages(spark, pages_frame(spark, PAGES), store, "r1")
     assert pipeline.read_table(store, "windows").count() == 4
     assert [tuple(r)[1:] for r in pipeline.batch_metrics(store, "r1").collect()] == [(2, 1, 1)]
+
+
+def test_result_sets_read_tables_written_once(spark, monkeypatch):
+    rows, seen = spark.range(3).toDF("event_id"), {}
+    monkeypatch.setattr(feed_queries, "driver_tables", lambda *a: FeedTables(*[rows] * 9))
+    monkeypatch.setattr(feed_queries, "dq_suite", lambda *a: rows)
+    monkeypatch.setattr(feed_queries.pipeline, "report_builders", lambda t, dq, p: seen.update(t=t) or {"one": lambda: t.market})
+    done = feed_queries.w10(spark, "none", Params()).collect()
+    assert [(r["result_set"], r["rows"], r["error"]) for r in done] == [("one", 3, None)]
+    assert all(getattr(seen["t"], name).inputFiles() for name in seen["t"].names())
