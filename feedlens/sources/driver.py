@@ -332,7 +332,7 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     m = market_view(spark, sf_dir, p).drop("run_id", "state_id", "source_file", "loaded_at")
-    wide = windows_wide(spark, sf_dir, p)
+    wide = windows_wide(spark, sf_dir, p).withColumnRenamed("event_id", "moved_id")
     empty = F.struct(*[F.lit(None).cast(t).alias(f) for f, t in
                        (("direction", "string"), ("percent", "double"), ("raw", "double"),
                         ("insufficient_data", "boolean"))])
@@ -341,7 +341,8 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
         .otherwise(F.col("o_orderdate"))
     ev = (o.join(c, o.o_custkey == c.c_custkey)
           .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-          .join(m, o.o_orderkey == m.event_id, "left").join(wide, "event_id", "left"))
+          # both on the order key: rows joined once stay where they are for the second join
+          .join(m, o.o_orderkey == m.event_id, "left").join(wide, o.o_orderkey == wide.moved_id, "left"))
     event = F.struct(
         F.when(_hit(k, "raw_id_null"), F.lit(None).cast("bigint")).otherwise(k).alias("id"),
         F.col("c_name").alias("title"),
