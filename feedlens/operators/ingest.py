@@ -6,13 +6,14 @@ into the stored tables."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.config import WINDOW_DAYS
 from feedlens.functions.columns import file_key, offset_from_name
+from feedlens.operators.common import written
 from feedlens.operators.merge import (EVENT_RULES, FIRST_ORD, LAST_ORD, PERFORMER_RULES, VENUE_RULES,
                                       combine, first_wins, ordinal)
 from feedlens.sources import feed
@@ -124,6 +125,23 @@ class Batch:
         return _ord_out(first_wins(rows, ["raw_id"], "_ord"), keep_ord)
 
 
+def settled(batch: Batch, fields: tuple[str, ...] = ()) -> Batch:
+    """``batch`` with its pages' checks and of its events the outcome and ``fields``, parsed in one pass and written, for queries with
+    several outputs: each of them would parse all pages again. The page texts are not kept and the headers still come from them.
+
+    A row is written per event, and one for a page without events; a page's first row stands for the page."""
+    said = ("is_corrupt", "status", "reason", "valid")
+    texts = feed.parsed_once(batch.pages.select("source_file", F.struct(*said).alias("page"), "valid", "events_text"),
+                             _texts=F.when(F.col("valid"), feed.page_event_texts(F.col("events_text"))))
+    rows = texts.select("source_file", "page", F.posexplode_outer("_texts").alias("pos", "event_text"))
+    rows = written(feed.parse_events(rows, ("page",)).select("source_file", "page", "pos", "id", "id_text", "bad_reason", *fields), "settled")
+    events_all = rows.where(F.col("pos").isNotNull()).drop("page")
+    loaded = events_all.where(F.col("bad_reason").isNull()).withColumns(
+        {"event_id": F.col("id"), "_ord": ordinal(batch.loaded_at, F.col("source_file"), F.col("pos"))})
+    return replace(batch, pages=rows.where(F.col("pos").isNull() | (F.col("pos") == 0)).select("source_file", "page.*"),
+                   events_all=events_all, loaded=loaded)
+
+
 def replay_batch(archive: DataFrame, ntz: bool = False) -> Batch:
     """The event tables of archived events (``raw_archive(keep_ord=True)`` rows, of any runs) as a Batch, parsed
     again from their payloads: after a change of rules, or where tables were lost.

@@ -17,13 +17,13 @@ from feedlens.config import Params
 from feedlens.functions.columns import as_of_lit, file_key, normalise_ts, offset_from_name
 from feedlens.operators import ledger, merge
 from feedlens.operators.common import written
-from feedlens.operators.ingest import build_batch, read_payload, replay_batch
+from feedlens.operators.ingest import build_batch, read_payload, replay_batch, settled
 from feedlens.operators.quality import dq_suite
 from feedlens.operators.sink import sink_result_sets
 from feedlens.plans import pipeline
 from feedlens.plans.oracle_views import AS_OF, with_views
 from feedlens.plans.oracles import KPIS, REPORTS, SCORE_VIEWS, SCORING, detailed_suite_sql, suite_sql
-from feedlens.session import ensure_checkpoint_dir, pin_utc, shared_scratch
+from feedlens.session import pin_utc, shared_scratch
 from feedlens.sources import feed
 from feedlens.sources.driver import (DRIVER_RUN_ID, driver_pages, driver_tables, events_view, market_view, pages_view,
                                      performers_view, read_table, venues_view)
@@ -112,7 +112,7 @@ def s12(spark, sf_dir, p):
 
 
 def s13(spark, sf_dir, p):
-    b = _batch(spark, sf_dir, p)
+    b = settled(_batch(spark, sf_dir, p), ("performer_slug", "performer", "venue_slug", "venue"))  # both bridges read it
     return (b.event_performers().select(F.lit("performer").alias("bridge"), "event_id",
                                         F.col("performer_slug").alias("slug"))
             .unionByName(b.event_venues().select(F.lit("venue").alias("bridge"), "event_id",
@@ -263,7 +263,7 @@ def w06(spark, sf_dir, p):
 
 def w07(spark, sf_dir, p):
     store = TableStore(spark, shared_scratch(spark, "ledger-store"))
-    metrics = pipeline.write_page_log(_batch(spark, sf_dir, p), store, DRIVER_RUN_ID, DRIVER_RUN_ID)
+    metrics = pipeline.write_page_log(settled(_batch(spark, sf_dir, p)), store, DRIVER_RUN_ID, DRIVER_RUN_ID)
     return pipeline.ledger_from_metrics(spark.createDataFrame([metrics], pipeline.METRICS), F.lit(DRIVER_RUN_ID), as_of_lit(p), as_of_lit(p), "driver") \
         .select("run_id", "files_found", "files_loaded", "events_loaded", "status")
 
@@ -281,9 +281,8 @@ def w08(spark, sf_dir, p):
 
 
 def w09(spark, sf_dir, p):
-    b = _batch(spark, sf_dir, p)
-    ensure_checkpoint_dir(spark)
-    reasons = ledger.ingest_dq_reasons(b.quarantine_files(), b.quarantine_events()).checkpoint()  # both outputs read it
+    b = settled(_batch(spark, sf_dir, p))  # both quarantines read it
+    reasons = written(ledger.ingest_dq_reasons(b.quarantine_files(), b.quarantine_events()), "ingest-reasons")  # both outputs read it
     cols = ["check_name", "severity", "status", "affected_count", "source_file", "event_id", "reason"]
     none = {c: F.lit(None).cast("string") for c in cols}
     rows = ledger.ingest_dq_rows(reasons, F.lit(DRIVER_RUN_ID), as_of_lit(p))
