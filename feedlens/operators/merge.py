@@ -59,15 +59,17 @@ FILE_RULES_LATEST = MergeRules(
 
 
 def combine(df: DataFrame, rules: MergeRules) -> DataFrame:
-    """Collapse rows sharing the key according to the rules."""
-    aggs = [F.max_by(c, LAST_ORD).alias(c) for c in rules.latest]
-    aggs += [F.min_by(c, FIRST_ORD).alias(c) for c in rules.first]
-    if rules.first_seen:
-        aggs.append(F.min_by(rules.first_seen, FIRST_ORD).alias(rules.first_seen))
-    if rules.last_seen:
-        aggs.append(F.max_by(rules.last_seen, LAST_ORD).alias(rules.last_seen))
-    aggs += [F.min(FIRST_ORD).alias(FIRST_ORD), F.max(LAST_ORD).alias(LAST_ORD)]
-    return df.groupBy(*rules.key).agg(*aggs)
+    """Collapse rows sharing the key according to the rules.
+
+    All first values are one struct and all latest ones another, so a key's buffer holds two ordinals and not two a column."""
+    first = [*rules.first, *([rules.first_seen] if rules.first_seen else []), FIRST_ORD]
+    latest = [*rules.latest, *([rules.last_seen] if rules.last_seen else []), LAST_ORD]
+    return (df.groupBy(*rules.key)
+            .agg(F.max_by(F.struct(*latest), LAST_ORD).alias("_latest"), F.min_by(F.struct(*first), FIRST_ORD).alias("_first"))
+            .select(*rules.key, *[F.col("_latest")[c].alias(c) for c in latest[:-1] if c in rules.latest],
+                    *[F.col("_first")[c].alias(c) for c in first[:-1]],
+                    *[F.col("_latest")[c].alias(c) for c in latest[:-1] if c not in rules.latest],
+                    F.col("_first")[FIRST_ORD].alias(FIRST_ORD), F.col("_latest")[LAST_ORD].alias(LAST_ORD)))
 
 
 def _broadcastable(keys: DataFrame) -> DataFrame | None:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from feed_pages import make_event, make_feed_file, page_name, pages_frame
 from feedlens.config import Params
-from feedlens.operators.ingest import build_batch
+from feedlens.operators import merge
+from feedlens.operators.ingest import build_batch, settled
 from feedlens.plans import feed_queries
-from feedlens.sources import feed
+from feedlens.sources import driver, feed
 from feedlens.tables import FeedTables
 
 PAGES = [(page_name(0), make_feed_file([make_event({"id": 1}), make_event({"id": None})])), (page_name(100), "{cut")]
@@ -74,3 +75,51 @@ def test_result_sets_read_tables_written_once(spark, monkeypatch):
     done = feed_queries.w10(spark, "none", Params()).collect()
     assert [(r["result_set"], r["rows"], r["error"]) for r in done] == [("one", 3, None)]
     assert all(getattr(seen["t"], name).inputFiles() for name in seen["t"].names())
+
+
+def test_events_are_joined_to_market_and_windows_without_a_second_shuffle(spark, tmp_path):
+    tables = {"orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+              "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string", "nation": "n_nationkey int, n_name string, n_regionkey int",
+              "region": "r_regionkey int, r_name string", "lineitem": "l_orderkey bigint, l_quantity double, l_shipdate timestamp_ntz"}
+    for name, schema in tables.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    plan = driver.driver_pages(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("(")[1].split(" = ")[0] for line in plan.splitlines() if "Join LeftOuter" in line and "l_orderkey" not in line]
+    assert len(keys) == 2 and keys[0] == keys[1] and keys[0].startswith("o_orderkey"), keys
+
+
+def test_a_keys_buffer_holds_two_ordinals(spark):
+    b = build_batch(pages_frame(spark, PAGES), "r", F.lit("2026-05-27"))
+    plan = b.events()._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("min_by("), plan.count("max_by(")) == (1, 1)
+    rows = [("a", "x", None, 1, 1), ("a", None, "z", 2, 2), ("b", "y", "w", None, None)]
+    rules = merge.MergeRules(key=("k",), first=("f",), latest=("l",), first_seen=None, last_seen=None)
+    df = spark.createDataFrame(rows, f"k string, f string, l string, {merge.FIRST_ORD} int, {merge.LAST_ORD} int")
+    got = merge.combine(df, rules)
+    assert got.columns == ["k", "l", "f", merge.FIRST_ORD, merge.LAST_ORD]
+    assert sorted(map(tuple, got.collect())) == [("a", "z", "x", 1, 2), ("b", None, None, None, None)]
+
+
+def test_a_settled_batch_is_parsed_once_and_says_the_same(spark):
+    cut, none, listed = page_name(100), make_feed_file(offset=200), make_feed_file()
+    listed["data"]["events"] = [make_event({"id": 5}), None, make_event({"id": 0}), make_event({"id": 5, "venue": ""})]
+    pages = [*PAGES, (page_name(200), none), (page_name(300), listed), (page_name(300), listed), (page_name(400), make_feed_file(status="error"))]
+    b = build_batch(pages_frame(spark, pages), "r", F.lit("2026-05-27"))
+    s = settled(b, ("performer_slug", "performer", "venue_slug", "venue"))
+    for out in (lambda x: x.pages.select("source_file", "is_corrupt", "status", "reason", "valid"), lambda x: x.quarantine_files(),
+                lambda x: x.quarantine_events(), lambda x: x.event_performers(), lambda x: x.event_venues(),
+                lambda x: x.events_all.select("source_file", "pos", "id", "bad_reason"), lambda x: x.loaded.select("event_id", "_ord"),
+                lambda x: feed_queries.pipeline.page_log(x, "r")):
+        assert _parses(out(s)) == 0
+        assert sorted(map(str, out(s).collect())) == sorted(map(str, out(b).collect()))
+    assert cut in {r["source_file"] for r in s.quarantine_files().collect()}
+
+
+def test_queries_of_two_outputs_settle_their_batch(spark, monkeypatch):
+    monkeypatch.setattr(feed_queries, "_batch", lambda *a: build_batch(pages_frame(spark, PAGES), "r", F.lit("2026-05-27")))
+    assert _parses(feed_queries.s13(spark, "none", Params())) == 0
+    made = []
+    monkeypatch.setattr(feed_queries, "settled", lambda *a: made.append(settled(*a)) or made[-1])
+    assert feed_queries.w09(spark, "none", Params()).count() == 4
+    assert [tuple(r) for r in feed_queries.w07(spark, "none", Params()).collect()] == [(feed_queries.DRIVER_RUN_ID, 2, 1, 1, "success")]
+    assert len(made) == 2
