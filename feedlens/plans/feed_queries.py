@@ -25,8 +25,8 @@ from feedlens.plans.oracle_views import AS_OF, with_views
 from feedlens.plans.oracles import KPIS, REPORTS, SCORE_VIEWS, SCORING, detailed_suite_sql, suite_sql
 from feedlens.session import pin_utc, shared_scratch
 from feedlens.sources import feed
-from feedlens.sources.driver import (DRIVER_RUN_ID, driver_pages, driver_tables, events_view, market_view, pages_view,
-                                     performers_view, read_table, venues_view)
+from feedlens.sources.driver import (DRIVER_RUN_ID, driver_page_names, driver_pages, driver_tables, events_view, market_view,
+                                     pages_view, performers_view, read_table, venues_view)
 from feedlens.sources.store import TableStore
 from feedlens.streaming.incremental import incremental_load
 
@@ -78,11 +78,11 @@ def s05(spark, sf_dir, p):
 
 
 def s06(spark, sf_dir, p):
-    return driver_pages(spark, sf_dir, p).select("source_file", offset_from_name("source_file").alias("offset"))
+    return driver_page_names(spark, sf_dir).select("source_file", offset_from_name("source_file").alias("offset"))
 
 
 def s07(spark, sf_dir, p):
-    return driver_pages(spark, sf_dir, p).select("source_file", file_key("source_file").alias("file_id"))
+    return driver_page_names(spark, sf_dir).select("source_file", file_key("source_file").alias("file_id"))
 
 
 def s08(spark, sf_dir, p):

@@ -17,6 +17,7 @@ from pyspark.sql import Window
 
 from feedlens.config import WINDOW_DAYS, Params
 from feedlens.functions.columns import as_of_lit, file_key, round_half_away
+from feedlens.operators.common import join_small_side
 from feedlens.tables import FeedTables
 
 DRIVER_RUN_ID = "driver-run"
@@ -93,38 +94,50 @@ def events_view(spark, sf_dir, p: Params) -> DataFrame:
     )
 
 
-def market_view(spark, sf_dir, p: Params) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    li = (read_table(spark, sf_dir, "lineitem")
-          .groupBy("l_orderkey")
-          .agg(F.sum("l_quantity").alias("qty"), F.max("l_shipdate").alias("upd")))
-    k = F.col("o_orderkey")
+def _market_fields(k, total, ordered, qty, upd, as_of) -> list:
+    """Price, quantity, forecast and flags of order ``k``; ``qty`` and ``upd``: its lines' summed quantity and last ship date."""
     price = (F.when(_hit(k, "price_null"), F.lit(None).cast("double"))
              .when(_hit(k, "price_zero"), F.lit(0.0))
-             .otherwise(F.col("o_totalprice")))
+             .otherwise(total))
     fval = (F.when(k % 10 == 1, F.lit(-100.0))
             .when(k % 10 == 2, F.lit(-1.0))
             .otherwise((k % 100).cast("double") / F.lit(100.0)))
+    return [
+        price.alias("get_in_price"),
+        F.when(_hit(k, "quantity_negative"), F.lit(-1))
+         .otherwise(qty.cast("int")).alias("stats_total_quantity"),
+        upd.alias("stats_last_updated_at"),
+        _hit(k, "forecast_available").alias("forecast_is_available"),
+        fval.alias("forecast_value"),
+        F.when(fval >= 0.5, F.lit("Prices likely to rise"))
+         .otherwise(F.lit("Prices likely to fall")).alias("forecast_layover_text"),
+        F.concat((k % 100).cast("string"), F.lit("% confidence")).alias("forecast_hover_text"),
+        ((price == F.lit(0.0)) & (ordered < as_of)).alias("is_past_with_no_pricing"),
+        F.when(_hit(k, "mock_point"), F.lit(1)).otherwise(F.lit(0)).alias("mock_data_point"),
+        F.lit(0).alias("disable_click_through"),
+    ]
+
+
+def _lined_orders(spark, sf_dir) -> DataFrame:
+    """Per order: price, date and its lines' summed quantity and last ship date."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    li = (read_table(spark, sf_dir, "lineitem")
+          .groupBy("l_orderkey")
+          .agg(F.sum("l_quantity").alias("qty"), F.max("l_shipdate").alias("upd")))
+    return o.join(li, o.o_orderkey == li.l_orderkey, "left")
+
+
+def market_view(spark, sf_dir, p: Params) -> DataFrame:
+    k = F.col("o_orderkey")
     as_of = as_of_lit(p)
     return (
-        o.join(li, o.o_orderkey == li.l_orderkey, "left")
+        _lined_orders(spark, sf_dir)
         .select(
             F.concat(F.lit(DRIVER_RUN_ID + ":"), k.cast("string")).alias("state_id"),
             F.lit(DRIVER_RUN_ID).alias("run_id"),
             k.alias("event_id"),
             _source_file(_offset(k)).alias("source_file"),
-            price.alias("get_in_price"),
-            F.when(_hit(k, "quantity_negative"), F.lit(-1))
-             .otherwise(F.col("qty").cast("int")).alias("stats_total_quantity"),
-            F.col("upd").alias("stats_last_updated_at"),
-            _hit(k, "forecast_available").alias("forecast_is_available"),
-            fval.alias("forecast_value"),
-            F.when(fval >= 0.5, F.lit("Prices likely to rise"))
-             .otherwise(F.lit("Prices likely to fall")).alias("forecast_layover_text"),
-            F.concat((k % 100).cast("string"), F.lit("% confidence")).alias("forecast_hover_text"),
-            ((price == F.lit(0.0)) & (F.col("o_orderdate") < as_of)).alias("is_past_with_no_pricing"),
-            F.when(_hit(k, "mock_point"), F.lit(1)).otherwise(F.lit(0)).alias("mock_data_point"),
-            F.lit(0).alias("disable_click_through"),
+            *_market_fields(k, F.col("o_totalprice"), F.col("o_orderdate"), F.col("qty"), F.col("upd"), as_of),
             as_of.alias("loaded_at"),
         )
     )
@@ -166,28 +179,45 @@ def event_performers_view(spark, sf_dir) -> DataFrame:
                     F.concat(F.lit("performer-"), F.col("o_custkey").cast("string")).alias("performer_slug")))
 
 
-def _window_base(spark, sf_dir, p: Params) -> DataFrame:
-    """Per order: cents and the trailing category average p_d for every d.
+def _cents(total):
+    return F.round(total * F.lit(100.0), 0).cast("bigint")
+
+
+def _day(ordered):
+    return F.unix_date(F.to_date(ordered))
+
+
+def _priced_orders(spark, sf_dir) -> DataFrame:
+    """Per order: its category, price in cents and day."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .select(F.col("o_orderkey").alias("event_id"),
+                    F.col("c_mktsegment").alias("category_type"),
+                    _cents(F.col("o_totalprice")).alias("cents"),
+                    _day(F.col("o_orderdate")).alias("day")))
+
+
+def _trailing_prices(base: DataFrame) -> DataFrame:
+    """Per category and day the trailing category average p_d for every d.
 
     p_d(day) = average price (in cents) of the category's orders on the d days
     before ``day``. The frame excludes the current day, so every order of one
     (category, day) shares p_d: compute it on the (category, day) aggregate,
     which is bounded by categories x days, and join it back. No window ever
     runs over raw rows, so a hot category cannot pile up in one task."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    base = (o.join(c, o.o_custkey == c.c_custkey)
-            .select(F.col("o_orderkey").alias("event_id"),
-                    F.col("c_mktsegment").alias("category_type"),
-                    F.round(F.col("o_totalprice") * F.lit(100.0), 0).cast("bigint").alias("cents"),
-                    F.unix_date(F.to_date("o_orderdate")).alias("day")))
     daily = base.groupBy("category_type", "day").agg(F.sum("cents").alias("s"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("category_type").orderBy("day")
-    trail = daily.select(
+    return daily.select(
         "category_type", "day",
         *[(F.sum("s").over(w.rangeBetween(-d, -1)).cast("double")
            / F.sum("n").over(w.rangeBetween(-d, -1)).cast("double")).alias(f"p{d}") for d in WINDOW_DAYS])
-    return base.join(trail, ["category_type", "day"])
+
+
+def _window_base(spark, sf_dir) -> DataFrame:
+    """Per order: cents and the trailing category average p_d for every d."""
+    base = _priced_orders(spark, sf_dir)
+    return base.join(_trailing_prices(base), ["category_type", "day"])
 
 
 def _window_fields(k, cents, avg) -> list:
@@ -209,7 +239,7 @@ WINDOW_FIELD_NAMES = ("direction", "percent_change", "raw_change", "insufficient
 
 def windows_view(spark, sf_dir, p: Params) -> DataFrame:
     """Long format: one row per (event, window days)."""
-    b = _window_base(spark, sf_dir, p)
+    b = _window_base(spark, sf_dir)
     k = F.col("event_id")
     per = F.explode(F.array(*[
         F.struct(F.lit(d).cast("int").alias("window_days"),
@@ -220,17 +250,6 @@ def windows_view(spark, sf_dir, p: Params) -> DataFrame:
         F.lit(DRIVER_RUN_ID).alias("run_id"), "event_id", "w.*")
 
 
-def windows_wide(spark, sf_dir, p: Params) -> DataFrame:
-    """One row per event with a feed-style struct per window (direction,
-    percent, raw, insufficient_data), as the pages carry them."""
-    b = _window_base(spark, sf_dir, p)
-    k = F.col("event_id")
-    names = ("direction", "percent", "raw", "insufficient_data")
-    return b.select("event_id", *[
-        F.struct(*[c.alias(n) for c, n in zip(_window_fields(k, F.col("cents"), F.col(f"p{d}")), names)]).alias(f"w{d}")
-        for d in WINDOW_DAYS])
-
-
 def pages_view(spark, sf_dir, p: Params) -> DataFrame:
     """Page headers (raw_feed_files role): one page per 100 order keys."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -320,6 +339,53 @@ def _iso(col):
     return F.date_format(col, ISO)
 
 
+def _on_page(page_offset):
+    return ~_hit(F.expr(f"{page_offset} div {PAGE_SIZE}"), "page_dropped")
+
+
+def driver_page_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of ``driver_pages``, (source_file), without their texts: neither lines nor windows decide on a page."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey")
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select(_offset(F.col("o_orderkey")).alias("page_offset")).distinct().where(_on_page("page_offset"))
+            .select(_source_file(F.col("page_offset")).alias("source_file")))
+
+
+def _page_events(spark, sf_dir, p: Params) -> DataFrame:
+    """(page_offset, k, order, customer and nation columns, market fields, w3 .. w30) per event, rows of one page in one task.
+
+    Orders, market and windows meet on the order key as the narrow columns that their fields are made of; the joined
+    rows go to their page's task so, and fields and texts are made there. Texts are not shuffled."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    m = _lined_orders(spark, sf_dir).select(F.col("o_orderkey").alias("event_id"), F.col("o_totalprice").alias("total"),
+                                            F.col("o_orderdate").alias("ordered"), "qty", "upd")
+    base = _priced_orders(spark, sf_dir)
+    averages = [f"p{d}" for d in WINDOW_DAYS]
+    w = join_small_side(base, _trailing_prices(base), ["category_type", "day"]).select(F.col("event_id").alias("moved_id"), "cents", *averages)
+    joined = (o.drop("o_totalprice").join(c, o.o_custkey == c.c_custkey)
+              # both on the order key: rows joined once stay where they are for the second join
+              .join(m, o.o_orderkey == m.event_id, "left").join(w, o.o_orderkey == w.moved_id, "left"))
+    placed = (joined.select(_offset(F.col("o_orderkey")).alias("page_offset"), F.col("o_orderkey").alias("k"), "o_custkey", "o_orderdate", "o_orderpriority",
+                            "c_name", "c_mktsegment", "c_nationkey", "total", "ordered", "qty", "upd", "moved_id", "cents", *averages)
+              .where(_on_page("page_offset")).repartition("page_offset"))
+    placed = placed.join(n, placed.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    k = F.col("k")
+    names = ("direction", "percent", "raw", "insufficient_data")
+    # one lambda for all windows: four copies of it would make the row's generated method too long for the JVM to compile
+    per = F.transform(F.array(*averages), lambda avg: F.struct(*[x.alias(f) for x, f in zip(_window_fields(k, F.col("cents"), avg), names)]))
+    return placed.select(
+        "page_offset", "k", "o_custkey", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment", "c_nationkey", "n_name", "r_name",
+        *_market_fields(k, F.col("total"), F.col("ordered"), F.col("qty"), F.col("upd"), as_of_lit(p)),
+        F.when(F.col("moved_id").isNotNull(), per).alias("ws")).select(
+        "*", *[F.col("ws")[i].alias(f"w{d}") for i, d in enumerate(WINDOW_DAYS)])
+
+
 def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> DataFrame:
     """Feed pages as (source_file, value): one JSON document per 100 orders.
 
@@ -327,22 +393,13 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
     page's events is a bounded group. Odd pages carry the bare-list form of
     ``events``, even pages the {all, past, upcoming} object."""
     p = p or Params()
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    m = market_view(spark, sf_dir, p).drop("run_id", "state_id", "source_file", "loaded_at")
-    wide = windows_wide(spark, sf_dir, p).withColumnRenamed("event_id", "moved_id")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    ok, k = F.col("o_orderkey"), F.col("k")
     empty = F.struct(*[F.lit(None).cast(t).alias(f) for f, t in
                        (("direction", "string"), ("percent", "double"), ("raw", "double"),
                         ("insufficient_data", "boolean"))])
-    k = F.col("o_orderkey")
     shifted = F.when(_hit(k, "datetime_shift_2d"), F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS")) \
         .otherwise(F.col("o_orderdate"))
-    ev = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-          # both on the order key: rows joined once stay where they are for the second join
-          .join(m, o.o_orderkey == m.event_id, "left").join(wide, o.o_orderkey == wide.moved_id, "left"))
     event = F.struct(
         F.when(_hit(k, "raw_id_null"), F.lit(None).cast("bigint")).otherwise(k).alias("id"),
         F.col("c_name").alias("title"),
@@ -369,9 +426,9 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
         F.col("w14").alias("14day_price_change"),
         F.when(_page_hit(k, "window30_empty"), empty).otherwise(F.col("w30")).alias("30day_price_change"),
     )
-    rows = ev.select((k - k % PAGE_SIZE).alias("page_offset"), k.alias("k"), F.to_json(event).alias("text"),
-                     (F.col("o_orderdate") >= as_of_lit(p)).alias("upcoming"))
-    totals = o.agg(F.count(F.lit(1)).alias("total"), F.max(k - k % PAGE_SIZE).alias("last_offset"),
+    rows = _page_events(spark, sf_dir, p).select("page_offset", "k", F.to_json(event).alias("text"),
+                                                 (F.col("o_orderdate") >= as_of_lit(p)).alias("upcoming"))
+    totals = o.agg(F.count(F.lit(1)).alias("total"), F.max(_offset(ok)).alias("last_offset"),
                    F.to_date(F.min("o_orderdate")).cast("string").alias("dmin"),
                    F.to_date(F.max("o_orderdate")).cast("string").alias("dmax"))
     pages = (rows.groupBy("page_offset")
@@ -398,7 +455,7 @@ def driver_pages(spark: SparkSession, sf_dir: str, p: Params | None = None) -> D
     status = F.when(_page_hit(page, "page_status_error"), F.lit("error")).otherwise(F.lit("success"))
     text = (F.when(_page_hit(page, "page_truncated"), F.expr("substr(_t, 1, length(_t) div 2)"))
             .otherwise(F.col("_t")))
-    return (pages.where(~_hit(page, "page_dropped"))
+    return (pages.where(_on_page("page_offset"))
             .withColumn("_t", F.concat(F.lit('{"status":"'), status, F.lit('","data":{"metadata":'), meta,
                                        events_part, F.lit("}}")))
             .select(_source_file(F.col("page_offset")).alias("source_file"), text.alias("value")))

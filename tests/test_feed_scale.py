@@ -88,6 +88,50 @@ def test_events_are_joined_to_market_and_windows_without_a_second_shuffle(spark,
     assert len(keys) == 2 and keys[0] == keys[1] and keys[0].startswith("o_orderkey"), keys
 
 
+PAGE_TABLES = {"orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+               "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string", "nation": "n_nationkey int, n_name string, n_regionkey int",
+               "region": "r_regionkey int, r_name string", "lineitem": "l_orderkey bigint, l_quantity double, l_shipdate timestamp_ntz"}
+
+
+def _page_tables(spark, folder, **rows) -> str:
+    for name, schema in PAGE_TABLES.items():
+        spark.createDataFrame(rows.get(name, []), schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_event_texts_are_made_in_their_pages_task_and_not_shuffled(spark, tmp_path):
+    plan = driver.driver_pages(spark, _page_tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = {line.find(mark): i for i, line in enumerate(plan) for mark in ("Repartition",) if mark in line}
+    made = [i for i, line in enumerate(plan) if "StructsToJson" in line and "insufficient_data" in line]
+    assert len(at) == 1 and made and max(made) < min(at.values())  # above the shuffle on the page
+    assert "page_offset" in plan[min(at.values())]
+    executed = driver.driver_pages(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("Exchange hashpartitioning(page_offset" in line for line in executed) == 1
+
+
+def test_pages_of_repeated_and_null_keys_hold_every_joined_row(spark, tmp_path):
+    import json
+    from datetime import datetime
+
+    days = [datetime(2001, 1, d) for d in (1, 2, 3)]
+    folder = _page_tables(
+        spark, tmp_path, nation=[(1, "N", 1)], region=[(1, "R")],
+        customer=[(1, "c1", 1, "A"), (1, "c1b", 1, None), (2, "c2", 9, "A"), (3, None, 1, "A")],
+        # key 1 twice: customer 1 (two rows, one without a category) and customer 2 (no nation); key 2: no customer; key 3 lacks a price
+        orders=[(1, 1, 1.0, days[0], "p"), (1, 2, 2.0, days[1], "p"), (2, 8, 3.0, days[1], "p"), (3, 3, None, days[2], None), (None, 1, 5.0, days[0], "p"),
+                (3600, 1, 6.0, days[0], "p")],  # on the dropped page
+        lineitem=[(1, 2.0, days[0]), (1, 3.0, days[2]), (None, 1.0, days[0])])
+    pages = {r["source_file"]: r["value"] for r in driver.driver_pages(spark, folder).collect()}
+    assert list(pages) == ["orders__offset-0.json"] == [r["source_file"] for r in driver.driver_page_names(spark, folder).collect()]
+    events = json.loads(pages["orders__offset-0.json"])["data"]["events"]["all"]
+    one = [(e["title"], e["get_in_price"], e["7day_price_change"]["raw"]) for e in events if e["id"] == 1]
+    # 2 rows with a nation x 2 market rows x 2 windows; the second is of day 2, after 4.0 on average
+    assert sorted(one) == sorted((t, m, w) for t in ("c1", "c1b") for m in (1.0, 2.0) for w in (0.0, -2.0))
+    assert {e["stats_total_quantity_of_tickets"] for e in events if e["id"] == 1} == {5}
+    assert [(e["id"], "get_in_price" in e, "title" in e, e["7day_price_change"]["direction"]) for e in events if e["id"] != 1] == [(3, False, False, "flat")]
+    assert len(events) == 9
+
+
 def test_a_keys_buffer_holds_two_ordinals(spark):
     b = build_batch(pages_frame(spark, PAGES), "r", F.lit("2026-05-27"))
     plan = b.events()._jdf.queryExecution().optimizedPlan().toString()
