@@ -232,10 +232,12 @@ def words_of(text: str | None) -> Counter:
 
 def known_counts(text: str | None, terms: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """The terms of a text, rising, and their occurrences."""
-    found = words_of(text)
-    known = found.keys() & terms.keys()
-    t = np.fromiter(map(terms.__getitem__, known), np.int64, len(known))
-    n = np.fromiter(map(found.__getitem__, known), np.int64, len(known))
+    found: Counter = Counter()
+    for words in _words(text):
+        found.update(map(terms.get, words))
+    found.pop(None, None)
+    t = np.fromiter(found.keys(), np.int64, len(found))
+    n = np.fromiter(found.values(), np.int64, len(found))
     order = np.argsort(t)
     return t[order], n[order]
 
@@ -251,11 +253,11 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch], terms: dict[str, in
     for b in batches:
         n += b.num_rows
         for text in b.column(0):
-            found: set[str] = set()
+            found: set[int | None] = set()
             for words in _words(text.as_py()):
-                found.update(words)
-            found = terms.keys() & found
-            df[np.fromiter(map(terms.__getitem__, found), np.int64, len(found))] += 1
+                found.update(map(terms.get, words))
+            found.discard(None)
+            df[np.fromiter(found, np.int64, len(found))] += 1
     seen = np.flatnonzero(df)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(df[seen], n), pa.int64())], ["term", "n"])
 
