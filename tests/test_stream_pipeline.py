@@ -118,3 +118,30 @@ def test_a_second_run_leaves_the_facts_of_the_first_untouched(spark, tmp_path):
         t = pipeline.load_tables(opened)
         assert t.market.count() == 3 and t.windows.count() == 12 and t.events.count() == 3
         assert pipeline.read_table(opened, "page_log").count() == 2
+
+
+def test_a_streams_frames_are_built_once_and_each_batch_writes_its_own_pages(spark, tmp_path, monkeypatch):
+    inp = tmp_path / "in"
+    inp.mkdir()
+    for n in range(5):
+        write_page(inp, page_name(100 * n), make_feed_file([make_event({"id": n + 1}), make_event({"id": None})], offset=100 * n))
+    write_page(inp, "cut.json", "{")
+    built, parse = [], feed.parse_events
+    monkeypatch.setattr(feed, "parse_events", lambda *a: built.append(1) or parse(*a))
+    store = TableStore(spark, str(tmp_path / "store"))
+    ledger = incremental_load(spark, str(inp), store, str(tmp_path / "ckpt"), "run", datetime(2027, 1, 2), max_files=2).first()
+    assert (ledger["files_found"], ledger["files_loaded"], ledger["events_loaded"]) == (6, 5, 5)
+    assert len(built) == 1  # three batches
+
+    def delivered(table, column):
+        rows = spark.read.parquet(store.delta_root(table)).select("tag", column).collect()
+        assert {r["tag"] for r in rows} <= {f"t_run-b{b}" for b in range(3)}
+        return sorted(r[column] for r in rows)  # every batch's delta, folded or not
+
+    assert delivered("events", "event_id") == delivered("market", "event_id") == [1, 2, 3, 4, 5]
+    names = sorted([*(page_name(100 * n) for n in range(5)), "cut.json"])
+    assert delivered("page_log", "source_file") == names and len(delivered("event_quarantine", "reason")) == 5
+    assert [tuple(r) for r in spark.read.parquet(store.delta_root("batch_metrics")).groupBy().sum("files_found", "events_loaded").collect()] == [(6, 5)]
+    again = TableStore(spark, str(tmp_path / "store"))  # tables are folded at once, but the log has all of them
+    assert all(again.read_deltas(t).count() == 0 and again.read(t).count() > 0 for t in ("events", "market", "page_log", "event_venues"))
+    assert spark.conf.get("spark.sql.codegen.wholeStage") == "true"  # only the stream's own session does without
