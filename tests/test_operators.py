@@ -110,3 +110,41 @@ def test_median_modes_agree_where_exact(spark):
         meds[mode] = {r["g"]: r["_median"] for r in grouped_price_stats(df, ["g"], median=mode).collect()}
     assert meds["distributed"] == meds["percentile"] == {"a": 2.5, "b": 5.0}
     assert meds["approx"]["b"] == 5.0 and meds["approx"]["a"] in (2.0, 3.0)
+
+
+def test_top_then_expand_looks_up_its_first_rows_alone_and_all_only_if_these_are_too_few(spark):
+    order = [F.col("score").desc_nulls_last(), F.col("event_id").asc_nulls_last()]
+    ranked = spark.range(200).select(F.col("id").alias("event_id"), (F.lit(1000.0) - F.col("id")).alias("score"))
+    ranked = ranked.unionByName(spark.createDataFrame([(None, 5000.0), (7, None)], "event_id long, score double"))
+
+    def got(bridge, n=3):
+        df = top_then_expand(ranked, order, n, bridge)
+        want = ranked.join(bridge, "event_id").orderBy(*order, "venue").limit(n)
+        rows = sorted(map(tuple, df.select("event_id", "score", "venue").orderBy(*order, "venue").limit(n).collect()))
+        assert rows == sorted(map(tuple, want.select("event_id", "score", "venue").collect()))
+        return df._jdf.queryExecution().optimizedPlan().toString(), len(rows)
+
+    early = spark.createDataFrame([(2, "a"), (2, "b"), (5, "a"), (9, "c"), (None, "x"), (150, "z")], "event_id long, venue string")
+    plan, n = got(early)
+    assert n == 3 and "Range" not in plan  # the ranked rows are not read again
+    plan, n = got(early.where("event_id = 150 OR event_id = 9"))  # 9 is among the first 30 rows and 150 is not
+    assert n == 2 and "Range" in plan
+    assert got(early.limit(0))[1] == 0
+
+
+def test_reports_read_market_and_events_joined_once(spark, monkeypatch):
+    from feedlens.config import Params
+    from feedlens.plans import feed_queries
+    from feedlens.tables import FeedTables
+
+    market = spark.createDataFrame([("r", 1, 5.0), ("r", 1, 6.0), ("r", 2, 7.0), ("r", None, 8.0), ("r", 9, 9.0)], "run_id string, event_id long, get_in_price double")
+    events = spark.createDataFrame([(1, "one"), (2, "two"), (2, "two again"), (None, "none")], "event_id long, title string")
+    seen = {}
+    monkeypatch.setattr(feed_queries, "driver_tables", lambda *a: FeedTables(*[events] * 7, market, events))
+    monkeypatch.setattr(feed_queries, "dq_suite", lambda *a: events)
+    monkeypatch.setattr(feed_queries.pipeline, "report_builders", lambda t, dq, p: seen.update(t=t) or {"one": lambda: t.market})
+    feed_queries.w10(spark, "none", Params()).collect()
+    joined = feed_queries.market_events(seen["t"], Params())
+    assert joined.inputFiles() and "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["event_id"], r["get_in_price"], r["title"]) for r in joined.collect()) == [
+        (1, 5.0, "one"), (1, 6.0, "one"), (2, 7.0, "two"), (2, 7.0, "two again")]
